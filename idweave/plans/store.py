@@ -1,0 +1,211 @@
+"""Versioned parquet tables with copy-on-write upserts.
+
+Every table is cut into hash buckets of its unique key, one folder per bucket and
+version. An upsert rewrites the buckets that hold a touched key and leaves the
+others where they are. A commit is one JSON row naming the folder of every bucket
+of every table; until it is written nothing of a run is visible, and folders of
+earlier commits are never changed. One writer at a time.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+COMMIT_SCHEMA = "version long, payload string"
+BUCKET = "bucket"
+
+# Sort order inside a bucket, so that file and row-group statistics can prune.
+CLUSTER_BY = {
+    "merge_events": ["active_identity_id"],
+    "identities": ["identity_id"],
+    "id_mapping": ["active_identity_id", "identity_id"],
+    "id_changes": ["identity_id", "previous_identity_id"],
+    "identifier_mapping": ["active_identity_id", "uuid"],
+    "id_mapping_scd": ["identity_id", "active_identity_id"],
+}
+
+# Time column each table is partitioned by when it is exported by day.
+DAY_OF = {
+    "merge_events": "derived_tstamp",
+    "identities": "first_derived_tstamp",
+    "id_mapping": "merged_at",
+    "id_changes": "effective_at",
+    "identifier_mapping": "last_seen_at",
+    "id_mapping_scd": "effective_at",
+}
+
+
+def layout(df: DataFrame, table: str, partitions: int | None = None) -> DataFrame:
+    """Add the table's day column and cluster its rows for an export by day.
+
+    Rows of a day are spread over tasks by the clustering columns as well as the
+    day, so one busy day is not one task.
+    """
+    day = f"{DAY_OF[table]}_date"
+    cluster = CLUSTER_BY[table]
+    dated = df.withColumn(day, F.to_date(DAY_OF[table]))
+    cols = [F.col(day), *[F.col(c) for c in cluster]]
+    spread = (
+        dated.repartitionByRange(partitions, *cols)
+        if partitions
+        else dated.repartitionByRange(*cols)
+    )
+    return spread.sortWithinPartitions(*cols)
+
+
+def write_full(df: DataFrame, path: str, table: str) -> None:
+    """Full (re)build of a table as day-partitioned parquet."""
+    day = f"{DAY_OF[table]}_date"
+    layout(df, table).write.mode("overwrite").partitionBy(day).parquet(path)
+
+
+class TableStore:
+    """A folder of tables. ``buckets`` sets the bucket count of tables made from now on.
+
+    Aim for buckets of roughly half a gigabyte; the count is kept per table.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16) -> None:
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.buckets = buckets
+        self._state: dict | None = None
+
+    @property
+    def _commits(self) -> str:
+        return f"{self.root}/commits"
+
+    def state(self) -> dict:
+        """The latest commit."""
+        if self._state is None:
+            try:
+                commits = self.spark.read.schema(COMMIT_SCHEMA).json(self._commits)
+            except AnalysisException:  # nothing committed yet
+                self._state = {"version": 0, "tables": {}, "manifest": {}, "streams": {}}
+            else:
+                last = commits.agg(F.max(F.struct("version", "payload")).alias("c")).first()["c"]
+                self._state = json.loads(last["payload"])
+        return self._state
+
+    def refresh(self) -> None:
+        """Forget the cached commit and read the latest one at the next use."""
+        self._state = None
+
+    def exists(self, table: str) -> bool:
+        return table in self.state()["tables"]
+
+    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
+        """The committed table; an empty one with ``schema`` when it does not exist yet."""
+        return self._read(self.state()["tables"].get(table), table, schema)
+
+    def _read(
+        self,
+        meta: dict | None,
+        table: str,
+        schema: T.StructType | None,
+        only: set[int] | None = None,
+    ) -> DataFrame:
+        if meta is None:
+            if schema is None:
+                raise KeyError(f"no table {table}")
+            return self.spark.createDataFrame([], schema)
+        stored = T.StructType.fromJson(meta["schema"])
+        if schema is not None:
+            known = set(stored.fieldNames())
+            stored = T.StructType(stored.fields + [f for f in schema if f.name not in known])
+        paths = [
+            f"{self.root}/tables/{table}/{token}/{BUCKET}={b}"
+            for b, token in meta["parts"].items()
+            if only is None or int(b) in only
+        ]
+        if not paths:
+            return self.spark.createDataFrame([], stored)
+        return self.spark.read.schema(stored).parquet(*paths)
+
+    def begin(self) -> Transaction:
+        return Transaction(self)
+
+
+class Transaction:
+    """One run's writes. Nothing is visible to readers before :meth:`commit`."""
+
+    def __init__(self, store: TableStore) -> None:
+        self.store = store
+        self.spark = store.spark
+        self.state = json.loads(json.dumps(store.state()))
+        self.state["version"] += 1
+        self.token = f"v{self.state['version']:06d}-{uuid.uuid4().hex[:8]}"
+
+    def stage(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+        """Write an intermediate result that several steps read, and read it back."""
+        path = f"{self.store.root}/staging/{self.token}/{name}"
+        writer = df.write.mode("errorifexists")
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
+        """The table as this run leaves it so far."""
+        return self.store._read(self.state["tables"].get(table), table, schema)
+
+    def upsert(
+        self, table: str, key: str, updates: DataFrame, deletes: DataFrame | None = None
+    ) -> None:
+        """Insert or replace ``updates`` by key and drop the keys in ``deletes``.
+
+        ``updates`` should be a staged table: it is read twice. Both sides are
+        partitioned exactly like the buckets, so the join needs no shuffle beyond
+        that and every task writes a single bucket.
+        """
+        meta = self.state["tables"].get(table)
+        buckets = meta["buckets"] if meta else self.store.buckets
+        bucket = F.pmod(F.hash(key), F.lit(buckets))
+        changed = updates.select(key)
+        if deletes is not None:
+            changed = changed.unionByName(deletes.select(key))
+        rows = updates.repartition(buckets, key)
+        if meta:
+            # at most one row per bucket comes to the driver
+            touched = {r[0] for r in changed.select(bucket).distinct().collect()}
+            if not touched:
+                return
+            target = self.store._read(meta, table, None, touched)
+            kept = target.repartition(buckets, key).join(changed, key, "left_anti")
+            rows = kept.select(*target.columns).unionByName(rows, allowMissingColumns=True)
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
+        path = f"{self.store.root}/tables/{table}/{self.token}"
+        (
+            rows.withColumn(BUCKET, bucket)
+            .sortWithinPartitions(BUCKET, *CLUSTER_BY.get(table, [key]))
+            .write.mode("errorifexists")
+            .partitionBy(BUCKET)
+            .parquet(path)
+        )
+        parts = dict(meta["parts"]) if meta else {}
+        if meta:
+            for b in touched:
+                parts.pop(str(b), None)
+        written = self.spark.read.schema(schema).parquet(path).inputFiles()
+        for name in written:
+            b = name.split(f"/{BUCKET}=")[1].split("/")[0]
+            parts[b] = self.token
+        self.state["tables"][table] = {
+            "schema": schema.jsonValue(),
+            "buckets": buckets,
+            "parts": parts,
+        }
+
+    def commit(self) -> int:
+        """Publish every table and the manifest of this run at once."""
+        row = [(self.state["version"], json.dumps(self.state))]
+        commit = self.spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1)
+        commit.write.mode("append").json(self.store._commits)
+        self.store._state = self.state
+        return self.state["version"]
