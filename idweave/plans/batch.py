@@ -8,8 +8,10 @@ handles on the same table.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import Future, ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,32 +60,31 @@ def apply_batch(
 ) -> set[str]:
     """Update the tables from one staged batch (:func:`stage_batch`); returns the tables updated.
 
-    The caller commits.
+    Steps that do not read each other's results are submitted as concurrent Spark
+    jobs, so the tail of one does not leave the cluster idle. The caller commits.
     """
     wanted = closure(outputs)
     layouts = schemas.tables(cfg)
+    merge_events = extract.merge_events_this_run(base.where("is_merge"), cfg)
 
     def stored(table: str) -> DataFrame:
         return txn.store.read(table, layouts[table])
 
-    def upsert(table: str, rows: DataFrame, deletes: DataFrame | None = None) -> None:
-        txn.upsert(table, schemas.KEYS[table], rows, deletes)
+    def upsert(
+        table: str, rows: DataFrame, deletes: DataFrame | None = None, staged: bool = False
+    ) -> None:
+        txn.upsert(table, schemas.KEYS[table], rows, deletes, staged)
 
-    merge_events = extract.merge_events_this_run(base.where("is_merge"), cfg)
-    if "merge_events" in wanted:
-        upsert("merge_events", merge_events)
+    def update_identities(observed: DataFrame) -> DataFrame:
+        seen = txn.stage("identities_this_run", profile.identities_from(observed, cfg))
+        upsert("identities", profile.merge_identities(stored("identities"), seen, cfg))
+        return seen
 
-    needs_ids = wanted & {"identities", "identifier_mapping"}
-    if needs_ids:
+    def observe() -> tuple[DataFrame, DataFrame | None]:
         observed = txn.stage("observations", extract.observations(base, cfg))
-    if "identities" in wanted:
-        seen = txn.stage("identities_this_run", profile.identities_from(observed, cfg))
-        profiles = txn.stage(
-            "identities_updates", profile.merge_identities(stored("identities"), seen, cfg)
-        )
-        upsert("identities", profiles)
+        return observed, update_identities(observed) if "identities" in wanted else None
 
-    if "id_mapping" in wanted:
+    def update_mapping() -> tuple[DataFrame, DataFrame, DataFrame]:
         edges = txn.stage("edges", extract.explode_merged(merge_events))
         this_run = txn.stage("id_mapping_this_run", mapping.id_mapping_this_run(edges, run))
         before = stored("id_mapping")
@@ -95,47 +96,69 @@ def apply_batch(
             compress_orphans=cfg.compress_orphans,
             only_newer=cfg.only_newer,
         )
-        if cfg.compress_orphans or cfg.only_newer:
-            updates = txn.stage("id_mapping_updates", updates)
-        upsert("id_mapping", updates)
+        upsert("id_mapping", updates, staged=updates is this_run)
+        return edges, this_run, affected
 
-    if wanted & {"id_changes", "id_mapping_scd"}:
+    def record_changes(
+        edges: DataFrame, this_run: DataFrame, affected: DataFrame, seen: DataFrame
+    ) -> DataFrame:
         recorded = None
         if cfg.suppress_reemission:
-            recorded = before.join(edges.select("identity_id"), "identity_id", "left_semi")
-        changed = txn.stage(
-            "id_changes_this_run",
-            changes.id_changes_this_run(
-                edges,
-                this_run,
-                affected,
-                seen,
-                txn.read("identities"),
-                run,
-                recorded,
-            ),
+            children = edges.select("identity_id")
+            recorded = stored("id_mapping").join(children, "identity_id", "left_semi")
+        profiles = txn.read("identities")
+        rows = changes.id_changes_this_run(
+            edges, this_run, affected, seen, profiles, run, recorded
         )
-    if "id_changes" in wanted:
-        rows = changes.merge_id_changes(stored("id_changes"), changed)
-        upsert("id_changes", txn.stage("id_changes_updates", rows))
+        return txn.stage("id_changes_this_run", rows)
+
+    def update_log(changed: DataFrame) -> None:
+        upsert("id_changes", changes.merge_id_changes(stored("id_changes"), changed))
 
-    if "identifier_mapping" in wanted:
+    def update_history(changed: DataFrame, this_run: DataFrame) -> None:
+        known = history.scd_history(stored("id_mapping_scd"), history.ids_affected(changed))
+        replaced = None
+        if cfg.replace_affected:
+            known = txn.stage("scd_history", known)
+            replaced = known.select("scd_key")
+        upsert("id_mapping_scd", history.scd_updates(known, changed, this_run), replaced)
+
+    def update_lookup(observed: DataFrame, this_run: DataFrame) -> None:
         after = txn.read("id_mapping", layouts["id_mapping"])
+        identifiers = profile.identifiers_from(observed)
         new = txn.stage(
             "identifier_mapping_this_run",
-            lookup.identifier_mapping_this_run(profile.identifiers_from(observed), after, cfg),
+            lookup.identifier_mapping_this_run(identifiers, after, cfg),
         )
         touched = txn.stage(
             "identifier_mapping_affected",
             lookup.affected_stored(stored("identifier_mapping"), after, this_run, new),
         )
-        rows = txn.stage("identifier_mapping_updates", lookup.identifier_mapping_updates(touched, new))
+        rows = lookup.identifier_mapping_updates(touched, new)
         upsert("identifier_mapping", rows, lookup.stale_rows(touched))
 
-    if "id_mapping_scd" in wanted:
-        known = history.scd_history(stored("id_mapping_scd"), history.ids_affected(changed))
-        if cfg.replace_affected:
-            known = txn.stage("scd_history", known)
-        rows = txn.stage("scd_updates", history.scd_updates(known, changed, this_run))
-        upsert("id_mapping_scd", rows, known.select("scd_key") if cfg.replace_affected else None)
+    with ThreadPoolExecutor(max_workers=4) as pool:
+
+        def submit(step: Callable, *args: object) -> Future:
+            return pool.submit(inheritable_thread_target(txn.spark)(step), *args)
+
+        last: list[Future] = []
+        if "merge_events" in wanted:
+            last.append(submit(upsert, "merge_events", merge_events))
+        ids = submit(observe) if wanted & {"identities", "identifier_mapping"} else None
+        merges = submit(update_mapping) if "id_mapping" in wanted else None
+        if merges:
+            edges, this_run, affected = merges.result()
+        if ids:
+            observed, seen = ids.result()
+        if "identifier_mapping" in wanted:
+            last.append(submit(update_lookup, observed, this_run))
+        if wanted & {"id_changes", "id_mapping_scd"}:
+            changed = record_changes(edges, this_run, affected, seen)
+            if "id_changes" in wanted:
+                last.append(submit(update_log, changed))
+            if "id_mapping_scd" in wanted:
+                last.append(submit(update_history, changed, this_run))
+        for step in last:
+            step.result()
     return wanted

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from idweave import schemas
 from idweave.config import IdentityConfig, RunContext
-from idweave.functions.columns import utc_lit, utc_ntz
+from idweave.functions.columns import ntz_lit, utc_lit, utc_ntz
 from idweave.plans import manifest as mf
 from idweave.plans.batch import TABLES, apply_batch, closure, stage_batch
-from idweave.plans.store import TableStore
+from idweave.plans.store import TableStore, empty_table
 from idweave.sources.events import arrival_bounds, base_events_this_run
 
 
@@ -23,11 +23,18 @@ def _time(text: str | None) -> datetime | None:
 
 def load_manifest(store: TableStore) -> DataFrame:
     """The manifest as a table: first and last arrival time consumed per model."""
+    spans = store.state()["manifest"]
+    if not spans:
+        return empty_table(store.spark, schemas.MANIFEST)
     rows = [
-        (model, _time(span["first"]), _time(span["last"]))
-        for model, span in sorted(store.state()["manifest"].items())
+        F.struct(
+            F.lit(model).alias("model"),
+            ntz_lit(_time(span["first"])).alias("first_success"),
+            ntz_lit(_time(span["last"])).alias("last_success"),
+        )
+        for model, span in sorted(spans.items())
     ]
-    return store.spark.createDataFrame(rows, schemas.MANIFEST)
+    return store.spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def _bounds(events: DataFrame, where: object | None = None) -> tuple[datetime, datetime] | None:

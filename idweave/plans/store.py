@@ -17,6 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, known to the optimiser as such, so joins against it fold away."""
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).select(*nulls).where(F.lit(False))
+
+
 COMMIT_SCHEMA = "version long, payload string"
 BUCKET = "bucket"
 
@@ -114,7 +120,7 @@ class TableStore:
         if meta is None:
             if schema is None:
                 raise KeyError(f"no table {table}")
-            return self.spark.createDataFrame([], schema)
+            return empty_table(self.spark, schema)
         stored = T.StructType.fromJson(meta["schema"])
         if schema is not None:
             known = set(stored.fieldNames())
@@ -125,13 +131,19 @@ class TableStore:
             if only is None or int(b) in only
         ]
         if not paths:
-            return self.spark.createDataFrame([], stored)
+            return empty_table(self.spark, stored)
         return self.spark.read.schema(stored).parquet(*paths)
 
     def begin(self) -> Transaction:
         return Transaction(self)
 
 
+def buckets_for(df: DataFrame, bytes_per_bucket: int = 512 << 20, most: int = 20_000) -> int:
+    """A bucket count for tables fed by ``df``, from the optimiser's estimate of its size."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(4, min(most, -(-size // bytes_per_bucket)))
+
+
 class Transaction:
     """One run's writes. Nothing is visible to readers before :meth:`commit`."""
 
@@ -156,17 +168,25 @@ class Transaction:
         return self.store._read(self.state["tables"].get(table), table, schema)
 
     def upsert(
-        self, table: str, key: str, updates: DataFrame, deletes: DataFrame | None = None
+        self,
+        table: str,
+        key: str,
+        updates: DataFrame,
+        deletes: DataFrame | None = None,
+        staged: bool = False,
     ) -> None:
         """Insert or replace ``updates`` by key and drop the keys in ``deletes``.
 
-        ``updates`` should be a staged table: it is read twice. Both sides are
-        partitioned exactly like the buckets, so the join needs no shuffle beyond
-        that and every task writes a single bucket.
+        Both sides are partitioned exactly like the buckets, so the join needs no
+        shuffle beyond that and every task writes a single bucket. Updates of a
+        table that exists are read more than once and staged unless ``staged``
+        says they are already; the first load of a table is written straight.
         """
         meta = self.state["tables"].get(table)
         buckets = meta["buckets"] if meta else self.store.buckets
         bucket = F.pmod(F.hash(key), F.lit(buckets))
+        if meta and not staged:
+            updates = self.stage(f"{table}_updates", updates)
         changed = updates.select(key)
         if deletes is not None:
             changed = changed.unionByName(deletes.select(key))
@@ -204,8 +224,10 @@ class Transaction:
 
     def commit(self) -> int:
         """Publish every table and the manifest of this run at once."""
-        row = [(self.state["version"], json.dumps(self.state))]
-        commit = self.spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1)
+        commit = self.spark.range(1, numPartitions=1).select(
+            F.lit(self.state["version"]).cast("long").alias("version"),
+            F.lit(json.dumps(self.state)).alias("payload"),
+        )
         commit.write.mode("append").json(self.store._commits)
         self.store._state = self.state
         return self.state["version"]
