@@ -880,34 +880,17 @@ REPLAY = "identity_id, active_identity_id, effective_at, superseded_at, change_t
 @register(
     "dq_scd_replay",
     f"""
-    with replay as (
-      select *, superseded_at is null as is_current from (
-        select d.*, lead(d.effective_at) over (partition by d.identity_id order by d.effective_at,
-            case when i.identity_id is null then 0 else 1 end, d.change_type,
-            d.active_identity_id) as superseded_at
-        from (
-          select * from (
-            select case change_type when 'merged' then previous_identity_id else identity_id end
-                as identity_id,
-              identity_id as active_identity_id, effective_at, change_type from log_3)
-          qualify row_number() over (
-            partition by identity_id, change_type,
-              case change_type when 'merged' then effective_at end
-            order by effective_at, active_identity_id) = 1) d
-        left join map_3 i on i.identity_id = d.identity_id
-          and i.active_identity_id = d.active_identity_id))
     select {REPLAY}, 'left' as side, count(*) as copies
-    from (select {REPLAY} from scd_3 except all select {REPLAY} from replay) group by all
+    from (select {REPLAY} from scd_1 except all select {REPLAY} from replay) group by all
     union all
     select {REPLAY}, 'right' as side, count(*) as copies
-    from (select {REPLAY} from replay except all select {REPLAY} from scd_3) group by all
+    from (select {REPLAY} from replay except all select {REPLAY} from scd_1) group by all
     """,
 )
 def dq_scd_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = fold(spark, sf_dir, "id_changes", "id_mapping", "id_mapping_scd")
-    return quality.check_scd_replay(
-        store.read("id_changes"), store.read("id_mapping"), store.read("id_mapping_scd")
-    )
+    """A history that stopped after the first window, held against the whole change log."""
+    s = Steps(spark, sf_dir)
+    return quality.check_scd_replay(s.changed(0), s.this_run(0), s.scd_first(1))
 
 
 @register(

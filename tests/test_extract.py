@@ -1,0 +1,247 @@
+"""Reading, extraction and profiles."""
+
+import pytest
+
+from idweave import schemas
+from idweave.config import Identifier, IdentityConfig, RunContext
+from idweave.operators import extract, profile
+from idweave.sources import events as src
+from tests.conftest import at
+
+CFG = IdentityConfig()
+RUN = RunContext(at("01 00:00"), at("02 00:00"), at("09 12:00"))
+
+BASE = schemas._struct(
+    event_id=schemas.STR,
+    event_name=schemas.STR,
+    app_id=schemas.STR,
+    domain_userid=schemas.STR,
+    user_id=schemas.STR,
+    collector_tstamp=schemas.TS,
+    derived_tstamp=schemas.TS,
+    load_tstamp=schemas.TS,
+    identity_context=schemas.IDENTITY_CONTEXT,
+    identity_merge=schemas.MERGE_PAYLOAD,
+)
+
+
+def page(event, app, duid, uid, when, identity, collector=None, load=None, created="01 00:00"):
+    context = None if identity is None else [(identity, at(created))]
+    return (event, "page_view", app, duid, uid, collector or when, when, load or when, context, None)
+
+
+def merge(event, parent, when, *children):
+    merged = [(c, at("01 00:00"), at(t), trigger) for c, t, trigger in children]
+    return (
+        event, "identity_merge", "web", None, None, when, when, when, None,
+        (parent, merged, [c[0] for c in children]),
+    )
+
+
+def base(table, *events, cfg=CFG, run=None):
+    return src.base_events_this_run(table(BASE, list(events)), cfg, run)
+
+
+def test_one_child(table, rows):
+    df = extract.merge_events_this_run(
+        base(table, merge("m1", "P", "01 10:00", ("C", "01 10:00", "m1"))), CFG
+    )
+    assert rows(df, "merge_event_id", "active_identity_id", "merges") == [("m1", "P", ["C"])]
+
+
+def test_two_children_and_page_events_ignored(table, rows):
+    df = extract.merge_events_this_run(
+        base(
+            table,
+            page("e1", "web", "d", None, "01 09:00", "P"),
+            merge("m2", "P", "01 11:00", ("C", "01 10:00", "m1"), ("D", "01 11:00", "m2")),
+        ),
+        CFG,
+    )
+    assert rows(df, "merge_event_id", "merges") == [("m2", ["C", "D"])]
+    assert rows(extract.explode_merged(df)) == [
+        ("P", "C", "01 10:00", "m1"),
+        ("P", "D", "01 11:00", "m2"),
+    ]
+
+
+def test_cumulative_payload_folds_and_empty_payload_drops(table, rows):
+    df = extract.merge_events_this_run(
+        base(
+            table,
+            merge("m1", "P", "01 10:00", ("C", "01 10:00", "m1")),
+            merge("m2", "P", "01 11:00", ("C", "01 10:00", "m0"), ("D", "01 11:00", "m2")),
+            merge("m3", "Q", "01 12:00"),
+        ),
+        CFG,
+    )
+    assert rows(extract.explode_merged(df)) == [
+        ("P", "C", "01 10:00", "m0"),
+        ("P", "D", "01 11:00", "m2"),
+    ]
+
+
+def test_dedupe_keeps_earliest_collector_time(table, rows):
+    df = base(
+        table,
+        page("e1", "late", "d", None, "01 09:00", "A", collector="01 09:02"),
+        page("e1", "first", "d", None, "01 09:00", "A", collector="01 09:01"),
+    )
+    assert rows(df, "event_id", "app_id") == [("e1", "first")]
+
+
+def test_dedupe_ties_do_not_depend_on_partitioning(table, rows):
+    events = [page("e1", app, "d", None, "01 09:00", "A") for app in ("c", "a", "b")]
+    raw = table(BASE, events)
+    for n in (1, 3):
+        kept = src.base_events_this_run(raw.repartition(n), CFG)
+        assert rows(kept, "app_id") == [("a",)]
+
+
+def test_filters_and_window(table, rows):
+    events = [
+        page("e1", "web", "d", None, "01 09:00", "A"),
+        page("e2", "ios", "d", None, "01 09:00", "A"),
+        page("e3", "web", "d", None, "01 09:00", "A", load="02 00:00"),
+        page("e4", "web", "d", None, "01 09:00", "A", load="02 00:01"),
+    ]
+    only_web = IdentityConfig(app_ids=("web",))
+    assert rows(base(table, *events, cfg=only_web, run=RUN), "event_id") == [("e1",), ("e3",)]
+    open_end = RunContext(at("01 09:00"), at("02 00:00"), RUN.run_tstamp, lower_inclusive=False)
+    assert rows(base(table, *events, run=open_end), "event_id") == [("e3",)]
+    none = IdentityConfig(event_names=("click",))
+    assert rows(base(table, *events, cfg=none)) == []
+
+
+def test_json_contexts(spark, rows):
+    text = spark.createDataFrame(
+        [
+            (
+                "e1",
+                '[{"identity_id":"A","created_at":"2024-06-01T10:00:00.500Z"}]',
+                '{"identity_id":"P","merged":[{"identity_id":"A","created_at":"2024-06-01T10:00:00Z",'
+                '"merged_at":"2024-06-01T11:00:00Z","triggering_event_id":"m"}],"merges":["A"]}',
+            ),
+            ("e2", "[]", None),
+            ("e3", "{nope", "nope"),
+        ],
+        "event_id string, identity_context string, identity_merge string",
+    )
+    parsed = src.parse_json_contexts(text, CFG)
+    ids = extract.identity_fields(parsed, CFG)
+    got = ids.selectExpr(
+        "event_id", "identity_id", "cast(created_at as string) c",
+        "identity_merge.identity_id p", "cast(identity_merge.merged[0].merged_at as string) m",
+    )
+    assert rows(got) == [
+        ("e1", "A", "2024-06-01 10:00:00.5", "P", "2024-06-01 11:00:00"),
+        ("e2", None, None, None, None),
+        ("e3", None, None, None, None),
+    ]
+
+
+def test_session_time_zone_does_not_shift_times(spark, rows):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        raw = spark.sql(
+            "select 'e' event_id, 'v' event_name, 'web' app_id, 'd' domain_userid, 'u' user_id,"
+            " timestamp '2024-06-01 10:00:00Z' collector_tstamp,"
+            " timestamp '2024-06-01 10:00:00Z' derived_tstamp,"
+            " timestamp '2024-06-01 10:00:00Z' load_tstamp,"
+            " array(named_struct('identity_id', 'A', 'created_at',"
+            "   timestamp '2024-06-01 09:00:00Z')) identity_context,"
+            " cast(null as struct<identity_id:string,merged:array<struct<identity_id:string,"
+            "   created_at:timestamp,merged_at:timestamp,triggering_event_id:string>>,"
+            "   merges:array<string>>) identity_merge"
+        )
+        run = RunContext(at("01 10:00"), at("01 10:00"), RUN.run_tstamp)
+        kept = src.base_events_this_run(raw, CFG, run)
+        assert rows(kept, "derived_tstamp", "created_at") == [("01 10:00", "01 09:00")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_two_identities(table, rows):
+    df = profile.new_identities_this_run(
+        base(
+            table,
+            page("e1", "web", "da", None, "01 10:00", "A"),
+            page("e2", "ios", "db", "ub", "01 10:01", "B"),
+            page("e3", "ios", None, None, "01 10:01", None),
+        ),
+        CFG,
+    )
+    assert rows(df, "identity_id", "first_seen_event_id", "first_app_id", "domain_userid", "user_id") == [
+        ("A", "e1", "web", "da", None),
+        ("B", "e2", "ios", "db", "ub"),
+    ]
+
+
+def test_identity_without_any_identifier_is_still_profiled(table, rows):
+    df = profile.new_identities_this_run(base(table, page("e1", "web", None, None, "01 10:00", "A")), CFG)
+    assert rows(df, "identity_id", "domain_userid") == [("A", None)]
+
+
+def test_first_and_last(table, rows):
+    events = base(
+        table,
+        page("e2", "ios", "d", None, "01 10:05", "A", created="01 03:00"),
+        page("e1", "web", "d", "u", "01 10:00", "A", created="01 02:00"),
+        page("e3", "tv", "d", "u", "01 10:09", "A"),
+    )
+    df = profile.new_identities_this_run(events, CFG)
+    assert rows(df, "created_at", "first_app_id", "last_app_id", "first_derived_tstamp", "last_derived_tstamp") == [
+        ("01 02:00", "web", "tv", "01 10:00", "01 10:09")
+    ]
+    seen = profile.new_identifiers_this_run(events, CFG)
+    assert rows(seen, "id_type", "id_value", "first_seen_event_id", "first_app_id", "last_app_id") == [
+        ("DOMAIN_USERID", "d", "e1", "web", "tv"),
+        ("USER_ID", "u", "e1", "web", "tv"),
+    ]
+
+
+def test_earliest_identifier_not_the_largest(table, rows):
+    events = base(
+        table,
+        page("e1", "web", "aaa", None, "01 10:00", "A"),
+        page("e2", "web", "zzz", None, "01 10:01", "A"),
+    )
+    assert rows(profile.new_identities_this_run(events, CFG), "domain_userid") == [("aaa",)]
+    seen = profile.new_identifiers_this_run(events, CFG)
+    assert rows(extract.pivot_earliest(seen, CFG)) == [("A", "aaa", None)]
+
+
+IDY = schemas.identities(CFG)
+
+
+def test_stored_profile_is_kept_where_it_reaches_further(table, rows):
+    prev = table(IDY, [("A", "01 01:00", "e1", "web", "web", "old", "u1", "01 10:00", "01 12:00")])
+    new = table(IDY, [("A", "01 02:00", "e5", "ios", "ios", "new", None, "01 11:00", "01 13:00")])
+    assert rows(profile.merge_identities(prev, new, CFG)) == [
+        ("A", "01 01:00", "e1", "web", "ios", "new", "u1", "01 10:00", "01 13:00")
+    ]
+
+
+def test_equal_times_take_the_new_row(table, rows):
+    prev = table(IDY, [("A", "01 01:00", "e1", "web", "web", "d", None, "01 10:00", "01 12:00")])
+    new = table(IDY, [("A", "01 02:00", "e2", "ios", "ios", "d", None, "01 10:00", "01 12:00")])
+    got = profile.merge_identities(prev, new, CFG)
+    assert rows(got, "first_seen_event_id", "first_app_id", "last_app_id") == [("e2", "ios", "ios")]
+
+
+def test_configured_expression_becomes_a_column(table, rows):
+    cfg = IdentityConfig(identifiers=(Identifier("lower(user_id)", "login"),))
+    df = profile.new_identities_this_run(
+        base(table, page("e1", "web", "d", "Ann", "01 10:00", "A"), cfg=cfg), cfg
+    )
+    assert rows(df, "identity_id", "login") == [("A", "ann")]
+
+
+def test_config_rejects_bad_identifiers():
+    with pytest.raises(ValueError):
+        IdentityConfig(identifiers=())
+    with pytest.raises(ValueError):
+        IdentityConfig(identifiers=(Identifier("a", "x"), Identifier("b", "X")))
+    with pytest.raises(ValueError):
+        IdentityConfig(identifiers=(Identifier("a", "app_id"),))
