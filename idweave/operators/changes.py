@@ -15,17 +15,19 @@ from idweave.functions.columns import ntz_lit, surrogate_key
 from idweave.operators import mapping
 
 
-def _with_root(edges: DataFrame, this_run: DataFrame) -> DataFrame:
-    roots = this_run.select("identity_id", F.col("active_identity_id").alias("root_id"))
-    return edges.join(roots, "identity_id")
-
-
 def cascade_times(edges: DataFrame, this_run: DataFrame) -> DataFrame:
     """Per root: the latest merge among its children in the batch."""
-    return (
-        _with_root(edges, this_run)
-        .groupBy(F.col("root_id").alias("active_identity_id"))
-        .agg(F.max("merged_at").alias("event_merged_at"))
+    latest = edges.groupBy("identity_id").agg(F.max("merged_at").alias("merged_at"))
+    return _root_times(latest.join(_roots(this_run), "identity_id"))
+
+
+def _roots(this_run: DataFrame) -> DataFrame:
+    return this_run.select("identity_id", F.col("active_identity_id").alias("root_id"))
+
+
+def _root_times(children: DataFrame) -> DataFrame:
+    return children.groupBy(F.col("root_id").alias("active_identity_id")).agg(
+        F.max("merged_at").alias("event_merged_at")
     )
 
 
@@ -73,74 +75,90 @@ def created_changes(identities_this_run: DataFrame) -> DataFrame:
     )
 
 
-def _earliest_per_pair(rows: DataFrame) -> DataFrame:
-    """One row per (parent, child): earliest effective time, then smallest event id."""
-    best = rows.groupBy("identity_id", "previous_identity_id").agg(
-        F.min(F.struct("effective_at", "triggering_event_id")).alias("e")
-    )
-    return best.select(
-        "identity_id",
-        "previous_identity_id",
-        "e.effective_at",
-        F.lit("merged").alias("change_type"),
-        F.col("e.triggering_event_id").alias("first_seen_event_id"),
-    )
-
-
-def drop_reemitted(edges: DataFrame, pre_mapping: DataFrame) -> DataFrame:
-    """Edges not already recorded, same parent and time, before the run."""
-    known = pre_mapping.select("identity_id", "active_identity_id", "merged_at")
-    return edges.join(
-        known, ["identity_id", "active_identity_id", "merged_at"], "left_anti"
-    ).select(*edges.columns)
-
-
 def resolved_merge_changes(
     edges: DataFrame,
     this_run: DataFrame,
     affected: DataFrame,
     pre_mapping: DataFrame | None = None,
 ) -> DataFrame:
-    """(root, child) rows with a cascade-aware effective time.
+    """(root, child) rows with a cascade-aware effective time, one per child.
+
+    A child that is re-rooted by a later merge takes the time of the root's latest
+    merge; a child merged directly keeps its own. With ``pre_mapping``, the mapping
+    before the run, edges recorded there with the same parent and time are not
+    emitted again, but they still count for the cascade times.
 
-    A child that is re-rooted by a later merge takes that merge's time; a child
-    merged directly keeps its own. With ``pre_mapping`` edges that were already
-    recorded are not emitted again, but they still count for the cascade times.
+    The edges are folded to one row per child first. All joins on the child are
+    then one-to-one, and the join on the root is the last step, where a root with
+    very many children can be split.
     """
-    fresh = edges if pre_mapping is None else drop_reemitted(edges, pre_mapping)
-    cascading = cascade_children(edges, affected).withColumn("cascading", F.lit(True))
-    times = cascade_times(edges, this_run).withColumnRenamed("active_identity_id", "root_id")
-    promoted = F.col("cascading") & (F.col("merged_at") < F.col("event_merged_at"))
+    if pre_mapping is None:
+        marked = edges.withColumn("known", F.lit(False))
+    else:
+        recorded = pre_mapping.select(
+            "identity_id", "active_identity_id", "merged_at", F.lit(True).alias("known")
+        )
+        marked = edges.join(
+            recorded, ["identity_id", "active_identity_id", "merged_at"], "left"
+        ).withColumn("known", F.coalesce("known", F.lit(False)))
+    fresh = ~F.col("known")
+    per_child = marked.groupBy("identity_id").agg(
+        F.max("merged_at").alias("merged_at"),
+        F.min("active_identity_id").alias("lo"),
+        F.max("active_identity_id").alias("hi"),
+        F.min(F.when(fresh, F.struct("merged_at", "triggering_event_id"))).alias("own"),
+        F.min(F.when(fresh, F.col("triggering_event_id"))).alias("any_event"),
+    )
+    moved = affected.select("identity_id").distinct().withColumn("moved", F.lit(True))
+    children = per_child.join(_roots(this_run), "identity_id")
+    times = _root_times(children.select("root_id", "merged_at")).withColumnRenamed(
+        "active_identity_id", "root_id"
+    )
     rows = (
-        _with_root(fresh, this_run)
-        .join(cascading, "identity_id", "left")
-        .join(times, "root_id")
+        children.where(F.col("own").isNotNull())
+        .join(moved, "identity_id", "left")
         .select(
-            F.col("root_id").alias("identity_id"),
-            F.col("identity_id").alias("previous_identity_id"),
-            F.when(promoted, F.col("event_merged_at"))
-            .otherwise(F.col("merged_at"))
-            .alias("effective_at"),
-            "triggering_event_id",
+            "root_id",
+            "identity_id",
+            "own",
+            "any_event",
+            (F.col("moved").isNotNull() | (F.col("lo") != F.col("hi"))).alias("cascading"),
         )
+        .join(times, "root_id")
+    )
+    # a cascading child's edges all take the root's time, so the smallest event id names it
+    return rows.select(
+        F.col("root_id").alias("identity_id"),
+        F.col("identity_id").alias("previous_identity_id"),
+        F.when(F.col("cascading"), F.col("event_merged_at"))
+        .otherwise(F.col("own.merged_at"))
+        .alias("effective_at"),
+        F.lit("merged").alias("change_type"),
+        F.when(F.col("cascading"), F.col("any_event"))
+        .otherwise(F.col("own.triggering_event_id"))
+        .alias("first_seen_event_id"),
     )
-    return _earliest_per_pair(rows)
 
 
 def intermediate_merge_changes(edges: DataFrame) -> DataFrame:
-    """(intermediate, child) rows, so a step of a chain inside one batch is kept."""
+    """(intermediate, child) rows, so a step of a chain inside one batch is kept.
+
+    Every child of an intermediate parent takes the parent's latest merge time.
+    """
     inner = mapping.intermediate_parents(edges).withColumnRenamed(
         "intermediate_id", "active_identity_id"
     )
-    steps = edges.join(inner, "active_identity_id", "left_semi")
-    times = intermediate_event_times(steps)
-    rows = steps.join(times, "active_identity_id").select(
+    times = intermediate_event_times(edges).join(inner, "active_identity_id", "left_semi")
+    pairs = edges.groupBy("active_identity_id", "identity_id").agg(
+        F.min("triggering_event_id").alias("first_seen_event_id")
+    )
+    return pairs.join(times, "active_identity_id").select(
         F.col("active_identity_id").alias("identity_id"),
         F.col("identity_id").alias("previous_identity_id"),
         F.col("event_merged_at").alias("effective_at"),
-        "triggering_event_id",
+        F.lit("merged").alias("change_type"),
+        "first_seen_event_id",
     )
-    return _earliest_per_pair(rows)
 
 
 def orphan_merge_changes(orphans: DataFrame, edges: DataFrame) -> DataFrame:
@@ -151,32 +169,35 @@ def orphan_merge_changes(orphans: DataFrame, edges: DataFrame) -> DataFrame:
     """
     events = edges.groupBy(
         F.col("active_identity_id").alias("identity_id"), F.col("merged_at").alias("effective_at")
-    ).agg(F.min("triggering_event_id").alias("triggering_event_id"))
-    return _earliest_per_pair(orphans.join(events, ["identity_id", "effective_at"]))
+    ).agg(F.min("triggering_event_id").alias("first_seen_event_id"))
+    return orphans.join(events, ["identity_id", "effective_at"]).select(
+        "identity_id",
+        "previous_identity_id",
+        "effective_at",
+        F.lit("merged").alias("change_type"),
+        "first_seen_event_id",
+    )
 
 
-def with_app_ids(
-    merged: DataFrame,
-    identities: DataFrame,
-    identities_this_run: DataFrame,
-    absorbed: DataFrame,
+def first_apps(
+    absorbed: DataFrame, identities: DataFrame, identities_this_run: DataFrame
 ) -> DataFrame:
-    """Add the absorbed identity's first app: stored profile first, then the batch's.
+    """First app per absorbed identity: the stored profile's, else the batch's.
 
-    ``absorbed`` are the ids that can occur as children; the profile table is cut
-    down to them before it is joined.
+    ``absorbed`` has one row per id; the profile table is cut down to those ids
+    before it is joined, and every join is one-to-one.
     """
     stored = identities.join(absorbed, "identity_id", "left_semi").select(
-        F.col("identity_id").alias("previous_identity_id"), F.col("first_app_id").alias("h_app")
-    )
-    batch = identities_this_run.select(
-        F.col("identity_id").alias("previous_identity_id"), F.col("first_app_id").alias("n_app")
+        "identity_id", F.col("first_app_id").alias("stored_app")
     )
+    batch = identities_this_run.select("identity_id", F.col("first_app_id").alias("batch_app"))
     return (
-        merged.join(stored, "previous_identity_id", "left")
-        .join(batch, "previous_identity_id", "left")
-        .withColumn("first_seen_app_id", F.coalesce("h_app", "n_app"))
-        .drop("h_app", "n_app")
+        absorbed.join(stored, "identity_id", "left")
+        .join(batch, "identity_id", "left")
+        .select(
+            F.col("identity_id").alias("previous_identity_id"),
+            F.coalesce("stored_app", "batch_app").alias("first_seen_app_id"),
+        )
     )
 
 
@@ -197,7 +218,9 @@ def id_changes_this_run(
     )
     absorbed = edges.select("identity_id").unionByName(affected.select("identity_id")).distinct()
     rows = created_changes(identities_this_run).unionByName(
-        with_app_ids(merged, identities, identities_this_run, absorbed)
+        merged.join(
+            first_apps(absorbed, identities, identities_this_run), "previous_identity_id", "left"
+        )
     )
     return rows.select(
         surrogate_key("identity_id", "previous_identity_id").alias("id_change_key"),

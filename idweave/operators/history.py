@@ -200,6 +200,8 @@ def active_as_of(
         ),
         allowMissingColumns=True,
     )
+    # the join above left a day in one place; spread its cuts
+    rows = rows.repartition("identity_id", "day", "cut")
     so_far = (
         Window.partitionBy("identity_id", "day", "cut")
         .orderBy("at", "is_fact")
