@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from idweave.config import IdentityConfig, RunContext
 from idweave.functions.columns import utc_lit, utc_ntz
@@ -63,13 +64,14 @@ def dedupe_events(
     """One row per event id; the earliest collector time survives.
 
     Ties go to the earliest derived time, then to the remaining columns in order,
-    so the survivor does not depend on the partitioning. Copies are folded on the
-    map side, so an id repeated a billion times is still one row per map task.
+    so the survivor does not depend on the partitioning. Ranking stops at the
+    first row on the map side already, so an id repeated a billion times is still
+    one row per map task when it is shuffled.
     """
     lead = [c for c in (order, "derived_tstamp") if c in df.columns]
     rest = [c for c in df.columns if c != key and c not in lead]
-    best = df.groupBy(key).agg(F.min(F.struct(*lead, *rest)).alias("row"))
-    return best.select(key, "row.*").select(*df.columns)
+    ranked = Window.partitionBy(key).orderBy(*lead, *rest)
+    return df.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")
 
 
 def project_events(raw: DataFrame, cfg: IdentityConfig) -> DataFrame:
