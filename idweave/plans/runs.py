@@ -14,7 +14,12 @@ from idweave.functions.columns import ntz_lit, utc_lit, utc_ntz
 from idweave.plans import manifest as mf
 from idweave.plans.batch import TABLES, apply_batch, closure, stage_batch
 from idweave.plans.store import TableStore, empty_table
-from idweave.sources.events import arrival_bounds, base_events_this_run
+from idweave.sources.events import (
+    arrival_bounds,
+    base_events_this_run,
+    filter_app_ids,
+    filter_event_names,
+)
 
 
 def _time(text: str | None) -> datetime | None:
@@ -37,14 +42,6 @@ def load_manifest(store: TableStore) -> DataFrame:
     return store.spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def _bounds(events: DataFrame, where: object | None = None) -> tuple[datetime, datetime] | None:
-    dtype = dict(events.dtypes)["load_tstamp"]
-    loads = events if where is None else events.where(where)
-    row = loads.select(utc_ntz(F.col("load_tstamp"), dtype).alias("load_tstamp"))
-    first = row.agg(F.min("load_tstamp"), F.max("load_tstamp")).first()
-    return None if first[0] is None else (first[0], first[1])
-
-
 def plan_run(
     store: TableStore,
     cfg: IdentityConfig,
@@ -55,25 +52,26 @@ def plan_run(
     """The next window with events in it, or None when everything is consumed.
 
     When the next window is empty but later events exist, it starts at the first
-    of them, so a gap longer than the backfill limit cannot stall the runs.
+    of them, so a gap longer than the backfill limit cannot stall the runs. Events
+    the configuration filters out do not count.
     """
     wanted = closure(models)
     status = mf.manifest_status(load_manifest(store), wanted)
     limits = mf.run_limits(status, cfg).first()
     lower, upper, inclusive = limits["lower_limit"], limits["upper_limit"], limits["lower_inclusive"]
+    kept = filter_event_names(filter_app_ids(events, cfg.app_ids), cfg.event_names)
     dtype = dict(events.dtypes)["load_tstamp"]
     load, low = F.col("load_tstamp"), utc_lit(lower, dtype)
-    beyond = load >= low if inclusive else load > low
+    kept = kept.where(load >= low if inclusive else load > low)
     if cfg.load_date_column:
-        beyond = beyond & (F.col(cfg.load_date_column) >= F.lit(lower.date()))
-    arrived = _bounds(events, beyond)
-    if arrived is None:
+        kept = kept.where(F.col(cfg.load_date_column) >= F.lit(lower.date()))
+    arrived = arrival_bounds(kept.select(utc_ntz(load, dtype).alias("load_tstamp"))).first()
+    if not arrived["events"]:
         return None
-    first, last = arrived
-    if first > upper and limits["state"] in ("first", "next"):
-        lower, inclusive = first, True
-        upper = first + timedelta(days=cfg.backfill_limit_days)
-    return RunContext(lower, min(upper, last), run_tstamp, inclusive)
+    if arrived["first_load"] > upper:
+        lower, inclusive = arrived["first_load"], True
+        upper = lower + timedelta(days=cfg.backfill_limit_days)
+    return RunContext(lower, min(upper, arrived["last_load"]), run_tstamp, inclusive)
 
 
 def execute(
@@ -130,10 +128,10 @@ def run_next(
     run_tstamp: datetime,
     outputs: Iterable[str] = TABLES,
 ) -> RunContext | None:
-    """Plan and execute the next window."""
+    """Plan and execute the next window; None when there was nothing to do."""
     run = plan_run(store, cfg, events, run_tstamp, outputs)
-    if run is not None:
-        execute(store, cfg, events, run, outputs)
+    if run is None or execute(store, cfg, events, run, outputs) is None:
+        return None
     return run
 
 
