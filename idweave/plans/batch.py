@@ -58,12 +58,15 @@ def apply_batch(
     run: RunContext,
     outputs: Iterable[str] = TABLES,
 ) -> set[str]:
-    """Update the tables from one staged batch (:func:`stage_batch`); returns the tables updated.
+    """Update the tables ``outputs`` from one staged batch (:func:`stage_batch`).
 
-    Steps that do not read each other's results are submitted as concurrent Spark
-    jobs, so the tail of one does not leave the cluster idle. The caller commits.
+    Tables they are computed from but that are not among them are only read: they
+    have consumed the batch before. Returns the tables updated. Steps that do not
+    read each other's results are submitted as concurrent Spark jobs, so the tail
+    of one does not leave the cluster idle. The caller commits.
     """
-    wanted = closure(outputs)
+    updated = set(outputs)
+    wanted = closure(updated)
     layouts = schemas.tables(cfg)
     merge_events = extract.merge_events_this_run(base.where("is_merge"), cfg)
 
@@ -73,7 +76,8 @@ def apply_batch(
     def upsert(
         table: str, rows: DataFrame, deletes: DataFrame | None = None, staged: bool = False
     ) -> None:
-        txn.upsert(table, schemas.KEYS[table], rows, deletes, staged)
+        if table in updated:
+            txn.upsert(table, schemas.KEYS[table], rows, deletes, staged)
 
     def update_identities(observed: DataFrame) -> DataFrame:
         seen = txn.stage("identities_this_run", profile.identities_from(observed, cfg))
@@ -103,7 +107,8 @@ def apply_batch(
         edges: DataFrame, this_run: DataFrame, affected: DataFrame, seen: DataFrame
     ) -> DataFrame:
         recorded = None
-        if cfg.suppress_reemission:
+        # meaningless when the log replays a batch the mapping is already past
+        if cfg.suppress_reemission and "id_mapping" in updated:
             children = edges.select("identity_id")
             recorded = stored("id_mapping").join(children, "identity_id", "left_semi")
         profiles = txn.read("identities")
@@ -161,4 +166,4 @@ def apply_batch(
                 last.append(submit(update_history, changed, this_run))
         for step in last:
             step.result()
-    return wanted
+    return updated
