@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from idweave.config import RunContext
 from idweave.functions.columns import ntz_lit, surrogate_key
+from idweave.functions.joins import own_shuffle
 from idweave.operators import mapping
 
 
@@ -124,7 +125,7 @@ def resolved_merge_changes(
             "any_event",
             (F.col("moved").isNotNull() | (F.col("lo") != F.col("hi"))).alias("cascading"),
         )
-        .join(times, "root_id")
+        .join(own_shuffle(times, "root_id"), "root_id")
     )
     # a cascading child's edges all take the root's time, so the smallest event id names it
     return rows.select(
@@ -152,6 +153,7 @@ def intermediate_merge_changes(edges: DataFrame) -> DataFrame:
     pairs = edges.groupBy("active_identity_id", "identity_id").agg(
         F.min("triggering_event_id").alias("first_seen_event_id")
     )
+    times = own_shuffle(times, "active_identity_id")
     return pairs.join(times, "active_identity_id").select(
         F.col("active_identity_id").alias("identity_id"),
         F.col("identity_id").alias("previous_identity_id"),
@@ -170,6 +172,7 @@ def orphan_merge_changes(orphans: DataFrame, edges: DataFrame) -> DataFrame:
     events = edges.groupBy(
         F.col("active_identity_id").alias("identity_id"), F.col("merged_at").alias("effective_at")
     ).agg(F.min("triggering_event_id").alias("first_seen_event_id"))
+    events = own_shuffle(events, "identity_id")
     return orphans.join(events, ["identity_id", "effective_at"]).select(
         "identity_id",
         "previous_identity_id",
@@ -217,10 +220,11 @@ def id_changes_this_run(
         .unionByName(orphan_merge_changes(orphan_cascades(affected, this_run, edges), edges))
     )
     absorbed = edges.select("identity_id").unionByName(affected.select("identity_id")).distinct()
+    apps = own_shuffle(
+        first_apps(absorbed, identities, identities_this_run), "previous_identity_id"
+    )
     rows = created_changes(identities_this_run).unionByName(
-        merged.join(
-            first_apps(absorbed, identities, identities_this_run), "previous_identity_id", "left"
-        )
+        merged.join(apps, "previous_identity_id", "left")
     )
     return rows.select(
         surrogate_key("identity_id", "previous_identity_id").alias("id_change_key"),

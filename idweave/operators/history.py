@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from idweave.functions.columns import ntz_lit, surrogate_key
+from idweave.functions.joins import own_shuffle
 
 COLUMNS = ["scd_key", "identity_id", "active_identity_id", "effective_at", "change_type"]
 
@@ -23,6 +24,7 @@ def ids_affected(changes: DataFrame) -> DataFrame:
 
 def scd_history(prev: DataFrame, ids: DataFrame) -> DataFrame:
     """Stored history of those ids only."""
+    ids = own_shuffle(ids, "identity_id")
     return prev.join(ids, "identity_id", "left_semi").select(*COLUMNS)
 
 
@@ -174,6 +176,7 @@ def active_as_of(
         .where(F.col("cuts").isNotNull())
         .select("identity_id", "day", "cuts", "carry")
     )
+    days = own_shuffle(days, "identity_id")
 
     asked = facts.select(
         "identity_id",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from idweave.config import IdentityConfig
 from idweave.functions.columns import surrogate_key
+from idweave.functions.joins import own_shuffle
 from idweave.operators.extract import hash_identifier_values
 
 KEY = ["active_identity_id", "id_type", "id_value"]
@@ -93,9 +94,9 @@ def resolve_history(
         .distinct()
     )
     values = new.select("id_type", "id_value").distinct()
-    relevant = stored.join(ids, "active_identity_id", "left_semi").join(
-        values, ["id_type", "id_value"], "left_semi"
-    )
+    relevant = stored.join(
+        own_shuffle(values, "id_value"), ["id_type", "id_value"], "left_semi"
+    ).join(own_shuffle(ids, "active_identity_id"), "active_identity_id", "left_semi")
     return _resolve_stored(relevant, mapping)
 
 
@@ -153,6 +154,7 @@ def affected_stored(
     facts = ids.join(absorbed, "active_identity_id", "left").join(
         parents, "active_identity_id", "left"
     )
+    facts = own_shuffle(facts, "active_identity_id")
     return stored.join(facts, "active_identity_id").select(
         F.col("uuid").alias("old_uuid"),
         F.coalesce("parent", "active_identity_id").alias("active_identity_id"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from idweave.config import RunContext
 from idweave.functions.columns import ntz_lit
+from idweave.functions.joins import own_shuffle
 
 
 def _children(edges: DataFrame) -> DataFrame:
@@ -34,6 +35,7 @@ def intermediate_parents(edges: DataFrame) -> DataFrame:
 
 def edges_to_roots(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Edges whose parent is a root."""
+    roots = own_shuffle(roots, "active_identity_id")
     return edges.join(roots, "active_identity_id", "left_semi").select(*edges.columns)
 
 
@@ -53,7 +55,7 @@ def id_mapping_this_run(edges: DataFrame, run: RunContext) -> DataFrame:
     """
     inner = intermediate_parents(edges).withColumnRenamed("intermediate_id", "active_identity_id")
     to_roots = edges.where(F.col("active_identity_id").isNotNull()).join(
-        inner, "active_identity_id", "left_anti"
+        own_shuffle(inner, "active_identity_id"), "active_identity_id", "left_anti"
     )
     return latest_parent(to_roots).withColumn("model_tstamp", ntz_lit(run.run_tstamp))
 
