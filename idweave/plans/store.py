@@ -137,6 +137,50 @@ class TableStore:
     def begin(self) -> Transaction:
         return Transaction(self)
 
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete staging folders and bucket folders none of the last ``keep`` commits uses.
+
+        Folders of runs newer than the latest commit are left alone. Returns what
+        was deleted.
+        """
+        commits = self.spark.read.schema(COMMIT_SCHEMA).json(self._commits)
+        recent = commits.orderBy(F.desc("version")).limit(keep).collect()
+        newest = max(r["version"] for r in recent)
+        live = {
+            f"{table}/{token}/{BUCKET}={b}"
+            for r in recent
+            for table, meta in json.loads(r["payload"])["tables"].items()
+            for b, token in meta["parts"].items()
+        }
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        fs = jvm.org.apache.hadoop.fs.Path(self.root).getFileSystem(conf)
+
+        def children(path: str) -> list[str]:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            if not fs.exists(folder):
+                return []
+            return [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+
+        def finished(token: str) -> bool:
+            return int(token[1:].split("-")[0]) <= newest
+
+        doomed = [
+            f"{self.root}/staging/{token}"
+            for token in children(f"{self.root}/staging")
+            if finished(token)
+        ]
+        for table in children(f"{self.root}/tables"):
+            for token in filter(finished, children(f"{self.root}/tables/{table}")):
+                doomed += [
+                    f"{self.root}/tables/{table}/{token}/{part}"
+                    for part in children(f"{self.root}/tables/{table}/{token}")
+                    if f"{table}/{token}/{part}" not in live
+                ]
+        for path in doomed:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
+        return doomed
+
 
 def buckets_for(df: DataFrame, bytes_per_bucket: int = 512 << 20, most: int = 20_000) -> int:
     """A bucket count for tables fed by ``df``, from the optimiser's estimate of its size."""

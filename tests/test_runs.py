@@ -10,6 +10,7 @@ from idweave.plans import manifest as mf
 from idweave.plans import publish, runs
 from idweave.plans.scratch import scratch_dir
 from idweave.plans.store import TableStore, layout
+from idweave.sources.events import read_typed_csv
 from idweave.streaming.stream import process_micro_batch, stream_identities
 from tests.conftest import at
 from tests.test_extract import BASE, merge, page
@@ -76,6 +77,19 @@ def test_every_row_deleted(spark, table, rows):
     assert rows(store.read("t")) == []
 
 
+def test_vacuum_keeps_what_recent_commits_use(spark, table, rows):
+    store = new_store(spark, buckets=4)
+    for n in range(4):
+        put(store, table(KV, [(str(i), str(n)) for i in range(12 if n == 0 else 3)]))
+    want = rows(store.read("t"))
+    gone = store.vacuum(keep=1)
+    assert any("/staging/" in g for g in gone) and any("/tables/" in g for g in gone)
+    assert rows(TableStore(spark, store.root).read("t")) == want
+    assert store.vacuum(keep=1) == []
+    put(store, table(KV, [("0", "9")]))
+    assert store.read("t").count() == 12
+
+
 def limits(spark, table, rows, spans, models=("a", "b")):
     manifest = table(schemas.MANIFEST, spans)
     got = rows(mf.run_limits(mf.manifest_status(manifest, models), CFG))
@@ -224,6 +238,14 @@ def test_history_can_be_rewritten_for_affected_ids(spark, table, rows):
     assert ("B", "02 11:00", None) in got[False]
 
 
+def test_typed_csv(spark, rows):
+    path = scratch_dir(spark, "csv")
+    spark.sql("select 'B' identity_id, 'A' active_identity_id, '2024-06-01 10:00:00' merged_at,"
+              " '2024-06-09 00:00:00' model_tstamp").write.csv(path, header=True)
+    got = read_typed_csv(spark, path, schemas.ID_MAPPING)
+    assert rows(got) == [("B", "A", "01 10:00", "09 00:00")]
+
+
 def test_views_and_export(spark, table, rows):
     store = new_store(spark)
     runs.catch_up(store, CFG, table(BASE, EVENTS), NOW)

@@ -96,6 +96,31 @@ def test_hot_parent_is_absorbed(spark, tiny_thresholds):
     assert n == N and "SortMergeJoin(skew=true)" in plan
 
 
+def test_hot_intermediate_parent_and_hot_history(spark, tiny_thresholds):
+    """The hot root is itself absorbed in the same batch; many others are too."""
+    tops = spark.sql(
+        "select concat('top', id) active_identity_id, if(id = 0, 'hot', concat('p', id)) identity_id,"
+        " timestamp_ntz '2024-06-05' merged_at, 'm9' triggering_event_id from range(900)"
+    )
+    edges = saved(spark, star(spark).unionByName(tops), "edges")
+    n, plan = final_plan(changes.intermediate_merge_changes(edges))
+    assert n > N and "SortMergeJoin(skew=true)" in plan
+    scd = saved(
+        spark,
+        star(spark).select(
+            F.concat(F.lit("k"), "identity_id").alias("scd_key"),
+            F.col("active_identity_id").alias("identity_id"),
+            F.col("identity_id").alias("active_identity_id"),
+            F.col("merged_at").alias("effective_at"),
+            F.lit("merged").alias("change_type"),
+        ),
+        "scd",
+    )
+    ids = saved(spark, tops.select("identity_id"), "ids").distinct()
+    n, plan = final_plan(history.scd_history(scd, ids))
+    assert n > N and "SortMergeJoin(skew=true)" in plan
+
+
 def sightings(spark):
     """Identifier rows, most of them of one identity."""
     return spark.range(0, N, 1, 16).select(
