@@ -896,10 +896,10 @@ def dq_scd_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "diff_tables",
     f"""
-    select {MAP}, 'left' as side, 1 as copies
+    select {MAP}, 'left' as side, cast(1 as bigint) as copies
     from (select {MAP} from map_2 except all select {MAP} from map_1)
     union all
-    select {MAP}, 'right' as side, 1 as copies
+    select {MAP}, 'right' as side, cast(1 as bigint) as copies
     from (select {MAP} from map_1 except all select {MAP} from map_2)
     """,
 )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime
 
 
@@ -97,8 +97,3 @@ class RunContext:
     upper: datetime
     run_tstamp: datetime
     lower_inclusive: bool = True
-    run_id: str = field(default="")
-
-    def __post_init__(self) -> None:
-        if not self.run_id:
-            object.__setattr__(self, "run_id", self.upper.strftime("%Y%m%dT%H%M%S%f"))

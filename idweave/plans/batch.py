@@ -135,6 +135,9 @@ def apply_batch(
             "identifier_mapping_this_run",
             lookup.identifier_mapping_this_run(identifiers, after, cfg),
         )
+        if not txn.store.exists("identifier_mapping"):
+            upsert("identifier_mapping", new, staged=True)
+            return
         touched = txn.stage(
             "identifier_mapping_affected",
             lookup.affected_stored(stored("identifier_mapping"), after, this_run, new),

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import replace
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from idweave import schemas
 from idweave.config import IdentityConfig, RunContext
-from idweave.functions.columns import ntz_lit, utc_lit, utc_ntz
+from idweave.functions.columns import ntz_lit, utc_ntz
 from idweave.plans import manifest as mf
 from idweave.plans.batch import TABLES, apply_batch, closure, stage_batch
 from idweave.plans.store import TableStore, empty_table
@@ -19,6 +20,7 @@ from idweave.sources.events import (
     base_events_this_run,
     filter_app_ids,
     filter_event_names,
+    select_run_window,
 )
 
 
@@ -60,18 +62,24 @@ def plan_run(
     limits = mf.run_limits(status, cfg).first()
     lower, upper, inclusive = limits["lower_limit"], limits["upper_limit"], limits["lower_inclusive"]
     kept = filter_event_names(filter_app_ids(events, cfg.app_ids), cfg.event_names)
-    dtype = dict(events.dtypes)["load_tstamp"]
-    load, low = F.col("load_tstamp"), utc_lit(lower, dtype)
-    kept = kept.where(load >= low if inclusive else load > low)
-    if cfg.load_date_column:
-        kept = kept.where(F.col(cfg.load_date_column) >= F.lit(lower.date()))
-    arrived = arrival_bounds(kept.select(utc_ntz(load, dtype).alias("load_tstamp"))).first()
-    if not arrived["events"]:
+    window = RunContext(lower, upper, run_tstamp, inclusive)
+    # normally only the partitions of the window are looked at
+    inside = _arrivals(select_run_window(kept, window, cfg.load_date_column))
+    if inside["events"]:
+        return replace(window, upper=inside["last_load"])
+    ever = RunContext(upper, datetime.max, run_tstamp, False)
+    later = _arrivals(select_run_window(kept, ever, cfg.load_date_column))
+    if not later["events"]:
         return None
-    if arrived["first_load"] > upper:
-        lower, inclusive = arrived["first_load"], True
-        upper = lower + timedelta(days=cfg.backfill_limit_days)
-    return RunContext(lower, min(upper, arrived["last_load"]), run_tstamp, inclusive)
+    first = later["first_load"]
+    limit = first + timedelta(days=cfg.backfill_limit_days)
+    return RunContext(first, min(limit, later["last_load"]), run_tstamp)
+
+
+def _arrivals(events: DataFrame) -> Row:
+    dtype = dict(events.dtypes)["load_tstamp"]
+    loads = events.select(utc_ntz(F.col("load_tstamp"), dtype).alias("load_tstamp"))
+    return arrival_bounds(loads).first()
 
 
 def execute(
