@@ -36,6 +36,16 @@ CLUSTER_BY = {
     "id_mapping_scd": ["identity_id", "active_identity_id"],
 }
 
+# Bucket count of each table relative to the largest one, by their usual sizes.
+BUCKET_SHARE = {
+    "identifier_mapping": 1.0,
+    "identities": 0.5,
+    "id_changes": 0.5,
+    "id_mapping_scd": 0.5,
+    "id_mapping": 0.25,
+    "merge_events": 0.25,
+}
+
 # Time column each table is partitioned by when it is exported by day.
 DAY_OF = {
     "merge_events": "derived_tstamp",
@@ -72,9 +82,11 @@ def write_full(df: DataFrame, path: str, table: str) -> None:
 
 
 class TableStore:
-    """A folder of tables. ``buckets`` sets the bucket count of tables made from now on.
+    """A folder of tables.
 
-    Aim for buckets of roughly half a gigabyte; the count is kept per table.
+    ``buckets`` is the bucket count of the largest table, the others get their share
+    of it. Aim for buckets of a few hundred megabytes. A table keeps the count it was
+    made with.
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 16) -> None:
@@ -83,6 +95,10 @@ class TableStore:
         self.buckets = buckets
         self._state: dict | None = None
 
+    def bucket_count(self, table: str) -> int:
+        """Buckets a table gets when it is made."""
+        return max(1, round(self.buckets * BUCKET_SHARE.get(table, 1.0)))
+
     @property
     def _commits(self) -> str:
         return f"{self.root}/commits"
@@ -182,9 +198,13 @@ class TableStore:
         return doomed
 
 
-def buckets_for(df: DataFrame, bytes_per_bucket: int = 512 << 20, most: int = 20_000) -> int:
-    """A bucket count for tables fed by ``df``, from the optimiser's estimate of its size."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def buckets_for(events: DataFrame, bytes_per_bucket: int = 4 << 30, most: int = 20_000) -> int:
+    """A bucket count from the optimiser's estimate of the size of the events.
+
+    The tables are a small part of the events they come from, so a bucket stands for
+    several gigabytes of events.
+    """
+    size = int(events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return max(4, min(most, -(-size // bytes_per_bucket)))
 
 
@@ -227,7 +247,7 @@ class Transaction:
         says they are already; the first load of a table is written straight.
         """
         meta = self.state["tables"].get(table)
-        buckets = meta["buckets"] if meta else self.store.buckets
+        buckets = meta["buckets"] if meta else self.store.bucket_count(table)
         bucket = F.pmod(F.hash(key), F.lit(buckets))
         if meta and not staged:
             updates = self.stage(f"{table}_updates", updates)
