@@ -39,21 +39,6 @@ BATCHES = (
 )
 WHOLE = RunContext(datetime(2024, 1, 1), datetime(2024, 12, 31), RUN_TIMES[0])
 
-COLUMNS = [
-    "event_id",
-    "event_name",
-    "app_id",
-    "domain_userid",
-    "user_id",
-    "network_userid",
-    "collector_tstamp",
-    "derived_tstamp",
-    "load_tstamp",
-    "identity_context",
-    "identity_merge",
-]
-
-
 def _tag(prefix: str, col: str | Column) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.concat(F.lit(prefix), c.cast("string"))
