@@ -11,13 +11,16 @@ from pyspark.sql import SparkSession
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
-    Only when the session names none, as in a local test, a temporary folder is
-    made and set for the session.
+    A session without one gets a temporary folder only in local mode, where the driver
+    and the executors are one process; on a cluster a machine-local folder would lose
+    rows, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="idweave-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
