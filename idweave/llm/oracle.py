@@ -74,3 +74,73 @@ with d as (
 )
 select *, not base_failed and removed_words * 100 <= n_words * 50 as kept from b
 """
+
+ORACLES["op2_chat"] = r"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), p as (
+  select *, contains(text, '</turn>') or contains(text, '### ') as esc,
+    case when regexp_full_match(role, '[a-z]+') then role else to_json(role)::varchar end as named from c
+), f as (
+  select *, length(named) + 4 + if(esc, 1, 0) + 2 + 8 + length(if(esc, replace(replace(replace(
+    text, '\', '\\'), '</turn>', '<\/turn>'), '### ', '#\## '), text)) as chars from p
+), g as (
+  select conv_id, count(*) as n_turns, sum(chars)::bigint as formatted_chars,
+    string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as whole,
+    coalesce(string_agg(if(role = 'assistant', text, ''), '' order by turn, role, text), '') as loss
+  from f group by conv_id
+)
+select conv_id, n_turns, sha256(whole) as turns_sha256, length(loss)::bigint as loss_chars,
+  sha256(loss) as loss_sha256, formatted_chars from g
+"""
+
+ORACLES["op6_warc"] = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as h from pages
+), d as (
+  select page_id, payload_bytes, min(page_id) over (partition by h) as first_id,
+    array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      (((('0x' || substr(h, ((i // 4) * 5 + 1)::int, 5))::bigint >> (15 - 5 * (i % 4))::int) & 31) + 1)::int, 1)), '')
+      as payload_digest from p
+)
+select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
+  if(page_id = first_id, 'response', 'revisit') as record_type,
+  if(page_id = first_id, null, first_id) as refers_to from d
+"""
+
+
+def _license_sql() -> str:
+    from idweave.llm.license_rules import RULES, SENTENCES
+
+    known = ", ".join(f"('{s}', '{i}')" for s, i in SENTENCES.items())
+    steps = ["rest0 as (select r, doc_id, ids as rest, n, []::varchar[] as found from seq)"]
+    for k, (name, ids) in enumerate(RULES, start=1):
+        want = "".join(f"<{i}>" for i in ids)
+        steps.append(
+            f"rest{k} as (select r, doc_id, n, replace(rest, '{want}', '<>') as rest, "
+            f"if(contains(rest, '{want}') and not list_contains(found, '{name}'), "
+            f"list_append(found, '{name}'), found) as found from rest{k - 1})"
+        )
+    return f"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents
+), known(norm, id) as (values {known}
+), cut as (
+  select r, string_split(regexp_replace(translate(t, {_UPPER}), '([.!?;:])[\x20\x09\x0B-\x0D]+', '\1\n', 'g'), chr(10)) as s
+  from d
+), sent as (
+  select r, i, trim(regexp_replace(s[i], '[^a-z0-9]+', ' ', 'g'), ' ') as norm
+  from (select r, s, unnest(range(1, len(s) + 1)) as i from cut)
+), hit as (
+  select r, string_agg('<' || id || '>', '' order by i) as ids, count(*) as n from sent join known using (norm) group by r
+), seq as (
+  select r, doc_id, coalesce(ids, '') as ids, coalesce(n, 0)::bigint as n from d left join hit using (r)
+), {", ".join(steps)}
+select seq.doc_id, seq.ids as sentence_ids, array_to_string(found, ',') as licenses, seq.n as n_sentences,
+  len(regexp_extract_all(rest, '<[^>]+>'))::bigint as n_unmatched
+from rest{len(RULES)} as last join seq using (r)
+"""
+
+
+ORACLES["op1_license_rules"] = _license_sql()
