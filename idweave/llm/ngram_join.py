@@ -356,7 +356,7 @@ def similar_documents(
 def one_of_each_group(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The document with the smallest doc_id of each component, all columns; the rest go.
 
-    Documents with a null doc_id have no link and stay.
+    A row with a null doc_id stays only if its whole component has no other id.
     """
     keep = similar_documents(docs).where("doc_id <=> component_id").select("doc_id").distinct()
     return docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi")

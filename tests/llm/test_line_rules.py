@@ -1,0 +1,134 @@
+"""Line rules against a plain Python version and at the edges."""
+
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from idweave.llm import line_rules as lr
+
+SEPARATORS = re.compile(r"[\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def words(text):
+    return [w for w in SEPARATORS.split(text) if w]
+
+
+def norm(line):
+    folded = "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
+    return SEPARATORS.sub(" ", folded).strip(" ")
+
+
+def expected(docs, least_docs, percent, most_lost):
+    held, texts = defaultdict(set), defaultdict(set)
+    for _, text, _, source, _ in docs:
+        texts[source].add(text)
+        for line in {norm(x) for x in (text or "").split("\n")} - {""}:
+            held[source, line].add(text)
+    out = []
+    for doc_id, text, _, source, _ in docs:
+        t = text or ""
+        w = words(t)
+        tri = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+        count = Counter(tri)
+        covered = {i + k for i, g in enumerate(tri) if count[g] > 1 for k in range(3)}
+        lines = [x for x in t.split("\n") if words(x)]
+        often = [
+            x
+            for x in lines
+            if len(held[source, norm(x)]) > least_docs
+            and len(held[source, norm(x)]) * 100 > len(texts[source]) * percent
+        ]
+        removed = sum(len(words(x)) for x in often)
+        failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+        out.append(
+            (
+                doc_id,
+                len(w),
+                sum(map(len, w)),
+                sum(c in "#*$%&|<>" for c in t),
+                len(lines) - len(set(lines)),
+                len(covered),
+                failed,
+                removed,
+                not failed and removed * 100 <= len(w) * most_lost,
+            )
+        )
+    return sorted(out, key=str)
+
+
+def judged(spark, docs, least_docs, percent, most_lost):
+    df = lr.judge(spark.createDataFrame(docs, SCHEMA), "source", least_docs, percent, most_lost)
+    cols = ["doc_id", *lr.FEATURES, "base_failed", "removed_words", "kept"]
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
+
+
+TEXT = st.one_of(
+    st.none(),
+    st.text(alphabet="aB \t\n#é|\x0b", max_size=60),
+    st.lists(st.sampled_from(["Alpha beta", "alpha  BETA ", "x y z", "", "one two three four"]), max_size=30).map("\n".join),
+)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([None, 1, 2, 3]), TEXT, st.none(), st.sampled_from([None, "", "a", "b"]), st.none()), min_size=1, max_size=12))
+def test_same_as_the_plain_version(spark, docs):
+    assert judged(spark, docs, 1, 30, 40) == expected(docs, 1, 30, 40)
+
+
+def test_boilerplate_goes_and_copies_count_once(spark):
+    body = [" ".join(f"w{d}x{i}" for i in range(60)) for d in range(6)]
+    docs = [(d, f"Shared footer line\n{body[d]}", "en", "h", 1) for d in range(4)]
+    docs += [(10 + k, body[5], "en", "h", 1) for k in range(5)]  # copies of one text: one document
+    docs += [(20, "shared  FOOTER line", "en", "h", 1), (21, f"shared footer line\n{body[4]}", "en", "other", 1)]
+    df = lr.judge(spark.createDataFrame(docs, SCHEMA), least_docs=2, percent=10)
+    got = {r["doc_id"]: r for r in df.collect()}
+    assert all(got[d]["kept"] and got[d]["clean_text"] == body[d] and got[d]["removed_words"] == 3 for d in range(4))
+    assert all(got[10 + k]["kept"] and got[10 + k]["removed_words"] == 0 for k in range(5))
+    assert not got[20]["kept"] and got[20]["removed_words"] == 3
+    assert got[21]["removed_words"] == 0
+
+
+def test_depleted_documents_are_rejected(spark):
+    menu = "\n".join(f"menu{i} entry{i} number{i} of{i} site{i}" for i in range(20))
+    own = [" ".join(f"w{d}x{i}" for i in range(30)) for d in range(5)]
+    docs = [(d, f"{menu}\n{own[d]}", "en", "h", 1) for d in range(5)]
+    df = lr.judge(spark.createDataFrame(docs, SCHEMA), least_docs=2, percent=10)
+    assert {r["doc_id"]: (r["base_failed"], r["kept"]) for r in df.collect()} == {d: (False, False) for d in range(5)}
+
+
+def test_cleaned_keeps_columns_and_follows_the_text(spark):
+    body = [" ".join(f"w{d}x{i}" for i in range(60)) for d in range(12)]
+    docs = [(d, f"footer\n{body[d]}", "en", "h", 7, "mine", True) for d in range(12)]
+    schema = SCHEMA + ", n_words string, kept boolean"
+    out = lr.cleaned(spark.createDataFrame(docs, schema))
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_words", "kept"]
+    rows = {r["doc_id"]: r for r in out.collect()}
+    assert len(rows) == 12
+    assert all(r["text"] == body[d] and r["n_chars"] == len(body[d]) and r["n_words"] == "mine" for d, r in rows.items())
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert lr.judge(empty).collect() == []
+    assert lr.cleaned(empty).schema.names == empty.columns
+
+
+def test_very_long_text(spark):
+    text = " ".join(f"w{i % 5000}" for i in range(60_000))
+    (r,) = lr.judge(spark.createDataFrame([(1, text, "en", "h", 1)], SCHEMA)).collect()
+    assert (r["n_words"], r["n_repeat_words"], r["base_failed"]) == (60_000, 60_000, True)
+
+
+def test_no_python_in_the_plan(spark):
+    plan = lr.judge(spark.createDataFrame([(1, "a", "en", "h", 1)], SCHEMA))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.parametrize("text", ["", None, " \t\n\x0b\x0c\r"])
+def test_no_words(spark, text):
+    (r,) = lr.judge(spark.createDataFrame([(1, text, None, None, None)], SCHEMA)).collect()
+    assert (r["n_words"], r["word_chars"], r["n_repeat_words"], r["kept"]) == (0, 0, 0, False)
