@@ -185,7 +185,7 @@ class _Archive:
         store, base = _files(folder)
         store.create_dir(base, recursive=True)
         self.name = f"{uuid.uuid4().hex}.warc.zst"
-        self.out = store.open_output_stream(f"{base}/{self.name}")
+        self.out = store.open_output_stream(f"{base}/{self.name}", compression=None)
         self.path = f"{folder}/{self.name}"
         self.waiting: list[bytes] = []
         self.waiting_bytes = self.records = self.bytes = 0
@@ -291,7 +291,7 @@ def _read_task(payload: bool) -> Callable:
             for path, expected in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist(), strict=True):
                 store, place = _files(path)
                 found, rows, held = 0, [], 0
-                with store.open_input_stream(place) as stream:
+                with store.open_input_stream(place, compression=None) as stream:
                     for raw in frames(stream):
                         row = parse_record(raw)
                         held += len(row["payload"]) if payload else 0

@@ -1,0 +1,97 @@
+"""Archives: what is written is read, and what is broken is refused."""
+
+import base64
+import hashlib
+import io
+
+import pytest
+import zstandard
+
+from idweave.llm import warc
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def archive(tmp_path, records):
+    a = warc._Archive(str(tmp_path))
+    for r in records:
+        a.add(r)
+    path, n, _ = a.close()
+    assert n == len(records)
+    return open(path, "rb").read()
+
+
+def rec(i, payload=b"<p>hello</p>", revisits=None):
+    return warc.record(i, f"http://h/{i}", payload, warc.payload_digest(payload), revisits)
+
+
+def test_frames_and_dictionary(tmp_path):
+    records = [rec(i, f"<html><body><p>page number {i} of a site</p>{'x' * (i % 50)}</body></html>".encode()) for i in range(400)]
+    raw = archive(tmp_path, records)
+    assert int.from_bytes(raw[:4], "little") == warc.DICTIONARY_MAGIC
+    size = int.from_bytes(raw[4:8], "little")
+    assert list(warc.frames(io.BytesIO(raw))) == records
+    # a dictionary that is itself compressed
+    packed = zstandard.compress(raw[8 : 8 + size])
+    again = raw[:4] + len(packed).to_bytes(4, "little") + packed + raw[8 + size :]
+    assert list(warc.frames(io.BytesIO(again))) == records
+    # without the dictionary the frames can't be read
+    with pytest.raises(warc.ArchiveError):
+        list(warc.frames(io.BytesIO(raw[8 + size :])))
+    with pytest.raises(warc.ArchiveError):
+        list(warc.frames(io.BytesIO(raw[:-3])))
+
+
+def test_few_records_need_no_dictionary(tmp_path):
+    assert list(warc.frames(io.BytesIO(archive(tmp_path, [rec(1)])))) == [rec(1)]
+    assert list(warc.frames(io.BytesIO(b""))) == []
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        lambda r: r.replace(b"WARC/1.1", b"WARC/9"),
+        lambda r: r.replace(b"<p>hello", b"<p>jello"),
+        lambda r: r + b"x",
+        lambda r: r[:-4],
+        lambda r: r.replace(b"WARC-Date", b"WARC Date"),
+        lambda r: r.replace(b"WARC-Type: response", b"WARC-Type: other"),
+        lambda r: r.replace(b"HTTP/1.1", b"XTTP/1.1"),
+        lambda r: r.replace(b"Content-Length: 12\r", b"Content-Length: 11\r"),
+    ],
+)
+def test_broken_records_are_refused(change):
+    warc.parse_record(rec(1))
+    with pytest.raises((warc.ArchiveError, ValueError)):
+        warc.parse_record(change(rec(1)))
+
+
+def test_round_trip(spark, tmp_path):
+    rows = [(i, f"http://h/{i % 7}", f"<p>{i % 40}</p>" * (1 + i % 3)) for i in range(300)]
+    rows += [(900, None, None), (901, "http://a b\r\nX: y", ""), (None, "http://n", "same"), (950, "u", "same"), (7000, "u", "é" * 300_000)]
+    pages = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA + ", refers_to string").repartition(3)
+    got = warc.archive_round_trip(spark, pages, str(tmp_path / "a")).collect()
+    first = {}
+    for i, _, h in rows:
+        if i is not None:
+            first[h or ""] = min(i, first.get(h or "", i))
+    want = []
+    for i, _, h in rows:
+        p = (h or "").encode()
+        own = i == first[h or ""]
+        want.append((i, len(p), base64.b32encode(hashlib.sha1(p).digest()).decode(), "response" if own else "revisit", None if own else first[h or ""]))
+    cols = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert sorted(map(str, want)) == sorted(str(tuple(r[c] for c in cols)) for r in got)
+
+
+def test_small_payloads_are_not_revisited_and_files_roll(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", "ab") for i in range(20)] + [(100 + i, "u", "abcdef" * 50) for i in range(400)], SCHEMA).coalesce(1)
+    manifest = warc.write_archives(pages, str(tmp_path / "a"), least_bytes=3, archive_bytes=2000)
+    assert manifest.count() > 1
+    kinds = {r.page_id: r.record_type for r in warc.read_archives(manifest, payload=True).collect()}
+    assert all(kinds[i] == "response" for i in range(20))
+    assert kinds[100] == "response" and all(kinds[100 + i] == "revisit" for i in range(1, 400))
+
+
+def test_empty(spark, tmp_path):
+    assert warc.archive_round_trip(spark, spark.createDataFrame([], SCHEMA), str(tmp_path / "a")).collect() == []
