@@ -11,14 +11,17 @@ Steps:
    enough that two similar sets share at least ``need`` hashes of their prefixes. A
    class with fewer prefix hashes in common with other classes links with nothing.
    Only the rest, the candidates, take part in what follows.
-2. Candidates are partitioned into groups: each goes to the class that is the smallest
-   holder of most of its prefix hashes. A group is cut into chunks of bounded size,
-   each with a copy of that class, and the links within a chunk come from a product of
-   its token matrix. This joins whole families of near copies without their pairs.
-3. What is left are links between different components. The token-group matrix has a
-   row (hash, group) for each hash in the union of a group's prefixes. A query's
-   overlap with a group is bounded by the rows it hits; only groups with ``need`` hits
-   or more are opened, and there the exact overlaps decide.
+2. Candidates are partitioned into groups of similar sets: each goes to the class that is
+   the smallest holder of most of its prefix hashes, and those of a class are cut into
+   cells of bounded size, each with a copy of that class. All links within a cell come
+   from a product of its token matrix. This joins whole families of near copies, and
+   settles families of near misses, without a row for any pair.
+3. What is left are links between cells of different components. The token-group matrix
+   has a row (hash, cell) for each hash in the union of a cell's prefixes that is also in
+   a cell of another component. Two cells are opened to each other only if they have
+   enough of these hashes in common; there a query's overlap with the union of the other
+   cell bounds its overlap with any member, and the exact overlaps of those that pass
+   decide.
 
 Defined cases: null or empty text and text without words: empty set, no link, own
 component. Null doc_id: never the smallest; a component of such rows has a null
@@ -184,21 +187,24 @@ def _open_chunk(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return run
 
 
-def _open_group(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Members of a group and the queries that qualified for it: bound by the union, then compare."""
+def _open_pair(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Two cells: bound every query by the union of the other cell, then compare what passes."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        member = rows["member"].to_numpy()
+        side = rows["side"].to_numpy()
         sets = [np.asarray(x, np.int64) for x in rows["hashes"]]
-        union = np.unique(np.concatenate([s for s, m in zip(sets, member, strict=True) if m]))
+        unions = [
+            np.unique(np.concatenate([np.zeros(0, np.int64), *(s for s, x in zip(sets, side, strict=True) if x == k)]))
+            for k in (0, 1)
+        ]
         keep = np.array(
             [
-                m or int(np.isin(s, union, assume_unique=True).sum()) >= least_overlap(len(s), percent)
-                for s, m in zip(sets, member, strict=True)
+                int(np.isin(s, unions[1 - x], assume_unique=True).sum()) >= least_overlap(len(s), percent)
+                for s, x in zip(sets, side, strict=True)
             ],
             bool,
         )
-        sid, side = rows["sid"].to_numpy()[keep], member[keep]
+        sid, side = rows["sid"].to_numpy()[keep], side[keep]
         found = links([s for s, k in zip(sets, keep, strict=True) if k], percent, side)
         return pd.DataFrame({"a": [sid[i] for i, _ in found], "b": [sid[j] for _, j in found]}, dtype="int64")
 
@@ -271,69 +277,83 @@ def similar_documents(
         .withColumn("sid", F.monotonically_increasing_id()),
     )
 
-    # 2. groups around leading classes; the leader is in every chunk
-    grouped = sets.join(_chunks_of(sets, "lead"), "lead")
-    chunk = F.pmod(F.xxhash64("sid"), F.col("chunks"))
-    leaders = grouped.select("lead", "chunks").distinct().join(
+    # 2. cells of groups around leading classes; the leader is in every cell
+    sizes = staged("sizes", _chunks_of(sets, "lead"))
+    placed = sets.join(sizes, "lead").withColumn(
+        "cell", F.xxhash64("lead", F.pmod(F.xxhash64("sid"), F.col("chunks")))
+    )
+    leaders = sizes.where("members > 1").join(
         sets.select(F.col("cid").alias("lead"), "sid", "hashes"), "lead"
     )
-    cells = grouped.where("members > 1 or cid <> lead").select("lead", chunk.alias("chunk"), "sid", "hashes").unionByName(
-        leaders.select(
-            "lead",
-            F.explode(F.expr("sequence(0L, chunks - 1)")).alias("chunk"),
-            "sid",
-            "hashes",
-        )
+    copies_of_leaders = leaders.select(
+        F.explode(F.expr("transform(sequence(0L, chunks - 1), c -> xxhash64(lead, c))")).alias("cell"),
+        "sid",
+        "hashes",
     )
     within = staged(
         "within",
-        cells.groupBy("lead", "chunk").applyInPandas(_open_chunk(percent), "a long, b long"),
+        placed.where("members > 1")
+        .select("cell", "sid", "hashes")
+        .unionByName(copies_of_leaders)
+        .groupBy("cell")
+        .applyInPandas(_open_chunk(percent), "a long, b long"),
     )
     first = components(within, f"{base}/first")
 
-    # 3. queries against the groups of other components
-    placed = sets.join(first, "sid", "left").withColumn("comp", F.coalesce("root", "sid"))
-    lead_part = F.expr(
-        f"slice(hashes, 1, cast(n - ceil(n * {percent} / 100) + n div 10 + if(n < 10, 1, 0) as int))"
+    # 3. cells of other components
+    least = f"ceil(n * {percent} / 100)"
+    prefix = F.expr(f"slice(hashes, 1, cast(n - {least} + n div 10 + if(n < 10, 1, 0) as int))")
+    rows = (
+        placed.join(first, "sid", "left")
+        .withColumn("comp", F.coalesce("root", "sid"))
+        .select("sid", "cell", "comp", "n", F.explode(prefix).alias("h"))
     )
-    rows = placed.select("sid", "comp", "n", F.explode(lead_part).alias("h"))
-    open_hashes = rows.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    unsettled = rows.join(open_hashes.select("h"), "h")
+    split = rows.groupBy("h").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cell").alias("near"), F.max("cell").alias("far")
+    )
+    unsettled = rows.join(split.where("lo <> hi and near <> far").select("h"), "h")
     active = staged(
         "active",
-        unsettled.groupBy("sid", "comp", "n").agg(F.collect_list("h").alias("prefix")).where(F.size("prefix") >= need),
+        unsettled.groupBy("sid", "cell", "n").agg(F.collect_list("h").alias("prefix")).where(F.size("prefix") >= need),
     )
-    gid = F.xxhash64("comp", F.pmod(F.xxhash64("sid"), F.col("chunks")))
-    member = active.join(_chunks_of(active, "comp"), "comp").select("sid", "comp", "n", gid.alias("gid"), "prefix")
-    member = staged("groups", member)
-    matrix = member.select("gid", "comp", F.explode("prefix").alias("h")).distinct()
-    queries = member.select(
-        "sid", "n", F.col("comp").alias("own"), F.col("gid").alias("home"), F.explode("prefix").alias("h")
+    matrix = staged("matrix", active.select("cell", F.explode("prefix").alias("h")).distinct())
+    cells = staged(
+        "cells",
+        active.groupBy("cell").agg(
+            F.min(need).alias("need"), F.min("n").alias("least_n"), F.max("n").alias("most_n")
+        ),
     )
-    # a pair of groups is opened from the side of the smaller component
-    qualified = staged(
-        "qualified",
-        queries.join(matrix, "h")
-        .where("own < comp")
-        .groupBy("sid", "n", "gid")
-        .agg(F.count("*").alias("bound"))
-        .where(F.col("bound") >= need)
-        .select("sid", "gid"),
+    of = {
+        name: cells.select(*(F.col(c).alias(f"{c}_{name}") for c in cells.columns)) for name in ("left", "right")
+    }
+    common = (
+        matrix.select("h", F.col("cell").alias("cell_left"))
+        .join(matrix.select("h", F.col("cell").alias("cell_right")), "h")
+        .where("cell_left < cell_right")
+        .groupBy("cell_left", "cell_right")
+        .agg(F.count("*").alias("common"))
     )
-    batch = F.pmod(F.xxhash64("sid"), F.col("chunks"))
-    parts = qualified.groupBy("gid").agg(F.ceil(F.count("*") / CHUNK_SETS).alias("chunks"))
-    asked = qualified.join(parts, "gid").select("gid", batch.alias("part"), "sid", F.lit(False).alias("member"))
-    opened = (
-        member.select("gid", "sid")
-        .join(parts, "gid")
-        .select("gid", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("part"), "sid", F.lit(True).alias("member"))
+    pairs = staged(
+        "pairs",
+        common.join(of["left"], "cell_left")
+        .join(of["right"], "cell_right")
+        .where("common >= greatest(need_left, need_right)")
+        .where(f"100 * most_n_left >= {percent} * least_n_right and 100 * most_n_right >= {percent} * least_n_left")
+        .select("cell_left", "cell_right"),
     )
+    member = active.select("cell", "sid").join(sets.select("sid", "hashes"), "sid")
+    sides = [
+        pairs.join(member, pairs[f"cell_{name}"] == member["cell"]).select(
+            "cell_left", "cell_right", F.lit(k).alias("side"), "sid", "hashes"
+        )
+        for k, name in enumerate(("left", "right"))
+    ]
     across = staged(
         "across",
-        asked.unionByName(opened)
-        .join(sets.select("sid", "hashes"), "sid")
-        .groupBy("gid", "part")
-        .applyInPandas(_open_group(percent), "a long, b long"),
+        sides[0]
+        .unionByName(sides[1])
+        .groupBy("cell_left", "cell_right")
+        .applyInPandas(_open_pair(percent), "a long, b long"),
     )
     found = components(within.unionByName(across), f"{base}/all")
 
