@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from idweave.plans.scratch import scratch_dir
+
 SEPARATORS = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -149,6 +151,10 @@ def judge(
 ) -> DataFrame:
     """``docs`` with the base features, base_failed, removed_words, clean_text and kept."""
     frequent = frequent_lines(docs, host, least_docs, percent).withColumnRenamed("host", "__host")
+    # written, so that its size is known when the documents are joined with it
+    folder = scratch_dir(docs.sparkSession, "frequent-lines")
+    frequent.write.parquet(folder)
+    frequent = docs.sparkSession.read.schema(frequent.schema).parquet(folder)
     added = ("removed_words", "clean_text", "kept")
     joined = docs.drop(*added).join(frequent, docs[host].eqNullSafe(F.col("__host")), "left").drop("__host")
     based = with_base_rules(joined)
