@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from idweave.plans.scratch import scratch_dir
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ADDED = ("keep_id", "group_size", "kept", "text_sha256")
 BLOCK_BITS = 1 << 16
@@ -135,6 +137,11 @@ def _decided(docs: DataFrame, probes: int, bits_per_row: int, most_bits: int) ->
     groups = rest.groupBy("__text_sha256").agg(
         F.max("doc_id").alias("__keep_id"), F.count("*").alias("__group_size")
     )
+    # written: small tables are broadcast, large ones get a shuffle of their own, so that
+    # Spark can split the partition of a text with very many copies
+    folder = scratch_dir(docs.sparkSession, "repeats")
+    groups.write.parquet(folder)
+    groups = docs.sparkSession.read.schema(groups.schema).parquet(folder)
     same = Window.partitionBy("__text_sha256", "doc_id").orderBy("doc_id")
     decided = rest.withColumn("__nth", F.row_number().over(same)).join(groups, "__text_sha256")
     kept = F.col("doc_id").eqNullSafe(F.col("__keep_id")) & (F.col("__nth") == 1)
