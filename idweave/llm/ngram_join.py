@@ -97,7 +97,7 @@ def _set_batches(size: int, percent: int, whole: bool) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j in words.slices(batch.column("text"), words.SLICE_BYTES * 2):
+            for i, j in words.slices(batch.column("text")):
                 ids, texts = (batch.column(c).slice(i, j - i) for c in ("doc_id", "text"))
                 sets = list(shingle_sets(texts, size))
                 n = np.array([len(s) for s in sets], np.int64)

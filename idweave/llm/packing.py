@@ -38,7 +38,7 @@ from idweave.plans.scratch import scratch_dir
 WINDOW = 4096
 END_TOKEN = 2
 #: Words a task keeps the ids of; beyond that it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 
 
 class WordIds:

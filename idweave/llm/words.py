@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
 
 _rng = np.random.default_rng(20240607)
 _SEPARATOR = np.zeros(256, bool)
@@ -68,21 +68,21 @@ def split(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return starts, ends, np.searchsorted(starts, at)
 
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
-    if size > SLICE_BYTES * 2:  # a very long text: not kept
-        _powers.clear()
-    if size not in _powers:
-        both = []
-        for base in (_BASE, _UNBASE):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            both.append(np.cumprod(p, dtype=np.uint64))
-        _powers[size] = (both[0], both[1])
-    return _powers[size]
+    """Powers of the base and its inverse; those for one slice are kept, longer ones are not."""
+    if _powers and n <= len(_powers[0][0]):
+        return _powers[0]
+    both = []
+    for base in (_BASE, _UNBASE):
+        p = np.full(max(n, SLICE_BYTES + 1), base, np.uint64)
+        p[0] = 1
+        both.append(np.cumprod(p, dtype=np.uint64))
+    if not _powers and n <= SLICE_BYTES + 1:
+        _powers.append((both[0], both[1]))
+    return both[0], both[1]
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
