@@ -63,9 +63,9 @@ def main() -> None:
         times[name] = timed(
             lambda q=query: q(spark, sf_dir).write.format("noop").mode("overwrite").save()
         )
-    store = TableStore(spark, scratch_dir(spark, "bench-full"), buckets_for(raw))
+    store = TableStore(spark, scratch_dir(spark, "bench-full"), buckets_for(raw.count()))
     times["full_refresh"] = timed(lambda: runs.execute(store, feed.CONFIG, raw, feed.WHOLE))
-    store = TableStore(spark, scratch_dir(spark, "bench-batches"), buckets_for(raw))
+    store = TableStore(spark, scratch_dir(spark, "bench-batches"), buckets_for(raw.count()))
     for n, run in enumerate(feed.BATCHES, start=1):
         times[f"batch_{n}"] = timed(lambda r=run: runs.execute(store, feed.CONFIG, raw, r))
     spark.stop()

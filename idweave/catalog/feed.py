@@ -4,7 +4,8 @@ The test data has no identity contexts, so they are computed from its rows: ever
 row is a page event of the identity of its user, and every tenth sign-up inside a
 block of five users is a merge. Blocks are, in turn, a fan-in (one root absorbs
 the others), a chain whose root changes at every step, and never merged. Every
-tenth chain block sends payloads that list only the newest child. One event in
+tenth chain block sends payloads that list only the newest child. Once a block has
+lost its four children, every further merge event sends the last payload again. One event in
 seventeen arrives ten days late and one in ten is sent twice, the copy with a
 later collector time and another app.
 """
@@ -31,13 +32,18 @@ CONFIG = IdentityConfig(
 
 RUN_TIMES = (datetime(2024, 3, 1), datetime(2024, 3, 2), datetime(2024, 3, 3))
 
-# Three arrival windows that cover the whole data.
+EVER = (datetime(1, 1, 1), datetime(9999, 12, 31, 23, 59, 59, 999999))
+
+# Three arrival windows that cover all time.
 BATCHES = (
-    RunContext(datetime(2024, 1, 1), datetime(2024, 1, 10, 23, 59, 59, 999999), RUN_TIMES[0]),
+    RunContext(EVER[0], datetime(2024, 1, 10, 23, 59, 59, 999999), RUN_TIMES[0]),
     RunContext(datetime(2024, 1, 11), datetime(2024, 1, 20, 23, 59, 59, 999999), RUN_TIMES[1]),
-    RunContext(datetime(2024, 1, 21), datetime(2024, 12, 31), RUN_TIMES[2]),
+    RunContext(datetime(2024, 1, 21), EVER[1], RUN_TIMES[2]),
 )
-WHOLE = RunContext(datetime(2024, 1, 1), datetime(2024, 12, 31), RUN_TIMES[0])
+WHOLE = RunContext(*EVER, RUN_TIMES[0])
+
+# children a block can lose to its root
+MOST_CHILDREN = 4
 
 def _tag(prefix: str, col: str | Column) -> Column:
     c = F.col(col) if isinstance(col, str) else col
@@ -94,9 +100,8 @@ def merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     in_block = Window.partitionBy("base").orderBy("ts", "event_id")
     steps = (
         signups.withColumn("rk", F.row_number().over(in_block))
-        .where("rk <= 40")  # lets Spark cut the ranking off before the shuffle
         .where("rk % 10 = 0")
-        .selectExpr("base", "event_id", "ts", "cast(rk / 10 as int) as k")
+        .selectExpr("base", "event_id", "ts", f"cast(least(rk / 10, {MOST_CHILDREN}) as int) as k", "rk")
     )
     fan_in = "base % 15 = 0"
     steps = steps.selectExpr(
@@ -111,10 +116,15 @@ def merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("merged_at"),
         F.col("merge_id").alias("triggering_event_id"),
     )
-    # at most four steps per block
-    so_far = Window.partitionBy("base").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    only_newest = F.expr("base % 30 = 20")
-    merged = F.when(only_newest, F.array(child)).otherwise(F.collect_list(child).over(so_far))
+    # a block's children in order, four at most, by the steps that first listed them
+    lost = (
+        steps.where(f"rk <= {10 * MOST_CHILDREN}")
+        .groupBy("base")
+        .agg(F.array_sort(F.collect_list(F.struct("k", child.alias("child")))).alias("lost"))
+    )
+    steps = steps.join(lost, "base")
+    listed = F.transform(F.slice("lost", 1, F.col("k")), lambda x: x["child"])
+    merged = F.when(F.expr("base % 30 = 20"), F.slice(listed, -1, 1)).otherwise(listed)
     rows = steps.withColumn("merged", merged)
     null = F.lit(None).cast("string")
     return rows.select(

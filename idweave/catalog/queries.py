@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from idweave.catalog import feed
 from idweave.catalog.feed import BATCHES, CONFIG, WHOLE
-from idweave.catalog.oracle import compose, key
+from idweave.catalog.oracle import compose, folded, key
 from idweave.config import IdentityConfig
 from idweave.functions.columns import hash_identifier, ntz_lit, surrogate_key
 from idweave.operators import changes, extract, history, lookup, mapping, profile, quality, upsert
@@ -41,6 +41,26 @@ def register(name: str, sql: str) -> Callable[[Query], Query]:
     return add
 
 
+def later_batches(sql: Callable[[int], str]) -> str:
+    """The rows of a statement for batch 2 and for batch 3, which start from stored state."""
+    return " union all ".join(f"select {n} as batch, * from ({sql(n)})" for n in (2, 3))
+
+
+def in_later_batches(make: Callable[[Steps, int], DataFrame]) -> Query:
+    """The same rows on the Spark side."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        s = Steps(spark, sf_dir)
+        second, third = (make(s, n) for n in (2, 3))
+        return (
+            second.withColumn("batch", F.lit(2))
+            .unionByName(third.withColumn("batch", F.lit(3)))
+            .select("batch", *second.columns)
+        )
+
+    return query
+
+
 # Column lists shared by the two sides of a query.
 EDGE = "active_identity_id, identity_id, merged_at, triggering_event_id"
 MAP = "identity_id, active_identity_id, merged_at, model_tstamp"
@@ -168,6 +188,31 @@ class Steps:
             ),
         )
 
+    def lookup(self, n: int) -> DataFrame:
+        """Stored lookup after batch ``n``."""
+        if n <= 1:
+            return self.lookup_new(n)
+
+        def make() -> DataFrame:
+            stored, new = self.lookup(n - 1), self.lookup_new(n)
+            touched = lookup.affected_stored(stored, self.mapping(n), self.this_run(n), new)
+            kept = upsert.delete_where_in(stored, "uuid", lookup.stale_rows(touched))
+            return upsert.upsert_by_key(kept, lookup.identifier_mapping_updates(touched, new), "uuid")
+
+        return self.staged(f"lookup_after_{n}", make)
+
+    def scd(self, n: int) -> DataFrame:
+        """Stored SCD after batch ``n``."""
+        if n <= 1:
+            return self.staged(f"scd_{n}", lambda: self.scd_first(n))
+
+        def make() -> DataFrame:
+            known = history.scd_history(self.scd(n - 1), history.ids_affected(self.changed(n)))
+            rows = history.scd_updates(known, self.changed(n), self.this_run(n))
+            return upsert.upsert_by_key(self.scd(n - 1), rows, "scd_key")
+
+        return self.staged(f"scd_{n}", make)
+
     def scd_first(self, n: int) -> DataFrame:
         """SCD after a first run."""
         none = self.changed(n).limit(0)
@@ -178,7 +223,7 @@ class Steps:
 def fold(spark: SparkSession, sf_dir: str, *outputs: str) -> TableStore:
     """A store after the three arrival windows, with the tables ``outputs`` need."""
     raw = feed.raw_events(spark, sf_dir)
-    store = TableStore(spark, scratch_dir(spark, "fold"), buckets_for(raw))
+    store = TableStore(spark, scratch_dir(spark, "fold"), buckets_for(raw.count()))
     for run in BATCHES:
         runs.execute(store, CONFIG, raw, run, outputs)
     return store
@@ -287,46 +332,44 @@ def parse_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- table maintenance --------------------------------------------------------------
 
 
-@register("upsert_by_key", f"select {MAP} from map_2")
-def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Steps(spark, sf_dir)
-    return upsert.upsert_by_key(s.this_run(1), s.this_run(2), "identity_id").select(*cols(MAP))
+@register("upsert_by_key", later_batches(lambda n: f"select {MAP} from map_{n}"))
+@in_later_batches
+def upsert_by_key(s: Steps, n: int) -> DataFrame:
+    return upsert.upsert_by_key(s.mapping(n - 1), s.this_run(n), "identity_id").select(*cols(MAP))
 
 
 @register(
     "append_new_columns",
-    f"""
-    select identity_id, active_identity_id, merged_at, model_tstamp,
-      cast(null as varchar) as source from map_1
-    where identity_id not in (select identity_id from idm_2)
-    union all
-    select {MAP}, 'batch 2' from idm_2
-    """,
-)
-def append_new_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Steps(spark, sf_dir)
-    wider = s.this_run(2).withColumn("source", F.lit("batch 2"))
-    grown = upsert.append_new_columns(s.this_run(1), wider)
+    later_batches(
+        lambda n: f"""
+        select {MAP}, if(identity_id in (select identity_id from idm_{n}), 'batch {n}', null) as source
+        from map_{n}"""
+    ),
+)
+@in_later_batches
+def append_new_columns(s: Steps, n: int) -> DataFrame:
+    wider = s.this_run(n).withColumn("source", F.lit(f"batch {n}"))
+    grown = upsert.append_new_columns(s.mapping(n - 1), wider)
     return upsert.upsert_by_key(grown, wider, "identity_id").select(*cols(MAP), "source")
 
 
 @register(
     "delete_stale",
-    f"""select {LOOKUP} from im_1 p
-        where not exists (select 1 from idm_2 i where i.identity_id = p.active_identity_id)""",
+    later_batches(
+        lambda n: f"""select {LOOKUP} from imap_{n - 1} p
+        where not exists (select 1 from idm_{n} i where i.identity_id = p.active_identity_id)"""
+    ),
 )
-def delete_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Steps(spark, sf_dir)
-    absorbed = s.this_run(2).select("identity_id")
-    return upsert.delete_where_in(s.lookup_new(1), "active_identity_id", absorbed).select(
-        *cols(LOOKUP)
-    )
+@in_later_batches
+def delete_stale(s: Steps, n: int) -> DataFrame:
+    absorbed = s.this_run(n).select("identity_id")
+    return upsert.delete_where_in(s.lookup(n - 1), "active_identity_id", absorbed).select(*cols(LOOKUP))
 
 
-@register("mapping_affected", f"select {MAP} from aff_2")
-def mapping_affected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Steps(spark, sf_dir)
-    return mapping.snapshot_affected(s.this_run(1), s.this_run(2)).select(*cols(MAP))
+@register("mapping_affected", later_batches(lambda n: f"select {MAP} from aff_{n}"))
+@in_later_batches
+def mapping_affected(s: Steps, n: int) -> DataFrame:
+    return mapping.snapshot_affected(s.mapping(n - 1), s.this_run(n)).select(*cols(MAP))
 
 
 MERGE_EVENTS_SQL = """
@@ -535,15 +578,14 @@ def new_identities_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "true_parents",
-    """select distinct active_identity_id from edges_0
-       where active_identity_id not in (select identity_id from edges_0)""",
+    "select active_identity_id from edges_0 except select identity_id from edges_0",
 )
 def true_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.true_parents(Steps(spark, sf_dir).edges(0))
 
 
-ROOTED_SQL = f"""select {EDGE} from edges_0
-    where active_identity_id not in (select identity_id from edges_0)"""
+ROOTED_SQL = f"""select {EDGE} from edges_0 anti join
+    (select identity_id as active_identity_id from edges_0) using (active_identity_id)"""
 
 
 @register("edges_to_roots", ROOTED_SQL)
@@ -576,32 +618,37 @@ def id_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- changes ------------------------------------------------------------------------
 
 
-@register("cascade_times", "select active_identity_id, event_merged_at from ct_0")
+@register("cascade_times", "select active_identity_id, last_merge_at from ct_0")
 def cascade_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Steps(spark, sf_dir)
     return changes.cascade_times(s.edges(0), s.this_run(0))
 
 
-@register("cascade_children", "select identity_id from cc_2")
-def cascade_children(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Steps(spark, sf_dir)
-    return changes.cascade_children(s.edges(2), s.affected(2))
+@register("cascade_children", later_batches(lambda n: f"select identity_id from cc_{n}"))
+@in_later_batches
+def cascade_children(s: Steps, n: int) -> DataFrame:
+    return changes.cascade_children(s.edges(n), s.affected(n))
 
 
-@register("intermediate_parents", "select intermediate_id from ip_0")
+@register("intermediate_parents", "select passed_id from ip_0")
 def intermediate_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.intermediate_parents(Steps(spark, sf_dir).edges(0))
 
 
-@register("intermediate_times", "select active_identity_id, event_merged_at from it_0")
+@register("intermediate_times", "select active_identity_id, last_merge_at from it_0")
 def intermediate_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.intermediate_event_times(Steps(spark, sf_dir).edges(0))
 
 
-@register("orphan_cascades", "select identity_id, previous_identity_id, effective_at from oc_2")
-def orphan_cascades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Steps(spark, sf_dir)
-    return changes.orphan_cascades(s.affected(2), s.this_run(2), s.edges(2))
+@register(
+    "orphan_cascades",
+    later_batches(lambda n: f"select identity_id, previous_identity_id, effective_at from oc_{n}"),
+)
+@in_later_batches
+def orphan_cascades(s: Steps, n: int) -> DataFrame:
+    return changes.orphan_cascades(s.affected(n), s.this_run(n), s.edges(n)).select(
+        "identity_id", "previous_identity_id", "effective_at"
+    )
 
 
 @register(
@@ -642,11 +689,11 @@ def intermediate_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*cols(MERGED))
 
 
-@register("orphan_merges", f"select {MERGED} from orphans_2")
-def orphan_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Steps(spark, sf_dir)
-    orphans = changes.orphan_cascades(s.affected(2), s.this_run(2), s.edges(2))
-    return changes.orphan_merge_changes(orphans, s.edges(2)).select(*cols(MERGED))
+@register("orphan_merges", later_batches(lambda n: f"select {MERGED} from orphans_{n}"))
+@in_later_batches
+def orphan_merges(s: Steps, n: int) -> DataFrame:
+    orphans = changes.orphan_cascades(s.affected(n), s.this_run(n), s.edges(n))
+    return changes.orphan_merge_changes(orphans, s.edges(n)).select(*cols(MERGED))
 
 
 @register("id_changes_this_run", f"select {LOG} from chg_0")
@@ -679,67 +726,50 @@ def identifier_mapping_this_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.identifier_mapping_this_run(identifiers, s.this_run(0), CONFIG)
 
 
-HISTORY_SQL = f"""
-    select {UNKEYED} from hist_2 h
-    where old_active in (select active_identity_id from im_2 union select identity_id from idm_2)
-      and exists (select 1 from im_2 n where n.id_type = h.id_type and n.id_value = h.id_value)
-"""
-
-FOLD_WINDOWS = """
-    window f as (partition by active_identity_id, id_type, id_value
-                 order by first_seen_at, stored desc, first_seen_event_id, first_app_id),
-           l as (partition by active_identity_id, id_type, id_value
-                 order by last_seen_at desc, stored desc, last_app_id desc)
-"""
-FOLDED = f"""{key("active_identity_id", "id_type", "id_value")} as uuid, active_identity_id,
-    id_type, id_value, first_value(first_app_id) over f as first_app_id,
-    first_value(last_app_id) over l as last_app_id, first_value(first_seen_at) over f as first_seen_at,
-    first_value(last_seen_at) over l as last_seen_at,
-    first_value(first_seen_event_id) over f as first_seen_event_id"""
+def history_sql(n: int) -> str:
+    return f"""
+    select {UNKEYED} from hist_{n} h
+    semi join (select active_identity_id as old_active from im_{n} union select identity_id from idm_{n}) i
+      using (old_active)
+    semi join im_{n} s using (id_type, id_value)
+    """
 
 
 @register(
     "repoint_identifiers",
-    f"""
-    select distinct {FOLDED} from (
-      select *, 1 as stored from hist_2 h where absorbed = 1 and not exists (
-        select 1 from im_2 n where n.active_identity_id = h.active_identity_id
-          and n.id_type = h.id_type and n.id_value = h.id_value))
-    {FOLD_WINDOWS}
-    """,
+    later_batches(
+        lambda n: folded(f"""select *, 1 as stored from (select * from hist_{n} where absorbed = 1) h
+            anti join im_{n} s using (active_identity_id, id_type, id_value)""")
+    ),
 )
-def repoint_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Steps(spark, sf_dir)
+@in_later_batches
+def repoint_identifiers(s: Steps, n: int) -> DataFrame:
     return lookup.repoint_identifiers(
-        s.lookup_new(1), s.mapping(2), s.this_run(2), s.lookup_new(2)
-    )
+        s.lookup(n - 1), s.mapping(n), s.this_run(n), s.lookup_new(n)
+    ).select(*cols(LOOKUP))
 
 
-@register("history_resolved", HISTORY_SQL)
-def history_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Steps(spark, sf_dir)
+@register("history_resolved", later_batches(history_sql))
+@in_later_batches
+def history_resolved(s: Steps, n: int) -> DataFrame:
     return lookup.resolve_history(
-        s.lookup_new(1), s.mapping(2), s.lookup_new(2), s.this_run(2)
+        s.lookup(n - 1), s.mapping(n), s.lookup_new(n), s.this_run(n)
     ).select(*cols(UNKEYED))
 
 
 @register(
     "fold_history",
-    f"""
-    select distinct {FOLDED} from (
-      select {UNKEYED}, 0 as stored from im_2
-      union all
-      select {UNKEYED}, 1 as stored from ({HISTORY_SQL}) h
-      where exists (select 1 from im_2 n where n.active_identity_id = h.active_identity_id
-        and n.id_type = h.id_type and n.id_value = h.id_value))
-    {FOLD_WINDOWS}
-    """,
+    later_batches(
+        lambda n: folded(f"""select {UNKEYED}, 0 as stored from im_{n} union all
+            select {UNKEYED}, 1 from ({history_sql(n)}) h
+            semi join im_{n} s using (active_identity_id, id_type, id_value)""")
+    ),
 )
-def fold_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Steps(spark, sf_dir)
-    new = s.lookup_new(2)
-    resolved = lookup.resolve_history(s.lookup_new(1), s.mapping(2), new, s.this_run(2))
-    return lookup.fold_history(new, resolved)
+@in_later_batches
+def fold_history(s: Steps, n: int) -> DataFrame:
+    new = s.lookup_new(n)
+    resolved = lookup.resolve_history(s.lookup(n - 1), s.mapping(n), new, s.this_run(n))
+    return lookup.fold_history(new, resolved).select(*cols(LOOKUP))
 
 
 @register("identifier_mapping", f"select {LOOKUP} from imap_3")
@@ -752,15 +782,16 @@ def identifier_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 SCD_ROW = "scd_key, identity_id, active_identity_id, effective_at, change_type"
 
 
-@register("scd_ids_affected", "select identity_id from scd_ids_2")
-def scd_ids_affected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.ids_affected(Steps(spark, sf_dir).changed(2))
+@register("scd_ids_affected", later_batches(lambda n: f"select identity_id from scd_ids_{n}"))
+@in_later_batches
+def scd_ids_affected(s: Steps, n: int) -> DataFrame:
+    return history.ids_affected(s.changed(n))
 
 
-@register("scd_history", f"select {SCD_ROW} from scd_hist_2")
-def scd_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Steps(spark, sf_dir)
-    return history.scd_history(s.scd_first(1), history.ids_affected(s.changed(2)))
+@register("scd_history", later_batches(lambda n: f"select {SCD_ROW} from scd_hist_{n}"))
+@in_later_batches
+def scd_history(s: Steps, n: int) -> DataFrame:
+    return history.scd_history(s.scd(n - 1), history.ids_affected(s.changed(n))).select(*cols(SCD_ROW))
 
 
 @register("scd_new_records", f"select {SCD_ROW} from scd_new_0")
@@ -768,20 +799,21 @@ def scd_new_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.scd_new_records(Steps(spark, sf_dir).changed(0))
 
 
-def _combined(s: Steps) -> DataFrame:
-    known = history.scd_history(s.scd_first(1), history.ids_affected(s.changed(2)))
-    return history.scd_combine(history.scd_new_records(s.changed(2)), known)
+def _combined(s: Steps, n: int) -> DataFrame:
+    known = history.scd_history(s.scd(n - 1), history.ids_affected(s.changed(n)))
+    return history.scd_combine(history.scd_new_records(s.changed(n)), known)
 
 
-@register("scd_dedupe_key", f"select {SCD_ROW} from scd_one_2")
-def scd_dedupe_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.scd_dedupe_key(_combined(Steps(spark, sf_dir)))
+@register("scd_dedupe_key", later_batches(lambda n: f"select {SCD_ROW} from scd_one_{n}"))
+@in_later_batches
+def scd_dedupe_key(s: Steps, n: int) -> DataFrame:
+    return history.scd_dedupe_key(_combined(s, n)).select(*cols(SCD_ROW))
 
 
-@register("scd_dedupe_triple", f"select {SCD_ROW} from scd_two_2")
-def scd_dedupe_triple(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = history.scd_dedupe_key(_combined(Steps(spark, sf_dir)))
-    return history.scd_dedupe_triple(rows)
+@register("scd_dedupe_triple", later_batches(lambda n: f"select {SCD_ROW} from scd_two_{n}"))
+@in_later_batches
+def scd_dedupe_triple(s: Steps, n: int) -> DataFrame:
+    return history.scd_dedupe_triple(history.scd_dedupe_key(_combined(s, n))).select(*cols(SCD_ROW))
 
 
 @register("id_mapping_scd", f"select {SCD} from scd_3")
@@ -895,17 +927,17 @@ def dq_scd_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "diff_tables",
-    f"""
-    select {MAP}, 'left' as side, cast(1 as bigint) as copies
-    from (select {MAP} from map_2 except all select {MAP} from map_1)
-    union all
-    select {MAP}, 'right' as side, cast(1 as bigint) as copies
-    from (select {MAP} from map_1 except all select {MAP} from map_2)
-    """,
+    later_batches(
+        lambda n: f"""
+        select {MAP}, if(count(*) filter (w = 1) > count(*) filter (w = 0), 'left', 'right') as side,
+          abs(sum(2 * w - 1))::bigint as copies
+        from (select {MAP}, 1 as w from map_{n} union all select {MAP}, 0 from map_{n - 1})
+        group by {MAP} having sum(2 * w - 1) <> 0"""
+    ),
 )
-def diff_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Steps(spark, sf_dir)
-    return quality.diff_tables(s.mapping(2), s.mapping(1))
+@in_later_batches
+def diff_tables(s: Steps, n: int) -> DataFrame:
+    return quality.diff_tables(s.mapping(n), s.mapping(n - 1))
 
 
 @register(
@@ -926,7 +958,7 @@ def stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three deliveries of files, each consumed before the next one lands."""
     root = scratch_dir(spark, "stream")
     raw = feed.raw_events(spark, sf_dir)
-    store = TableStore(spark, f"{root}/store", buckets_for(raw))
+    store = TableStore(spark, f"{root}/store", buckets_for(raw.count()))
     for run in BATCHES:
         src.select_run_window(raw, run).write.mode("append").parquet(f"{root}/landing")
         query = stream_identities(

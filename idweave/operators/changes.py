@@ -28,7 +28,7 @@ def _roots(this_run: DataFrame) -> DataFrame:
 
 def _root_times(children: DataFrame) -> DataFrame:
     return children.groupBy(F.col("root_id").alias("active_identity_id")).agg(
-        F.max("merged_at").alias("event_merged_at")
+        F.max("merged_at").alias("last_merge_at")
     )
 
 
@@ -50,7 +50,7 @@ def cascade_children(edges: DataFrame, affected: DataFrame) -> DataFrame:
 
 def intermediate_event_times(edges: DataFrame) -> DataFrame:
     """Per parent of the batch: its latest merge."""
-    return edges.groupBy("active_identity_id").agg(F.max("merged_at").alias("event_merged_at"))
+    return edges.groupBy("active_identity_id").agg(F.max("merged_at").alias("last_merge_at"))
 
 
 def orphan_cascades(affected: DataFrame, this_run: DataFrame, edges: DataFrame) -> DataFrame:
@@ -131,7 +131,7 @@ def resolved_merge_changes(
     return rows.select(
         F.col("root_id").alias("identity_id"),
         F.col("identity_id").alias("previous_identity_id"),
-        F.when(F.col("cascading"), F.col("event_merged_at"))
+        F.when(F.col("cascading"), F.col("last_merge_at"))
         .otherwise(F.col("own.merged_at"))
         .alias("effective_at"),
         F.lit("merged").alias("change_type"),
@@ -147,7 +147,7 @@ def intermediate_merge_changes(edges: DataFrame) -> DataFrame:
     Every child of an intermediate parent takes the parent's latest merge time.
     """
     inner = mapping.intermediate_parents(edges).withColumnRenamed(
-        "intermediate_id", "active_identity_id"
+        "passed_id", "active_identity_id"
     )
     times = intermediate_event_times(edges).join(inner, "active_identity_id", "left_semi")
     pairs = edges.groupBy("active_identity_id", "identity_id").agg(
@@ -157,7 +157,7 @@ def intermediate_merge_changes(edges: DataFrame) -> DataFrame:
     return pairs.join(times, "active_identity_id").select(
         F.col("active_identity_id").alias("identity_id"),
         F.col("identity_id").alias("previous_identity_id"),
-        F.col("event_merged_at").alias("effective_at"),
+        F.col("last_merge_at").alias("effective_at"),
         F.lit("merged").alias("change_type"),
         "first_seen_event_id",
     )
@@ -239,7 +239,10 @@ def id_changes_this_run(
 
 
 def merge_id_changes(prev: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows to upsert into the log: earliest times win, ties keep the stored event."""
+    """Rows to upsert into the log: earliest times win, ties keep the stored event.
+
+    Rows that come out as they are stored are left out.
+    """
     stored = prev.join(new.select("id_change_key"), "id_change_key", "left_semi").select(
         "id_change_key",
         F.struct("effective_at", "changed_at", "first_seen_event_id", "first_seen_app_id").alias(
@@ -253,7 +256,8 @@ def merge_id_changes(prev: DataFrame, new: DataFrame) -> DataFrame:
     def follow(name: str) -> Column:
         return F.when(newer_wins, F.col(name)).otherwise(F.col(f"old.{name}")).alias(name)
 
-    return new.join(stored, "id_change_key", "left").select(
+    merged = new.join(stored, "id_change_key", "left").select(
+        "old",
         "id_change_key",
         "identity_id",
         "previous_identity_id",
@@ -264,3 +268,5 @@ def merge_id_changes(prev: DataFrame, new: DataFrame) -> DataFrame:
         follow("first_seen_event_id"),
         follow("first_seen_app_id"),
     )
+    now = F.struct("effective_at", "changed_at", "first_seen_event_id", "first_seen_app_id")
+    return merged.where(~F.col("old").eqNullSafe(now)).drop("old")

@@ -49,8 +49,8 @@ def scd_new_records(changes: DataFrame) -> DataFrame:
 
 def scd_combine(new: DataFrame, history: DataFrame) -> DataFrame:
     """Batch rows (rank 1) and stored rows (rank 2)."""
-    return new.withColumn("source_rank", F.lit(1)).unionByName(
-        history.withColumn("source_rank", F.lit(2))
+    return new.withColumn("origin", F.lit(1)).unionByName(
+        history.withColumn("origin", F.lit(2))
     )
 
 
@@ -59,7 +59,7 @@ def scd_dedupe_key(combined: DataFrame) -> DataFrame:
     best = combined.groupBy("scd_key").agg(
         F.min(
             F.struct(
-                "effective_at", "source_rank", "active_identity_id", "identity_id", "change_type"
+                "effective_at", "origin", "active_identity_id", "identity_id", "change_type"
             )
         ).alias("r")
     )

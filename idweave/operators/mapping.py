@@ -29,7 +29,7 @@ def intermediate_parents(edges: DataFrame) -> DataFrame:
     parents = edges.select("active_identity_id").distinct()
     children = _children(edges).withColumnRenamed("identity_id", "active_identity_id")
     return parents.join(children, "active_identity_id", "left_semi").select(
-        F.col("active_identity_id").alias("intermediate_id")
+        F.col("active_identity_id").alias("passed_id")
     )
 
 
@@ -53,7 +53,7 @@ def id_mapping_this_run(edges: DataFrame, run: RunContext) -> DataFrame:
     Parents that are children themselves are usually few, so they are what the
     edges are filtered against; the edge rows never need a join on the roots.
     """
-    inner = intermediate_parents(edges).withColumnRenamed("intermediate_id", "active_identity_id")
+    inner = intermediate_parents(edges).withColumnRenamed("passed_id", "active_identity_id")
     to_roots = edges.where(F.col("active_identity_id").isNotNull()).join(
         own_shuffle(inner, "active_identity_id"), "active_identity_id", "left_anti"
     )

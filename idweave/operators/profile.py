@@ -85,7 +85,8 @@ def merge_identities(prev: DataFrame, new: DataFrame, cfg: IdentityConfig) -> Da
 
     The stored side keeps its first_* only when strictly earlier and its last_*
     only when strictly later; identifier columns take the newest non-null value.
-    Only stored rows of identities in the batch take part.
+    Only stored rows of identities in the batch take part, and only rows that
+    differ from the stored one come out.
     """
     stored = prev.join(new.select("identity_id"), "identity_id", "left_semi").select(
         "identity_id", F.struct(*[c for c in prev.columns if c != "identity_id"]).alias("old")
@@ -97,7 +98,8 @@ def merge_identities(prev: DataFrame, new: DataFrame, cfg: IdentityConfig) -> Da
     def keep(when: Column, name: str) -> Column:
         return F.when(when, F.col(f"old.{name}")).otherwise(F.col(name)).alias(name)
 
-    return joined.select(
+    merged = joined.select(
+        "old",
         "identity_id",
         keep(old_first, "created_at"),
         keep(old_first, "first_seen_event_id"),
@@ -110,3 +112,6 @@ def merge_identities(prev: DataFrame, new: DataFrame, cfg: IdentityConfig) -> Da
         keep(old_first, "first_derived_tstamp"),
         keep(old_last, "last_derived_tstamp"),
     )
+    now = F.struct(*[F.col(c) for c in prev.columns if c != "identity_id"])
+    grown = set(merged.columns) - {"old"} != set(prev.columns)  # a new identifier column
+    return (merged if grown else merged.where(~F.col("old").eqNullSafe(now))).drop("old")

@@ -56,7 +56,7 @@ def diff_tables(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def rebuild_scd(changes: DataFrame, mapping: DataFrame) -> DataFrame:
     """The SCD as it follows from the change log alone."""
-    rows = history.scd_dedupe_key(history.scd_new_records(changes).withColumn("source_rank", F.lit(1)))
+    rows = history.scd_dedupe_key(history.scd_new_records(changes).withColumn("origin", F.lit(1)))
     return history.supersede(rows, mapping)
 
 

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from idweave import schemas
 from idweave.config import IdentityConfig, RunContext
+from idweave.functions.joins import own_shuffle
 from idweave.operators import changes, extract, history, lookup, mapping, profile
+from idweave.operators import upsert as upsert_ops
 from idweave.plans.store import Transaction
 
 TABLES = tuple(schemas.KEYS)
@@ -121,12 +123,15 @@ def apply_batch(
         upsert("id_changes", changes.merge_id_changes(stored("id_changes"), changed))
 
     def update_history(changed: DataFrame, this_run: DataFrame) -> None:
-        known = history.scd_history(stored("id_mapping_scd"), history.ids_affected(changed))
-        replaced = None
-        if cfg.replace_affected:
+        ids = own_shuffle(history.ids_affected(changed), "identity_id")
+        known = stored("id_mapping_scd").join(ids, "identity_id", "left_semi")
+        if txn.store.exists("id_mapping_scd"):
             known = txn.stage("scd_history", known)
-            replaced = known.select("scd_key")
-        upsert("id_mapping_scd", history.scd_updates(known, changed, this_run), replaced)
+        rows = history.scd_updates(known.select(*history.COLUMNS), changed, this_run)
+        replaced = known.select("scd_key") if cfg.replace_affected else None
+        if replaced is None:
+            rows = upsert_ops.changed_rows(known, rows, "scd_key")
+        upsert("id_mapping_scd", rows, replaced)
 
     def update_lookup(observed: DataFrame, this_run: DataFrame) -> None:
         after = txn.read("id_mapping", layouts["id_mapping"])
@@ -143,6 +148,8 @@ def apply_batch(
             lookup.affected_stored(stored("identifier_mapping"), after, this_run, new),
         )
         rows = lookup.identifier_mapping_updates(touched, new)
+        untouched = touched.where("not absorbed").withColumnRenamed("old_uuid", "uuid")
+        rows = upsert_ops.changed_rows(untouched, rows, "uuid")
         upsert("identifier_mapping", rows, lookup.stale_rows(touched))
 
     with ThreadPoolExecutor(max_workers=4) as pool:

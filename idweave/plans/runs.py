@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Row
@@ -54,26 +53,41 @@ def plan_run(
     """The next window with events in it, or None when everything is consumed.
 
     When the next window is empty but later events exist, it starts at the first
-    of them, so a gap longer than the backfill limit cannot stall the runs. Events
-    the configuration filters out do not count.
+    of them, so a gap longer than the backfill limit cannot stall the runs. While some
+    tables are behind, such a jump stays inside what the others have consumed; with
+    nothing left there, all tables are level and go on together. Events the
+    configuration filters out do not count.
     """
     wanted = closure(models)
-    status = mf.manifest_status(load_manifest(store), wanted)
-    limits = mf.run_limits(status, cfg).first()
+    status = mf.manifest_status(load_manifest(store), wanted).first()
+    limits = mf.run_limits(mf.manifest_status(load_manifest(store), wanted), cfg).first()
     lower, upper, inclusive = limits["lower_limit"], limits["upper_limit"], limits["lower_inclusive"]
     kept = filter_event_names(filter_app_ids(events, cfg.app_ids), cfg.event_names)
-    window = RunContext(lower, upper, run_tstamp, inclusive)
+    step = timedelta(days=cfg.backfill_limit_days)
+
+    def seek(start: datetime, end: datetime, with_start: bool) -> Row:
+        window = RunContext(start, end, run_tstamp, with_start)
+        return _arrivals(select_run_window(kept, window, cfg.load_date_column))
+
     # normally only the partitions of the window are looked at
-    inside = _arrivals(select_run_window(kept, window, cfg.load_date_column))
+    inside = seek(lower, upper, inclusive)
     if inside["events"]:
-        return replace(window, upper=inside["last_load"])
-    ever = RunContext(upper, datetime.max, run_tstamp, False)
-    later = _arrivals(select_run_window(kept, ever, cfg.load_date_column))
+        return RunContext(lower, inside["last_load"], run_tstamp, inclusive)
+    if limits["state"] in ("replay", "catch_up"):
+        level = status["max_last_success"]
+        behind = seek(upper, level, False) if upper < level else None
+        if behind and behind["events"]:
+            first = behind["first_load"]
+            return RunContext(first, min(first + step, behind["last_load"]), run_tstamp)
+        inside = seek(level, level + step, False)
+        if inside["events"]:
+            return RunContext(level, inside["last_load"], run_tstamp, False)
+        upper = level + step
+    later = seek(upper, datetime.max, False)
     if not later["events"]:
         return None
     first = later["first_load"]
-    limit = first + timedelta(days=cfg.backfill_limit_days)
-    return RunContext(first, min(limit, later["last_load"]), run_tstamp)
+    return RunContext(first, min(first + step, later["last_load"]), run_tstamp)
 
 
 def _arrivals(events: DataFrame) -> Row:
@@ -107,26 +121,29 @@ def process(
     manifest decides per table.
     """
     txn = store.begin()
-    staged = stage_batch(txn, base, cfg)
-    span = arrival_bounds(staged).first()
-    if not span["events"]:
-        return None
-    first, last = span["first_load"], span["last_load"]
-    known = store.state()["manifest"]
-    due = closure(outputs)
-    if stream_batch is None:
-        due = {t for t in due if mf.has_new_events(_time(known.get(t, {}).get("last")), last)}
-    if not due:
-        return None
-    for table in apply_batch(txn, staged, cfg, RunContext(first, last, run_tstamp), due):
-        old = known.get(table)
-        txn.state["manifest"][table] = {
-            "first": min(first, _time(old["first"])).isoformat() if old else first.isoformat(),
-            "last": max(last, _time(old["last"])).isoformat() if old else last.isoformat(),
-        }
-    if stream_batch is not None:
-        txn.state["streams"][stream_batch[0]] = stream_batch[1]
-    return txn.commit()
+    try:
+        staged = stage_batch(txn, base, cfg)
+        span = arrival_bounds(staged).first()
+        if not span["events"]:
+            return None
+        first, last = span["first_load"], span["last_load"]
+        known = store.state()["manifest"]
+        due = closure(outputs)
+        if stream_batch is None:
+            due = {t for t in due if mf.has_new_events(_time(known.get(t, {}).get("last")), last)}
+        if not due:
+            return None
+        for table in apply_batch(txn, staged, cfg, RunContext(first, last, run_tstamp), due):
+            old = known.get(table)
+            txn.state["manifest"][table] = {
+                "first": min(first, _time(old["first"])).isoformat() if old else first.isoformat(),
+                "last": max(last, _time(old["last"])).isoformat() if old else last.isoformat(),
+            }
+        if stream_batch is not None:
+            txn.state["streams"][stream_batch[0]] = stream_batch[1]
+        return txn.commit()
+    finally:
+        txn.discard_staging()
 
 
 def run_next(

@@ -4,7 +4,12 @@ Every table is cut into hash buckets of its unique key, one folder per bucket an
 version. An upsert rewrites the buckets that hold a touched key and leaves the
 others where they are. A commit is one JSON row naming the folder of every bucket
 of every table; until it is written nothing of a run is visible, and folders of
-earlier commits are never changed. One writer at a time.
+earlier commits are never changed. Of two writers that start from the same commit
+one is refused.
+
+A bucket is named by its modulus and number. When the store asks for twice a
+table's buckets or more, the buckets an upsert rewrites are cut in two, as often as
+needed: ``hash mod 2n`` refines ``hash mod n``, so old and new ones live side by side.
 """
 
 from __future__ import annotations
@@ -12,10 +17,13 @@ from __future__ import annotations
 import json
 import uuid
 
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows, known to the optimiser as such, so joins against it fold away."""
@@ -25,6 +33,7 @@ def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 COMMIT_SCHEMA = "version long, payload string"
 BUCKET = "bucket"
+ROLE = "__role"  # 0 stored, 1 deleted, 2 written
 
 # Sort order inside a bucket, so that file and row-group statistics can prune.
 CLUSTER_BY = {
@@ -85,8 +94,8 @@ class TableStore:
     """A folder of tables.
 
     ``buckets`` is the bucket count of the largest table, the others get their share
-    of it. Aim for buckets of a few hundred megabytes. A table keeps the count it was
-    made with.
+    of it. Aim for buckets of a few hundred megabytes (:func:`buckets_for`) and pass
+    the current count each time: tables grow to it as they are rewritten.
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 16) -> None:
@@ -103,16 +112,29 @@ class TableStore:
     def _commits(self) -> str:
         return f"{self.root}/commits"
 
+    def _folders(self, *path: str) -> list[str]:
+        """Names of the folders below a folder of the store."""
+        files, root = fs.FileSystem.from_uri(self.root)
+        selector = fs.FileSelector("/".join([root, *path]), allow_not_found=True)
+        return [f.base_name for f in files.get_file_info(selector) if f.type == fs.FileType.Directory]
+
+    def _delete(self, path: str) -> None:
+        files, root = fs.FileSystem.from_uri(self.root)
+        files.delete_dir(f"{root}/{path}")
+
+    def _latest(self) -> int:
+        return max((int(name[1:]) for name in self._folders("commits")), default=0)
+
     def state(self) -> dict:
         """The latest commit."""
         if self._state is None:
-            try:
-                commits = self.spark.read.schema(COMMIT_SCHEMA).json(self._commits)
-            except AnalysisException:  # nothing committed yet
+            version = self._latest()
+            if version:
+                path = f"{self._commits}/v{version:09d}"
+                row = self.spark.read.schema(COMMIT_SCHEMA).json(path).first()
+                self._state = json.loads(row["payload"])
+            else:  # nothing committed yet
                 self._state = {"version": 0, "tables": {}, "manifest": {}, "streams": {}}
-            else:
-                last = commits.agg(F.max(F.struct("version", "payload")).alias("c")).first()["c"]
-                self._state = json.loads(last["payload"])
         return self._state
 
     def refresh(self) -> None:
@@ -131,7 +153,7 @@ class TableStore:
         meta: dict | None,
         table: str,
         schema: T.StructType | None,
-        only: set[int] | None = None,
+        only: set[str] | None = None,
     ) -> DataFrame:
         if meta is None:
             if schema is None:
@@ -144,7 +166,7 @@ class TableStore:
         paths = [
             f"{self.root}/tables/{table}/{token}/{BUCKET}={b}"
             for b, token in meta["parts"].items()
-            if only is None or int(b) in only
+            if only is None or b in only
         ]
         if not paths:
             return empty_table(self.spark, stored)
@@ -159,53 +181,38 @@ class TableStore:
         Folders of runs newer than the latest commit are left alone. Returns what
         was deleted.
         """
-        commits = self.spark.read.schema(COMMIT_SCHEMA).json(self._commits)
-        recent = commits.orderBy(F.desc("version")).limit(keep).collect()
-        newest = max(r["version"] for r in recent)
-        live = {
-            f"{table}/{token}/{BUCKET}={b}"
-            for r in recent
-            for table, meta in json.loads(r["payload"])["tables"].items()
-            for b, token in meta["parts"].items()
-        }
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        fs = jvm.org.apache.hadoop.fs.Path(self.root).getFileSystem(conf)
-
-        def children(path: str) -> list[str]:
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            if not fs.exists(folder):
-                return []
-            return [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+        versions = sorted(self._folders("commits"))
+        recent = versions[-keep:]
+        live = set()
+        for name in recent:
+            row = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self._commits}/{name}").first()
+            for table, meta in json.loads(row["payload"])["tables"].items():
+                live |= {f"{table}/{token}/{BUCKET}={b}" for b, token in meta["parts"].items()}
 
         def finished(token: str) -> bool:
-            return int(token[1:].split("-")[0]) <= newest
+            return bool(recent) and int(token[1:].split("-")[0]) <= int(recent[-1][1:])
 
-        doomed = [
-            f"{self.root}/staging/{token}"
-            for token in children(f"{self.root}/staging")
-            if finished(token)
-        ]
-        for table in children(f"{self.root}/tables"):
-            for token in filter(finished, children(f"{self.root}/tables/{table}")):
-                doomed += [
-                    f"{self.root}/tables/{table}/{token}/{part}"
-                    for part in children(f"{self.root}/tables/{table}/{token}")
-                    if f"{table}/{token}/{part}" not in live
-                ]
-        for path in doomed:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
-        return doomed
+        doomed = [f"staging/{t}" for t in filter(finished, self._folders("staging"))]
+        for table in self._folders("tables"):
+            for token in filter(finished, self._folders("tables", table)):
+                parts = self._folders("tables", table, token)
+                doomed += [f"tables/{table}/{token}/{p}" for p in parts if f"{table}/{token}/{p}" not in live]
+        for path in doomed + [f"commits/{name}" for name in versions[:-keep]]:
+            self._delete(path)
+        return [f"{self.root}/{path}" for path in doomed]
 
 
-def buckets_for(events: DataFrame, bytes_per_bucket: int = 4 << 30, most: int = 20_000) -> int:
-    """A bucket count from the optimiser's estimate of the size of the events.
+def buckets_for(rows: int, rows_per_bucket: int = 20_000_000) -> int:
+    """A bucket count for tables made from so many events.
 
     The tables are a small part of the events they come from, so a bucket stands for
     several gigabytes of events.
     """
-    size = int(events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return max(4, min(most, -(-size // bytes_per_bucket)))
+    return max(4, -(-rows // rows_per_bucket))
+
+
+class StaleCommit(RuntimeError):
+    """Another run was committed since this one began."""
 
 
 class Transaction:
@@ -241,45 +248,62 @@ class Transaction:
     ) -> None:
         """Insert or replace ``updates`` by key and drop the keys in ``deletes``.
 
-        Both sides are partitioned exactly like the buckets, so the join needs no
-        shuffle beyond that and every task writes a single bucket. Updates of a
-        table that exists are read more than once and staged unless ``staged``
-        says they are already; the first load of a table is written straight.
+        The touched buckets, the updates and the deleted keys are shuffled once,
+        partitioned exactly like the new buckets; what a key's rows are is decided
+        in place, and every task writes a single bucket. Updates of a table that
+        exists are read more than once and staged unless ``staged`` says they are
+        already; the first load of a table is written straight.
         """
         meta = self.state["tables"].get(table)
-        buckets = meta["buckets"] if meta else self.store.bucket_count(table)
+        buckets = self.store.bucket_count(table)
+        if meta:
+            wanted, buckets = buckets, meta["buckets"]
+            while wanted >= 2 * buckets:
+                buckets *= 2
         bucket = F.pmod(F.hash(key), F.lit(buckets))
         if meta and not staged:
             updates = self.stage(f"{table}_updates", updates)
-        changed = updates.select(key)
-        if deletes is not None:
-            changed = changed.unionByName(deletes.select(key))
-        rows = updates.repartition(buckets, key)
-        if meta:
+        rewritten: set[str] = set()
+        if not meta:
+            rows = updates.repartition(buckets, key)
+        else:
+            changed = updates.select(key)
+            if deletes is not None:
+                changed = changed.unionByName(deletes.select(key))
             # at most one row per bucket comes to the driver
             touched = {r[0] for r in changed.select(bucket).distinct().collect()}
             if not touched:
                 return
-            target = self.store._read(meta, table, None, touched)
-            kept = target.repartition(buckets, key).join(changed, key, "left_anti")
-            rows = kept.select(*target.columns).unionByName(rows, allowMissingColumns=True)
+            for part in meta["parts"]:
+                modulus, number = map(int, part.split("."))
+                if any(t % modulus == number for t in touched):
+                    rewritten.add(part)
+            target = self.store._read(meta, table, None, rewritten)
+            rows = target.withColumn(ROLE, F.lit(0)).unionByName(
+                updates.withColumn(ROLE, F.lit(2)), allowMissingColumns=True
+            )
+            if deletes is not None:
+                gone = deletes.select(key, F.lit(1).alias(ROLE))
+                rows = rows.unionByName(gone, allowMissingColumns=True)
+            last = F.max(ROLE).over(Window.partitionBy(key))
+            rows = (
+                rows.repartition(buckets, key)
+                .withColumn("last_role", last)
+                .where(f"{ROLE} = 2 or last_role = 0")
+                .drop(ROLE, "last_role")
+            )
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
         path = f"{self.store.root}/tables/{table}/{self.token}"
         (
-            rows.withColumn(BUCKET, bucket)
+            rows.withColumn(BUCKET, F.concat(F.lit(f"{buckets}."), bucket.cast("string")))
             .sortWithinPartitions(BUCKET, *CLUSTER_BY.get(table, [key]))
             .write.mode("errorifexists")
             .partitionBy(BUCKET)
             .parquet(path)
         )
-        parts = dict(meta["parts"]) if meta else {}
-        if meta:
-            for b in touched:
-                parts.pop(str(b), None)
-        written = self.spark.read.schema(schema).parquet(path).inputFiles()
-        for name in written:
-            b = name.split(f"/{BUCKET}=")[1].split("/")[0]
-            parts[b] = self.token
+        parts = {p: t for p, t in meta["parts"].items() if p not in rewritten} if meta else {}
+        written = self.store._folders("tables", table, self.token)
+        parts |= {name.removeprefix(f"{BUCKET}="): self.token for name in written if "=" in name}
         self.state["tables"][table] = {
             "schema": schema.jsonValue(),
             "buckets": buckets,
@@ -287,11 +311,28 @@ class Transaction:
         }
 
     def commit(self) -> int:
-        """Publish every table and the manifest of this run at once."""
+        """Publish every table and the manifest of this run at once.
+
+        The commit's folder carries its version and must not exist yet; of two writers
+        that come this far at the same time, both see the other's row and give up.
+        """
+        version = self.state["version"]
+        if self.store._latest() != version - 1:
+            raise StaleCommit(f"version {version - 1} is not the latest any more")
         commit = self.spark.range(1, numPartitions=1).select(
-            F.lit(self.state["version"]).cast("long").alias("version"),
-            F.lit(json.dumps(self.state)).alias("payload"),
+            F.lit(version).cast("long").alias("version"), F.lit(json.dumps(self.state)).alias("payload")
         )
-        commit.write.mode("append").json(self.store._commits)
+        path = f"{self.store._commits}/v{version:09d}"
+        try:
+            commit.write.mode("errorifexists").json(path)
+        except AnalysisException as e:
+            raise StaleCommit(f"version {version} was committed by another run") from e
+        if self.spark.read.schema(COMMIT_SCHEMA).json(path).count() != 1:
+            raise StaleCommit(f"two runs committed version {version}")
         self.store._state = self.state
-        return self.state["version"]
+        return version
+
+    def discard_staging(self) -> None:
+        """Delete the intermediate results of this run."""
+        if self.token in self.store._folders("staging"):
+            self.store._delete(f"staging/{self.token}")
