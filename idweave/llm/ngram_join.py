@@ -45,7 +45,7 @@ from idweave.plans.scratch import scratch_dir
 
 SIZE, PERCENT = 5, 80
 #: Chunks hold about so many sets and hashes.
-CHUNK_SETS, CHUNK_HASHES = 192, 1_000_000
+CHUNK_SETS, CHUNK_HASHES = 768, 1_500_000
 #: Rows of a side that may be broadcast: 8 bytes each, so 8 MB.
 BROADCAST_ROWS = 1_000_000
 _COLUMN_BLOCK = 4096
@@ -164,19 +164,66 @@ def _spanning(linked: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def links(sets: list[np.ndarray], percent: int, side: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """A spanning forest of the links among ``sets``, or only of those between the two sides."""
+def links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links among ``sets``."""
     if len(sets) < 2:
         return []
     n = np.array([len(s) for s in sets], np.int64)
     common = _overlaps(sets)
     linked = 100 * common >= percent * (n[:, None] + n[None, :] - common)
     np.fill_diagonal(linked, False)
-    if side is not None:
-        linked &= side[:, None] != side[None, :]
     return _spanning(linked)
 
 
+def links_across(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between two lists of sets, as indices into either.
+
+    Only hashes of both unions matter; a set with too few of them has no partner.
+    """
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    sides = []
+    for sets in (left, right):
+        n = np.array([len(s) for s in sets], np.int64)
+        flat = np.concatenate(sets)
+        at = np.minimum(np.searchsorted(both, flat), max(0, len(both) - 1))
+        hit = both[at] == flat if len(both) else np.zeros(len(flat), bool)
+        owner, column = np.repeat(np.arange(len(sets)), n)[hit], at[hit]
+        bound = np.bincount(owner, minlength=len(sets))
+        keep = np.flatnonzero(bound >= least_overlap(n, percent))
+        row = np.full(len(sets), -1)
+        row[keep] = np.arange(len(keep))
+        use = row[owner] >= 0
+        order = np.argsort(column[use], kind="stable")
+        sides.append((keep, n[keep], row[owner[use]][order], column[use][order]))
+    (rows, n, *_), (columns, m, *_) = sides
+    if not len(rows) or not len(columns):
+        return []
+    common = np.zeros((len(rows), len(columns)), np.float32)
+    for low in range(0, len(both), _COLUMN_BLOCK):
+        blocks = []
+        for keep, _, owner, column in sides:
+            a, b = np.searchsorted(column, [low, low + _COLUMN_BLOCK])
+            block = np.zeros((len(keep), _COLUMN_BLOCK), np.float32)
+            block[owner[a:b], column[a:b] - low] = 1
+            blocks.append(block)
+        common += blocks[0] @ blocks[1].T
+    common = common.astype(np.int64)
+    linked = 100 * common >= percent * (n[:, None] + m[None, :] - common)
+    i, j = np.nonzero(linked)
+    root = list(range(len(rows) + len(columns)))
+    forest = []
+    for a, b in zip(i.tolist(), (j + len(rows)).tolist(), strict=True):
+        ra, rb = a, b
+        while root[ra] != ra:
+            root[ra] = ra = root[root[ra]]
+        while root[rb] != rb:
+            root[rb] = rb = root[root[rb]]
+        if ra != rb:
+            root[rb] = ra
+            forest.append((int(rows[a]), int(columns[b - len(rows)])))
+    return forest
+
+
 def _open_chunk(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates("sid")
@@ -191,22 +238,11 @@ def _open_pair(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Two cells: bound every query by the union of the other cell, then compare what passes."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        side = rows["side"].to_numpy()
-        sets = [np.asarray(x, np.int64) for x in rows["hashes"]]
-        unions = [
-            np.unique(np.concatenate([np.zeros(0, np.int64), *(s for s, x in zip(sets, side, strict=True) if x == k)]))
-            for k in (0, 1)
-        ]
-        keep = np.array(
-            [
-                int(np.isin(s, unions[1 - x], assume_unique=True).sum()) >= least_overlap(len(s), percent)
-                for s, x in zip(sets, side, strict=True)
-            ],
-            bool,
-        )
-        sid, side = rows["sid"].to_numpy()[keep], side[keep]
-        found = links([s for s, k in zip(sets, keep, strict=True) if k], percent, side)
-        return pd.DataFrame({"a": [sid[i] for i, _ in found], "b": [sid[j] for _, j in found]}, dtype="int64")
+        sides = [rows[rows["side"] == k] for k in (0, 1)]
+        sets = [[np.asarray(x, np.int64) for x in part["hashes"]] for part in sides]
+        found = links_across(*sets, percent) if all(sets) else []
+        sid = [part["sid"].to_numpy() for part in sides]
+        return pd.DataFrame({"a": [sid[0][i] for i, _ in found], "b": [sid[1][j] for _, j in found]}, dtype="int64")
 
     return run
 
