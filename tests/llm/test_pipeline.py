@@ -1,0 +1,82 @@
+"""The pipeline's stages on a small corpus, each against what its own input demands."""
+
+import random
+from collections import defaultdict
+
+import corpus_pipeline as cp
+import pytest
+
+from tests.llm.test_line_rules import expected
+from tests.llm.test_ngram_join import brute as components
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def corpus():
+    rng = random.Random(8)
+    docs = []
+    for i in range(90):
+        words = [f"w{rng.randrange(4000)}" for _ in range(rng.choice([20, 60, 120, 300]))]
+        docs.append((i, "shared footer line\n" + " ".join(words), rng.choice(["en", "de"]), f"src{i % 3}", 0))
+    for i in range(90, 120):
+        base = rng.choice(docs[:90])
+        words = base[1].split(" ")
+        if rng.random() < 0.5:
+            words[rng.randrange(5, len(words))] = "changed"
+        text = " ".join(words)
+        docs.append((i, text.upper() if rng.random() < 0.3 else text, base[2], base[3], 0))
+    return docs + [(200, None, "en", "src0", 0), (201, "", None, None, None)]
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("pipeline")
+    docs = spark.createDataFrame(corpus(), SCHEMA)
+    seen = [docs]
+    for n, (_, stage) in enumerate(cp.STAGES):
+        seen[-1].write.parquet(str(folder / str(n)))
+        seen[-1] = spark.read.parquet(str(folder / str(n)))
+        seen.append(stage(spark, seen[-1], str(folder)))
+    return [[tuple(r) for r in df.collect()] for df in seen], [df.columns for df in seen]
+
+
+def test_columns(stages):
+    _, columns = stages
+    assert all(c == ["doc_id", "text", "lang", "source", "n_chars"] for c in columns[:5])
+    assert [name for name, _ in cp.STAGES] == ["quality", "exact dedup", "near dedup", "mixing", "packing"]
+
+
+def test_quality_keeps_what_the_rules_keep(stages):
+    rows, _ = stages
+    kept = {r[0] for r in expected(rows[0], 10, 10, 50) if r[-1]}
+    assert {r[0] for r in rows[1]} == kept
+    assert all("footer" not in r[1].lower() and r[4] == len(r[1]) for r in rows[1])
+
+
+def test_exact_and_near(stages):
+    rows, _ = stages
+    last = defaultdict(int)
+    for r in rows[1]:
+        last[r[1].lower()] = max(r[0], last[r[1].lower()])
+    assert {r[0] for r in rows[2]} == set(last.values())
+    groups = {c for _, _, c in components([(r[0], r[1]) for r in rows[2]])}
+    assert sorted(r[0] for r in rows[3]) == sorted(groups)
+
+
+def test_mixing_and_packing(stages):
+    rows, _ = stages
+    assert {r for r in rows[4]} <= {r for r in rows[3]}
+    tokens = sum(len(r[1].split()) for r in rows[3])
+    read = sum(len(r[1].split()) for r in rows[4])
+    assert tokens * 4 // 5 <= read <= tokens * 4 // 5 + 20 * 300
+    pieces = rows[5]
+    by_doc = defaultdict(int)
+    for doc_id, _, length, *_ in pieces:
+        by_doc[doc_id] += length
+    assert set(by_doc) == {r[0] for r in rows[4]}
+
+
+def test_run_is_registered(spark):
+    from __spark_entry__ import queries
+
+    assert queries()["pipeline"] is cp.run
