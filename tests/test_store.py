@@ -1,0 +1,134 @@
+"""Commits that collide, buckets that grow, batches that change nothing, jumps over gaps."""
+
+import re
+from datetime import datetime
+
+import pytest
+
+from idweave.config import IdentityConfig
+from idweave.plans import runs
+from idweave.plans.scratch import scratch_dir
+from idweave.plans.store import StaleCommit, TableStore
+from tests.conftest import at
+from tests.test_extract import BASE, merge, page
+from tests.test_runs import KV, NOW, new_store, put
+
+
+def test_of_two_runs_from_one_state_the_second_is_refused(spark, table, rows):
+    store = new_store(spark)
+    put(store, table(KV, [("z", "0")]))
+    first, second = TableStore(spark, store.root).begin(), TableStore(spark, store.root).begin()
+    first.upsert("t", "k", table(KV, [("a", "1")]))
+    second.upsert("u", "k", table(KV, [("b", "1")]))
+    assert first.commit() == 2
+    with pytest.raises(StaleCommit):
+        second.commit()
+    fresh = TableStore(spark, store.root)
+    assert rows(fresh.read("t")) == [("a", "1"), ("z", "0")] and not fresh.exists("u")
+
+
+def test_buckets_double_when_they_are_rewritten(spark, table, rows):
+    store = new_store(spark, buckets=4)
+    put(store, table(KV, [(str(i), "1") for i in range(200)]))
+    assert {p.split(".")[0] for p in store.state()["tables"]["t"]["parts"]} == {"4"}
+    larger = TableStore(spark, store.root, buckets=17)
+    put(larger, table(KV, [("7", "2")]))
+    meta = larger.state()["tables"]["t"]
+    moduli = [p.split(".")[0] for p in meta["parts"]]
+    assert meta["buckets"] == 16 and moduli.count("4") == 3 and moduli.count("16") == 4
+    put(larger, table(KV, [(str(i), "3") for i in range(100, 300)]), table(KV, [("1", None)]).select("k"))
+    got = rows(TableStore(spark, store.root).read("t"))
+    want = {str(i): "1" for i in range(200)} | {"7": "2"} | {str(i): "3" for i in range(100, 300)}
+    del want["1"]
+    assert got == sorted(want.items())
+    assert all(p.startswith("16.") for p in larger.state()["tables"]["t"]["parts"])
+
+
+def test_the_target_of_an_upsert_is_shuffled_once(spark, table, monkeypatch):
+    store = new_store(spark, buckets=4)
+    put(store, table(KV, [(str(i), "1") for i in range(50)]))
+    plans = []
+    writer = type(spark.range(1).write)
+    original = writer.parquet
+
+    def parquet(self, path, *args, **kwargs):
+        if "/tables/" in path:
+            plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return original(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(writer, "parquet", parquet)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        put(store, table(KV, [("3", "2"), ("99", "2")]), table(KV, [("4", None)]).select("k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    (plan,) = plans
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+    assert store.read("t").count() == 50
+
+
+def test_a_second_sighting_rewrites_neither_log_nor_history(spark, table):
+    seen = [
+        page("e1", "web", "da", None, "01 10:00", "A"),
+        page("e2", "web", "db", None, "01 10:05", "B"),
+        merge("m1", "A", "01 11:00", ("B", "01 11:00", "m1")),
+    ]
+    again = [page("e3", "web", "da", None, "02 11:30", "A"), page("e4", "web", "db", None, "02 12:00", "B")]
+    store = new_store(spark)
+    cfg = IdentityConfig(start_date=at("01 00:00"), backfill_limit_days=1)
+    runs.run_next(store, cfg, table(BASE, seen), NOW)
+    before = {t: dict(m["parts"]) for t, m in store.state()["tables"].items()}
+    assert runs.run_next(store, cfg, table(BASE, seen + again), NOW) is not None
+    after = {t: m["parts"] for t, m in store.state()["tables"].items()}
+    assert after["id_changes"] == before["id_changes"]
+    assert after["id_mapping_scd"] == before["id_mapping_scd"]
+    assert after["identities"] != before["identities"]
+
+
+def test_catch_up_does_not_jump_past_what_others_consumed(spark, table):
+    store = new_store(spark)
+    cfg = IdentityConfig(start_date=datetime(2024, 6, 1), backfill_limit_days=5)
+    events = table(BASE, [page("e1", "web", "d", None, "15 10:00", "A"), page("e2", "web", "d", None, "25 10:00", "A")])
+    txn = store.begin()
+    for model in runs.TABLES:
+        last = datetime(2024, 6, 2) if model == "id_mapping" else datetime(2024, 6, 20)
+        txn.state["manifest"][model] = {"first": "2024-06-01T00:00:00", "last": last.isoformat()}
+    txn.commit()
+    plan = runs.plan_run(store, cfg, events, NOW)
+    assert (plan.lower, plan.upper) == (at("15 10:00"), at("15 10:00"))
+    # once the one behind has nothing left up to the others, all go on together
+    txn = store.begin()
+    txn.state["manifest"]["id_mapping"]["last"] = at("15 10:00").isoformat()
+    txn.commit()
+    plan = runs.plan_run(store, cfg, events, NOW)
+    assert plan.upper == at("25 10:00") and plan.lower >= datetime(2024, 6, 20)
+
+
+def test_staging_is_removed(spark, table):
+    store = new_store(spark)
+    cfg = IdentityConfig(start_date=at("01 00:00"), backfill_limit_days=1)
+    events = table(BASE, [page("e1", "web", "da", None, "01 10:00", "A")])
+    runs.run_next(store, cfg, events, NOW)
+    assert store._folders("staging") == []
+    with pytest.raises(Exception, match="no_such_column"):
+        runs.process(store, cfg, events.selectExpr("*", "no_such_column"), NOW)
+    assert store._folders("staging") == []
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(), "x")
