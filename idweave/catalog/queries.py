@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from idweave.catalog import feed
 from idweave.catalog.feed import BATCHES, CONFIG, WHOLE
 from idweave.catalog.oracle import compose, folded, key
+from idweave import schemas
 from idweave.config import IdentityConfig
 from idweave.functions.columns import hash_identifier, ntz_lit, surrogate_key
 from idweave.operators import changes, extract, history, lookup, mapping, profile, quality, upsert
 from idweave.plans import manifest as mf
 from idweave.plans import runs
 from idweave.plans.scratch import scratch_dir
-from idweave.plans.store import TableStore, buckets_for
+from idweave.plans.store import TableStore, buckets_for, write_full
 from idweave.sources import events as src
 from idweave.streaming.stream import stream_identities
 
@@ -459,6 +460,50 @@ def run_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mf.run_limits(mf.manifest_status(_manifest(spark, sf_dir), MODELS), CONFIG)
 
 
+LIMIT_STATES = {"first": [], "replay": ["id_changes", "id_mapping"], "catch_up": [*MODELS], "next": ["identities"]}
+
+
+def limits_sql(state: str, known: list[str]) -> str:
+    names = ", ".join(f"'{m}'" for m in known)
+    start, step = "timestamp '2024-01-01'", "interval 10 day"
+    low, high = {
+        "first": (start, f"{start} + {step}"),  # no rows
+        "replay": (start, f"least({start} + {step}, max(last_success))"),
+        "catch_up": ("min(last_success)", f"least(max(last_success), min(last_success) + {step})"),
+        "next": ("min(last_success)", f"min(last_success) + {step}"),
+    }[state]
+    inclusive = state in ("first", "replay")
+    if not known:
+        return f"select '{state}' as state, {low} as lower_limit, {high} as upper_limit, true as lower_inclusive"
+    return f"""select '{state}' as state, {low} as lower_limit, {high} as upper_limit, {inclusive} as lower_inclusive
+        from (select * from ({MANIFEST_SQL}) where model in ({names}))"""
+
+
+@register("run_limits_states", " union all ".join(limits_sql(s, k) for s, k in LIMIT_STATES.items()))
+def run_limits_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each state the models can be in."""
+    out = None
+    for state, known in LIMIT_STATES.items():
+        manifest = _manifest(spark, sf_dir).where(F.col("model").isin(known) if known else F.lit(False))
+        wanted = known if state == "next" else MODELS
+        row = mf.run_limits(mf.manifest_status(manifest, wanted), CONFIG)
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register(
+    "new_events_gate",
+    f"""select model, (select max(load_tstamp) from page_copies) > last_success as is_due
+        from ({MANIFEST_SQL})""",
+)
+def new_events_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    newest = feed.page_events(spark, sf_dir).agg(F.max("load_tstamp").alias("newest"))
+    # one row per model comes to the driver, as in a run
+    rows = _manifest(spark, sf_dir).join(newest).collect()
+    due = [(r["model"], mf.has_new_events(r["last_success"], r["newest"])) for r in rows]
+    return spark.createDataFrame(due, "model string, is_due boolean")
+
+
 @register(
     "manifest_commit",
     f"""
@@ -704,6 +749,15 @@ def id_changes_this_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("id_changes_plain", later_batches(lambda n: f"select {LOG} from chg_plain_{n}"))
+@in_later_batches
+def id_changes_plain(s: Steps, n: int) -> DataFrame:
+    """Without ``suppress_reemission``: edges that a payload lists again are logged again."""
+    return changes.id_changes_this_run(
+        s.edges(n), s.this_run(n), s.affected(n), s.seen(n), s.identities(n), s.run(n)
+    ).select(*cols(LOG))
+
+
 @register("id_changes", f"select {LOG} from log_3")
 def id_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold(spark, sf_dir, "id_changes").read("id_changes")
@@ -953,8 +1007,7 @@ def cyclic_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming ----------------------------------------------------------------------
 
 
-@register("stream_identities", f"select {LOOKUP} from imap_3")
-def stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_store(spark: SparkSession, sf_dir: str) -> TableStore:
     """Three deliveries of files, each consumed before the next one lands."""
     root = scratch_dir(spark, "stream")
     raw = feed.raw_events(spark, sf_dir)
@@ -971,7 +1024,48 @@ def stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
             run_tstamp=run.run_tstamp,
         )
         query.awaitTermination()
-    return store.read("identifier_mapping")
+    return store
+
+
+@register("stream_identities", f"select {LOOKUP} from imap_3")
+def stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_store(spark, sf_dir).read("identifier_mapping")
+
+
+STREAMED = {
+    "id_mapping": (MAP, "map_3"),
+    "profiles": (IDY, "idy_3"),
+    "id_changes": (LOG, "log_3"),
+    "id_mapping_scd": (SCD, "scd_3"),
+}
+for _table, (_columns, _rows) in STREAMED.items():
+    register(f"stream_{_table}", f"select {_columns} from {_rows}")(
+        lambda spark, sf_dir, t="identities" if _table == "profiles" else _table, c=_columns: (
+            stream_store(spark, sf_dir).read(t).select(*cols(c))
+        )
+    )
+
+
+@register("stream_merge_events", MERGE_EVENTS_SQL)
+def stream_merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat_merge_events(stream_store(spark, sf_dir).read("merge_events"))
+
+
+@register("export_by_day", f"select {LOG}, cast(effective_at as date) as effective_at_date from log_3")
+def export_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as it is published: a folder per day, read back with the day column."""
+    path = f"{scratch_dir(spark, 'export')}/id_changes"
+    write_full(fold(spark, sf_dir, "id_changes").read("id_changes"), path, "id_changes")
+    return spark.read.parquet(path).select(*cols(LOG), "effective_at_date")
+
+
+@register("typed_csv", f"select {MAP} from idm_0")
+def typed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping of the whole stream written as CSV and read with its schema."""
+    path = scratch_dir(spark, "csv")
+    exact = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    Steps(spark, sf_dir).this_run(0).write.option("timestampNTZFormat", exact).csv(path, header=True)
+    return src.read_typed_csv(spark, path, schemas.ID_MAPPING).select(*cols(MAP))
 
 
 def hashed_config() -> IdentityConfig:
