@@ -19,7 +19,8 @@ Steps:
 3. What is left are links between cells of different components. The token-group matrix
    has a row (hash, cell) for each hash in the union of a cell's prefixes that is also in
    a cell of another component. Two cells are opened to each other only if they have
-   enough of these hashes in common; there a query's overlap with the union of the other
+   enough of these hashes in common, and only with the sets of which four fifths of all
+   hashes are in other cells; there a query's overlap with the union of the other
    cell bounds its overlap with any member, and the exact overlaps of those that pass
    decide.
 
@@ -352,6 +353,19 @@ def similar_documents(
         "active",
         unsettled.groupBy("sid", "cell", "n").agg(F.collect_list("h").alias("prefix")).where(F.size("prefix") >= need),
     )
+    # a set with a partner in another cell has four fifths of its hashes in other cells; the
+    # second pass counts among those that the first one left
+    for step in (1, 2):
+        every = active.select("sid", "cell").join(sets.select("sid", "n", "hashes"), "sid")
+        every = every.select("sid", "cell", "n", F.explode("hashes").alias("h"))
+        spread = every.groupBy("h").agg(F.min("cell").alias("near"), F.max("cell").alias("far")).where("near <> far")
+        partly = (
+            every.join(spread.select("h"), "h")
+            .groupBy("sid", "n")
+            .agg(F.count("*").alias("elsewhere"))
+            .where(f"elsewhere >= {least}")
+        )
+        active = staged(f"active-{step}", active.join(partly.select("sid"), "sid", "left_semi"))
     matrix = staged("matrix", active.select("cell", F.explode("prefix").alias("h")).distinct())
     cells = staged(
         "cells",
