@@ -136,84 +136,35 @@ def active_at(facts: DataFrame, scd: DataFrame, at: datetime) -> DataFrame:
     return facts.join(valid, "identity_id")
 
 
-def active_as_of(
-    facts: DataFrame, scd: DataFrame, ts_col: str, facts_per_group: int = 1_000_000
-) -> DataFrame:
+def active_as_of(facts: DataFrame, scd: DataFrame, ts_col: str) -> DataFrame:
     """Active id of every fact as of the fact's own time; facts before the first row drop out.
 
-    A plain range join would compare every fact with every history row of its id.
-    Here both sides are cut by day: a fact finds its row among the history rows of
-    its own day, or takes the state the day started with, worked out once per
-    (id, day). Days of an id with more than ``facts_per_group`` facts are cut
-    further by a hash of the fact, with that day's history rows repeated per cut.
+    The history becomes one row per id and day with changes: the day's rows in order, and
+    the span from the day's first change to that of the id's next such day. A fact meets
+    the one day whose span holds its time and picks its row there. So the facts are
+    shuffled once, by id, a busy id can be split, and a fact is compared with the days of
+    its id and not with all its rows.
     """
-    day = F.to_date(ts_col)
     history = scd.where(
         F.col("superseded_at").isNull() | (F.col("superseded_at") > F.col("effective_at"))
-    ).select(
-        "identity_id",
-        F.to_date("effective_at").alias("day"),
-        F.col("effective_at").alias("at"),
-        F.struct("active_identity_id", "superseded_at").alias("state"),
-    )
-
-    # one row per (id, day) with facts: number of cuts, and the state the day starts with
-    fact_days = facts.groupBy("identity_id", day.alias("day")).agg(F.count("*").alias("n"))
-    cuts = F.ceil(F.col("n") / facts_per_group).cast("int")
-    day_end = history.groupBy("identity_id", "day").agg(
-        F.max(F.struct("at", "state"))["state"].alias("state")
-    )
-    marks = day_end.unionByName(
-        fact_days.select("identity_id", "day", cuts.alias("cuts")), allowMissingColumns=True
-    )
-    earlier_days = (
-        Window.partitionBy("identity_id")
-        .orderBy(F.unix_date("day"))
-        .rangeBetween(Window.unboundedPreceding, -1)
-    )
-    days = (
-        marks.withColumn("carry", F.last("state", ignorenulls=True).over(earlier_days))
-        .where(F.col("cuts").isNotNull())
-        .select("identity_id", "day", "cuts", "carry")
-    )
-    days = own_shuffle(days, "identity_id")
-
-    asked = facts.select(
-        "identity_id",
-        day.alias("day"),
-        F.col(ts_col).alias("at"),
-        F.struct(*facts.columns).alias("fact"),
-    ).join(days, ["identity_id", "day"])
-    rows = asked.select(
-        "identity_id",
-        "day",
-        F.pmod(F.xxhash64("fact"), "cuts").cast("int").alias("cut"),
-        "at",
-        F.lit(1).alias("is_fact"),
-        "fact",
-        "carry",
-    ).unionByName(
-        history.join(days.drop("carry"), ["identity_id", "day"]).select(
-            "identity_id",
-            "day",
-            F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"),
-            "at",
-            F.lit(0).alias("is_fact"),
-            "state",
-        ),
-        allowMissingColumns=True,
-    )
-    # the join above left a day in one place; spread its cuts
-    rows = rows.repartition("identity_id", "day", "cut")
-    so_far = (
-        Window.partitionBy("identity_id", "day", "cut")
-        .orderBy("at", "is_fact")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    found = rows.withColumn(
-        "found", F.coalesce(F.last("state", ignorenulls=True).over(so_far), "carry")
-    ).where("is_fact = 1")
-    still_valid = F.col("found.superseded_at").isNull() | (F.col("found.superseded_at") > F.col("at"))
-    return found.where(F.col("found").isNotNull() & still_valid).select(
-        "fact.*", "found.active_identity_id"
     )
+    days = history.groupBy("identity_id", F.to_date("effective_at").alias("day")).agg(
+        F.min("effective_at").alias("first_change"),
+        F.array_sort(
+            F.collect_list(F.struct(F.col("effective_at").alias("at"), "active_identity_id", "superseded_at"))
+        ).alias("changes"),
+    )
+    next_day = F.lead("first_change").over(Window.partitionBy("identity_id").orderBy("day"))
+    days = own_shuffle(days.withColumn("until", next_day).drop("day"), "identity_id")
+    at = facts[ts_col]
+    spans = (
+        (facts["identity_id"] == days["identity_id"])
+        & (at >= days["first_change"])
+        & (days["until"].isNull() | (at < days["until"]))
+    )
+    found = facts.join(days, spans).select(
+        *[facts[c] for c in facts.columns],
+        F.try_element_at(F.filter(days["changes"], lambda r: r["at"] <= at), F.lit(-1)).alias("found"),
+    )
+    valid = F.col("found.superseded_at").isNull() | (F.col("found.superseded_at") > F.col(ts_col))
+    return found.where(valid).select(*facts.columns, "found.active_identity_id")

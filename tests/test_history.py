@@ -176,9 +176,8 @@ def test_point_in_time(table, rows):
         ("just before", "A"),
         ("much later", "B"),
     ]
-    for size in (1_000_000, 1):  # size 1 cuts every day into one group per fact
-        got = history.active_as_of(facts, scd, "ts", facts_per_group=size)
-        assert rows(got, "fact", "active_identity_id") == want
+    got = history.active_as_of(facts, scd, "ts")
+    assert rows(got, "fact", "active_identity_id") == want
     fixed = history.active_at(facts, scd, at("03 00:00"))
     assert {r.active_identity_id for r in fixed.collect()} == {"A"}
 
@@ -204,7 +203,7 @@ def test_point_in_time_equals_the_range_join(spark, table, rows):
         for _, j, p, a, b, _, _ in spans
         if i == j and a <= t and (b is None or t < b)
     )
-    got = history.active_as_of(facts, scd, "ts", facts_per_group=3)
+    got = history.active_as_of(facts, scd, "ts")
     assert rows(got, "fact", "active_identity_id") == want
 
 

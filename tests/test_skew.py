@@ -187,9 +187,13 @@ def test_hot_identity_facts_are_cut(spark, tiny_thresholds):
         ),
         "scd",
     )
-    got = history.active_as_of(facts, scd, "ts", facts_per_group=1000)
+    got = history.active_as_of(facts, scd, "ts")
     wrong = got.where(
         "active_identity_id <> concat('P', 24 + cast(floor((fact % 80000) / 3600) as int))"
     )
     assert got.count() == N * 9 // 10
     assert wrong.count() == 0
+    done = got.groupBy("active_identity_id").count()
+    done.collect()
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") <= 4 and "skew=true" in plan
