@@ -22,8 +22,10 @@ doc_id and text are not read.
 
 from __future__ import annotations
 
+import sys
 import zlib
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +39,9 @@ from idweave.plans.scratch import scratch_dir
 
 WINDOW = 4096
 END_TOKEN = 2
-#: Words a task keeps the ids of; beyond that it starts anew.
-CACHE_WORDS = 250_000
+#: Words a worker keeps the ids of; beyond that it starts anew.
+CACHE_WORDS = 300_000
+SLICE_BYTES = 1 << 19
 
 
 class WordIds:
@@ -57,11 +60,11 @@ class WordIds:
         self.closes = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.closes[i] = token.endswith("</w>")
-        self.known: dict[int, np.ndarray] = {}
+        self.known: dict[int, bytes] = {}
 
-    def _encode(self, new: list[str]) -> list[np.ndarray]:
+    def _encode(self, new: list[str]) -> list[bytes]:
         """Ids of each word. Words of letters only are encoded in one text, cut at word ends."""
-        out: list[np.ndarray | None] = [None] * len(new)
+        out: list[bytes | None] = [None] * len(new)
         plain = [i for i, w in enumerate(new) if w.isalpha() and w.lower().isalpha()]
         for low in range(0, len(plain), 4096):
             part = plain[low : low + 4096]
@@ -70,18 +73,18 @@ class WordIds:
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) == len(part):
                 for i, a, b in zip(part, [0, *ends[:-1]], ends, strict=True):
-                    out[i] = ids[a:b]
+                    out[i] = ids[a:b].tobytes()
         rest = [i for i, x in enumerate(out) if x is None]
         for low in range(0, len(rest), 4096):
             part = rest[low : low + 4096]
             got = self.tokenizer.encode_batch_fast([new[i] for i in part], add_special_tokens=False)
             for i, e in zip(part, got, strict=True):
-                out[i] = np.array(e.ids, np.uint32)
+                out[i] = np.array(e.ids, np.uint32).tobytes()
         return out
 
     def texts(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text; null is empty."""
-        for i, j in words.slices(texts):
+        for i, j in words.slices(texts, SLICE_BYTES):
             data, at = words.as_bytes(texts.slice(i, j - i))
             starts, ends, first = words.split(data, at)
             blob = data.tobytes()
@@ -99,8 +102,8 @@ class WordIds:
             for k, ids in zip(missing, self._encode(new), strict=True):
                 self.known[keys[k]] = ids
             ids = [self.known[k] for k in keys]
-            length = np.array([len(x) for x in ids], np.int64)
-            flat = np.concatenate([np.zeros(0, np.uint32), *ids])
+            length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            flat = np.frombuffer(b"".join(ids), np.uint32)
             begin = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
             n = length[which]
             to = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
@@ -109,6 +112,14 @@ class WordIds:
                 yield stream[to[first[k]] : to[first[k + 1]]]
 
 
+def _of_this_worker(path: str) -> WordIds:
+    """The worker's own :class:`WordIds`, kept from task to task."""
+    kept = sys.modules.setdefault("_task_word_ids", ModuleType("_task_word_ids"))
+    if getattr(kept, "path", None) != path:
+        kept.path, kept.words = path, WordIds(path)
+    return kept.words
+
+
 def _case_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Tells apart words that differ in the case of A-Z: a hash of where capitals are."""
     capital = ((data >= 65) & (data <= 90)).astype(np.uint64)
@@ -128,7 +139,7 @@ def _cut(path: str, window: int, end_token: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        tokens = WordIds(path)
+        tokens = _of_this_worker(path)
         seen = np.zeros(window + 1, np.int64)
         for batch in batches:
             ids_in = batch.column("doc_id").to_pylist()
