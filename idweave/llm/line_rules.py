@@ -182,7 +182,12 @@ def judge(
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """The kept documents with the frequent lines cut from their text; n_chars follows."""
-    kept = judge(docs.withColumn("__row", F.struct(*docs.columns))).where("kept")
+    judged = judge(docs.withColumn("__row", F.struct(*docs.columns))).select("__row", "clean_text", "kept")
+    # written before the filter, which the optimiser would move below the features and then
+    # evaluate them again for every word
+    folder = scratch_dir(docs.sparkSession, "judged")
+    judged.write.parquet(folder)
+    kept = docs.sparkSession.read.schema(judged.schema).parquet(folder).where("kept")
     new = {"text": F.col("clean_text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length("clean_text").cast(docs.schema["n_chars"].dataType)
