@@ -4,15 +4,18 @@ Built-in functions only. A word is a run of characters other than 0x20 and 0x09-
 
 Base rules, per document: too few words, or too many words in repeated 3-word windows.
 Line rule: lines are normalised (A-Z folded, white space runs to one space, trimmed) and
-hashed; a line that more than ``max(least_docs, percent of the host's documents)``
-distinct documents of a host hold is removed there. Exact copies of a text count as one
-document, so a clean page is not lost for having been copied. A document that would
-lose more than ``most_lost`` percent of its words is depleted and rejected.
-
-The frequent lines of a host are few by construction (each holds a fixed share of the
-host's documents), so they are one row per host, an array of hashes, and the documents
-need a single join with that table: no second shuffle, and a hot host is a skewed join
-partition that Spark can split.
+hashed; a line that more than ``enough_docs`` distinct documents of a host hold is
+removed there, however large the host. With ``least_docs`` below that, a line of a small
+host also goes if more than ``least_docs`` documents and more than ``percent`` percent of
+the host's hold it. Exact copies of a text count as one document, so a clean page is not
+lost for having been copied. A document that would lose more than ``most_lost`` percent
+of its words is depleted and rejected.
+
+The frequent lines are (host, line) rows, as many as there are. The lines of the
+documents are joined with them on both columns, which leaves for each text of a host the
+frequent lines that it holds itself; the documents are then joined with that by host and
+hash of the text. Both are many-to-one joins that Spark can split for a hot line, host
+or text.
 
 Defined cases: null text has no words and fails the base rules; null host is a host of
 its own; lines without a word are never counted or removed; a null or repeated doc_id
@@ -33,6 +36,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 LEAST_DOCS, PERCENT, MOST_LOST = 10, 10, 50
+ENOUGH_DOCS = 10
 LEAST_WORDS, MOST_REPEATED = 50, 50
 
 
@@ -48,7 +52,9 @@ def normalised_line(line: Column) -> Column:
 
 def lines_of(text: Column) -> Column:
     """Distinct normalised lines with a word, hashed."""
-    lines = F.transform(F.split(text, "\n"), normalised_line)
+    # folded as a whole, which is one call per text; line ends stay
+    folded = F.regexp_replace(F.translate(text, UPPER, LOWER), "[\\x20\\x09\\x0B-\\x0D]+", " ")
+    lines = F.transform(F.split(folded, "\n"), lambda x: F.trim(x))
     return F.transform(F.array_distinct(F.filter(lines, lambda x: x != "")), lambda x: F.xxhash64(x))
 
 
@@ -120,25 +126,52 @@ def with_base_rules(docs: DataFrame) -> DataFrame:
     ).drop("__text", "__words", "__windows", "__lines")
 
 
-def frequent_lines(
-    docs: DataFrame, host: str = "source", least_docs: int = LEAST_DOCS, percent: int = PERCENT
-) -> DataFrame:
-    """(host, frequent): per host the hashes of lines that too many of its documents hold."""
-    texts = docs.select(
+def _lines_by_text(docs: DataFrame, host: str) -> DataFrame:
+    """(host, copy, lines): a row per document, with the hash of its text and those of its lines."""
+    return docs.select(
         F.col(host).alias("host"),
         F.xxhash64("text").alias("copy"),
         lines_of(F.coalesce(F.col("text"), F.lit(""))).alias("lines"),
     )
-    # the whole document is counted as one more "line", so both counts share a shuffle
-    held = texts.select("host", "copy", F.explode(F.concat(F.array(F.lit(None).cast("long")), "lines")).alias("line"))
-    counted = held.distinct().groupBy("host", "line").agg(F.count("*").alias("docs"))
-    total = counted.where("line is null").select("host", F.col("docs").alias("all_docs"))
-    lines = counted.where("line is not null").where(F.col("docs") > least_docs)
+
+
+def frequent_lines(
+    docs: DataFrame,
+    host: str = "source",
+    least_docs: int = LEAST_DOCS,
+    percent: int = PERCENT,
+    enough_docs: int = ENOUGH_DOCS,
+) -> DataFrame:
+    """(host, line): the hashes of lines that too many of a host's documents hold."""
+    texts = _lines_by_text(docs, host)
+    # outer, as the filter on its size that a plain explode gets would split the texts again
+    held = texts.select("host", "copy", F.explode_outer("lines").alias("line")).distinct()
+    lines = held.where("line is not null").groupBy("host", "line").agg(F.count("*").alias("docs"))
+    lines = lines.where(F.col("docs") > min(least_docs, enough_docs))
+    total = texts.select("host", "copy").distinct().groupBy("host").agg(F.count("*").alias("all_docs"))
+    share = (F.col("docs") > least_docs) & (F.col("docs") * 100 > F.col("all_docs") * percent)
     return (
         lines.join(total, lines["host"].eqNullSafe(total["host"]))
-        .where(F.col("docs") * 100 > F.col("all_docs") * percent)
-        .groupBy(lines["host"].alias("host"))
-        .agg(F.collect_list("line").alias("frequent"))
+        .where((F.col("docs") > enough_docs) | share)
+        .select(lines["host"].alias("host"), "line")
+    )
+
+
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written, so that its size is known when it is joined."""
+    folder = scratch_dir(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _frequent_by_text(docs: DataFrame, frequent: DataFrame, host: str) -> DataFrame:
+    """(__host, __copy, frequent): per distinct text of a host the frequent lines in it, if any."""
+    held = _lines_by_text(docs, host).select("host", "copy", F.explode_outer("lines").alias("line"))
+    often = frequent.select(F.col("host").alias("__host"), F.col("line").alias("__line"))
+    return (
+        held.join(often, held["host"].eqNullSafe(F.col("__host")) & (held["line"] == F.col("__line")))
+        .groupBy(held["host"].alias("__host"), F.col("copy").alias("__copy"))
+        .agg(F.collect_set("line").alias("frequent"))
     )
 
 
@@ -148,15 +181,14 @@ def judge(
     least_docs: int = LEAST_DOCS,
     percent: int = PERCENT,
     most_lost: int = MOST_LOST,
+    enough_docs: int = ENOUGH_DOCS,
 ) -> DataFrame:
     """``docs`` with the base features, base_failed, removed_words, clean_text and kept."""
-    frequent = frequent_lines(docs, host, least_docs, percent).withColumnRenamed("host", "__host")
-    # written, so that its size is known when the documents are joined with it
-    folder = scratch_dir(docs.sparkSession, "frequent-lines")
-    frequent.write.parquet(folder)
-    frequent = docs.sparkSession.read.schema(frequent.schema).parquet(folder)
+    frequent = _staged(frequent_lines(docs, host, least_docs, percent, enough_docs), "frequent-lines")
+    found = _staged(_frequent_by_text(docs, frequent, host), "frequent-by-text")
     added = ("removed_words", "clean_text", "kept")
-    joined = docs.drop(*added).join(frequent, docs[host].eqNullSafe(F.col("__host")), "left").drop("__host")
+    same = docs[host].eqNullSafe(F.col("__host")) & (F.xxhash64(docs["text"]) == F.col("__copy"))
+    joined = docs.drop(*added).join(found, same, "left").drop("__host", "__copy")
     based = with_base_rules(joined)
     cut = F.coalesce(F.col("frequent"), F.array().cast("array<bigint>"))
     is_cut = lambda line: F.array_contains(cut, F.xxhash64(normalised_line(line))) & (normalised_line(line) != "")

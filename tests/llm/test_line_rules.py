@@ -132,3 +132,23 @@ def test_no_python_in_the_plan(spark):
 def test_no_words(spark, text):
     (r,) = lr.judge(spark.createDataFrame([(1, text, None, None, None)], SCHEMA)).collect()
     assert (r["n_words"], r["word_chars"], r["n_repeat_words"], r["kept"]) == (0, 0, 0, False)
+
+
+def test_hot_host_loses_lines_far_below_a_tenth(spark):
+    """The limit doesn't grow with the host: 12 of 400 texts are 3 percent, 10 texts are not enough."""
+    body = [" ".join(f"w{d}x{i}" for i in range(60)) for d in range(400)]
+    lead = lambda d: "Subscribe to the letter\n" if d < 12 else "ten texts only\n" if d < 22 else ""
+    docs = [(d, lead(d) + body[d], "en", None if d % 2 and d > 30 else "hot", 1) for d in range(400)]
+    docs += [(1000 + d, "subscribe TO the letter\n" + body[d], "en", "small", 1) for d in range(3)]
+    rows = {r["doc_id"]: r for r in lr.judge(spark.createDataFrame(docs, SCHEMA)).collect()}
+    assert len(rows) == len(docs)
+    assert {i for i, r in rows.items() if r["removed_words"]} == set(range(12))
+    assert all(rows[d]["clean_text"] == body[d] and rows[d]["removed_words"] == 4 for d in range(12))
+    share = lr.judge(spark.createDataFrame(docs, SCHEMA), least_docs=2, percent=10).where("removed_words > 0")
+    assert {r["doc_id"] for r in share.collect()} == {*range(12), 1000, 1001, 1002}
+
+
+def test_frequent_lines_are_rows_of_host_and_line(spark):
+    docs = [(d, "\n".join(f"line {k}" for k in range(50)) + f"\nown {d}", "en", "h", 1) for d in range(20)]
+    got = lr.frequent_lines(spark.createDataFrame(docs, SCHEMA))
+    assert got.columns == ["host", "line"] and got.count() == got.distinct().count() == 50
