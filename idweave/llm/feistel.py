@@ -14,6 +14,12 @@ digits are computed anew. So pseudonyms are valid values of the same format and
 equal values have equal pseudonyms in every document and layout, different values have
 different ones, and the owner of the key can invert them.
 
+A run of digit groups is cut at group borders only. Of the stretches that pass, an
+unbroken one is taken first, then one in a card's usual layout, then the issuer's usual
+length, then the shortest; where a match fails, later kinds are tried at its place and the
+scan goes on after its first group. Ten digits that are unbroken or only spaced, without a
+country code, count as a telephone number if area and exchange begin with 2 to 9.
+
 Text is scanned by one pattern, only where it has a digit or an @. Defined cases: null
 text stays null; empty text and text without values are unchanged; very long texts are
 read whole; repeated rows give equal results; other columns pass through; columns named
@@ -43,9 +49,15 @@ _PATTERN = re.compile(
     r"|(?P<ip>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?\w))"
     r"|(?P<date>(?<![\w/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![\w/-]))"
     r"|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"
-    r"|(?P<phone>(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?[0-9]{3}|[0-9]{3}[.-][0-9]{3})[ .-][0-9]{4}(?!\w))"
-    r"|(?P<card>(?<![\w-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-]))"
+    r"|(?P<phone>(?<![\w+])(?:\+[0-9]{1,3}[ .-]?|1[ .-])?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}(?!\w))"
+    r"|(?P<card>(?<!\w)(?<![^\W\d]-)[0-9](?:[ -]?[0-9]){12,18}(?!\w))"
 )
+#: The pattern of each kind by itself, in the order of trial.
+_SINGLE = [(k, re.compile(x)) for k, x in ((x.split(">", 1)[0][4:], x) for x in re.split(r"\|(?=\(\?P<)", _PATTERN.pattern))]
+KIND_ORDER = {k: n for n, (k, _) in enumerate(_SINGLE)}
+_GROUP = re.compile(r"[0-9A-Za-z]+")
+_CARD_RUN = re.compile(r"[0-9]+(?:[ -][0-9]+)*")
+_CARD_LAYOUTS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3)}
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -98,6 +110,45 @@ def luhn_digit(digits: str) -> int:
     return -total % 10
 
 
+def _usual_length(digits: str) -> int:
+    """Of the issuer's cards, by their first digits."""
+    return 15 if digits[:2] in ("34", "37") else 14 if digits[:2] in ("30", "36", "38", "39") else 16
+
+
+def _cards_from(groups: list[str], first: int) -> list[tuple[tuple, int]]:
+    """(rank, last group) of the stretches of digit groups from ``first`` that pass Luhn; best first."""
+    out, digits = [], ""
+    for last in range(first, len(groups)):
+        digits += groups[last]
+        if len(digits) > 19:
+            break
+        if len(digits) >= 13 and luhn_digit(digits[:-1]) == int(digits[-1]):
+            layout = tuple(map(len, groups[first : last + 1]))
+            kind = 0 if first == last else 1 if layout in _CARD_LAYOUTS else 2
+            out.append(((kind, len(digits) != _usual_length(digits), len(digits)), last))
+    return sorted(out)
+
+
+def card_end(text: str, start: int) -> int | None:
+    """Where the card that begins at ``start`` ends, or None if there is none."""
+    run = _CARD_RUN.match(text, start, start + 80)  # twice the longest card
+    if not run:
+        return None
+    spans = [m.span() for m in _GROUP.finditer(text, start, run.end())]
+    if text[run.end() : run.end() + 1].isalnum() or text[run.end() : run.end() + 1] == "_":
+        spans.pop()  # the last group goes on as a word
+    groups = [text[a:b] for a, b in spans]
+    found = _cards_from(groups, 0)
+    if not found:
+        return None
+    rank, last = found[0]
+    # digits before a card can pass with a part of it by chance
+    for later in range(1, last + 1 if rank[0] == 2 else 0):
+        if any(r[0] < 2 for r, _ in _cards_from(groups, later)):
+            return None
+    return spans[last][1]
+
+
 def iban_check(country: str, rest: str) -> int:
     moved = "".join(str(int(c, 36)) for c in rest + country + "00")
     return 98 - int(moved) % 97
@@ -114,6 +165,11 @@ def _ssn_valid(n: int) -> bool:
     return 0 < area < 900 and area != 666 and group > 0 and serial > 0
 
 
+def _phone_usual(n: int) -> bool:
+    """Whether area and exchange begin with 2 to 9."""
+    return n // 10**9 > 1 and n // 10**4 % 1000 > 199
+
+
 def _mixed_radix(chars: str) -> tuple[int, int]:
     """The value and the size of strings with the same letter and digit places."""
     value, size = 0, 1
@@ -174,7 +230,12 @@ class Pseudonyms:
 
     def phone(self, text: str) -> str | None:
         digits = re.sub(r"\D", "", text)
-        new = f"{self._permute('phone', int(digits[-10:]), 10**10):010d}"
+        number = int(digits[-10:])
+        usual = _phone_usual(number)
+        if not usual and not re.search(r"[^0-9 ]", text):
+            return None
+        # usual numbers go to usual ones, so that each layout is found again and equal numbers stay equal
+        new = f"{self._permute('phone', number, 10**10, lambda x: _phone_usual(x) == usual):010d}"
         return _refill(text, digits[:-10] + new)
 
     def ip(self, text: str) -> str | None:
@@ -213,15 +274,39 @@ class Pseudonyms:
     def replace(self, text: str) -> tuple[str, list[tuple[str, str]]]:
         """The text with its values replaced, and (kind, pseudonym) of each in order."""
         found: list[tuple[str, str]] = []
-
-        def one(m: re.Match) -> str:
-            new = getattr(self, m.lastgroup)(m[0])
-            if new is None:
-                return m[0]
-            found.append((m.lastgroup, new))
-            return new
-
-        return _PATTERN.sub(one, text), found
+        out, done, at = [], 0, 0
+        while m := _PATTERN.search(text, at):
+            hit = self._at(text, m.start(), m.lastgroup)
+            if hit is None:
+                group = _GROUP.match(text, m.start())
+                at = group.end() if group else m.start() + 1
+                continue
+            kind, end, new = hit
+            out += (text[done : m.start()], new)
+            found.append((kind, new))
+            done = at = end
+        return "".join(out) + text[done:], found
+
+    def _at(self, text: str, start: int, kind: str) -> tuple[str, int, str] | None:
+        """(kind, end, pseudonym) of the first kind from ``kind`` on with a valid value at ``start``."""
+        for k, pattern in _SINGLE[KIND_ORDER[kind] :]:
+            m = pattern.match(text, start)
+            for end in self._ends(k, text, m) if m else ():
+                new = getattr(self, k)(text[start:end])
+                if new is not None:
+                    return k, end, new
+        return None
+
+    @staticmethod
+    def _ends(kind: str, text: str, m: re.Match) -> list[int]:
+        """Where the value of a match may end: for cards and IBANs at its group borders."""
+        if kind == "card":
+            end = card_end(text, m.start())
+            return [] if end is None else [end]
+        if kind != "iban":
+            return [m.end()]
+        ends = [g.end() for g in _GROUP.finditer(text, m.start(), m.end())]
+        return [e for e in ends if len(text[m.start() : e].replace(" ", "")) >= 15]
 
 
 def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
