@@ -1,7 +1,9 @@
 """Licence recognition by sentences and ordered rules.
 
-A text is cut into sentences at line ends and after ``. ! ? ; :`` before white space.
-Sentences are normalised: A-Z folded, every run of other characters than a-z and 0-9 a
+A paragraph ends at a line that holds nothing but comment marks; marks that lead a line
+are dropped. Inside it the text is cut after ``. ! ? ; :`` before white space or a line
+end. A sentence may be wrapped over lines; a line, or several in a row, that make a known
+sentence count without a full stop too, the longest one first. Sentences are normalised: A-Z folded, every run of other characters than a-z and 0-9 a
 space. A normalised sentence that is in the table is replaced by its identifier, all
 others are dropped, and what is left is the document's identifier sequence in order of
 reading. The rules are then tried in their order: where the sequence holds a rule's
@@ -40,6 +42,8 @@ SENTENCES: dict[str, str] = {
     "this work is licensed under the gnu general public license version 3": "gpl-3-notice",
     "this program is free software": "gpl-free",
     "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl-terms",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "gpl-2-terms",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl-3-terms",
     "either version 2 of the license or at your option any later version": "gpl-2-later",
     "either version 3 of the license or at your option any later version": "gpl-3-later",
     "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd-grant",
@@ -47,6 +51,7 @@ SENTENCES: dict[str, str] = {
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bsd-binary",
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-names",
     "this software is provided by the copyright holders and contributors as is and any express or implied warranties are disclaimed": "bsd-as-is",
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "bsd-as-is",
     "licensed under cc by nc 4 0": "cc-by-nc-4-notice",
     "licensed under cc by 4 0": "cc-by-4-notice",
     "licensed under cc by sa 4 0": "cc-by-sa-4-notice",
@@ -64,6 +69,8 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("MIT", ("mit-notice", "mit-grant", "mit-notice-kept", "mit-as-is")),
     ("MIT", ("mit-grant", "mit-notice-kept", "mit-as-is")),
     ("MIT", ("mit-notice",)),
+    ("GPL-3.0-or-later", ("gpl-free", "gpl-3-terms")),
+    ("GPL-2.0-or-later", ("gpl-free", "gpl-2-terms")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-terms", "gpl-3-later")),
     ("GPL-2.0-or-later", ("gpl-free", "gpl-terms", "gpl-2-later")),
     ("GPL-3.0", ("gpl-3-notice",)),
@@ -79,15 +86,23 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
 CUES = ("license", "licensed", "rights", "permission", "software", "redistribution", "redistributions")
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_SENTENCE_END = "([.!?;:])[\\x20\\x09\\x0B-\\x0D]+"
+_SENTENCE_END = "[.!?;:](?=[\\x20\\x09-\\x0D]|$)"
+# whole pieces between line ends and cuts (|); a line end may stand for any space, a cut may not
+_KNOWN = "(?<![a-z0-9 ])(?:" + "|".join(
+    s.replace(" ", "[ \n]") for s in sorted(SENTENCES, key=len, reverse=True)
+) + ")(?![a-z0-9 ])"
 
 
 def sequence_text(ids: tuple[str, ...]) -> str:
     return "".join(f"<{i}>" for i in ids)
 
 
-def _normalised(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, "[^a-z0-9]+", " "))
+def _pieces(folded: Column) -> Column:
+    """The normalised text with line ends kept and a | where a sentence or paragraph ends."""
+    text = F.translate(folded, "|", " ")
+    text = F.regexp_replace(text, "(?<![^\\n])[^a-z0-9\\n]+", "")
+    text = F.regexp_replace(F.regexp_replace(text, "\\n\\n+", "|"), _SENTENCE_END, "|")
+    return F.trim(F.regexp_replace(F.regexp_replace(text, "[^a-z0-9\\n|]+", " "), " ?([\\n|]) ?", "$1"))
 
 
 def _identifier(sentence: Column) -> Column:
@@ -106,10 +121,8 @@ def recognise(docs: DataFrame) -> DataFrame:
     text = F.col("text")
     worth = F.coalesce(text.rlike("(?i)" + "|".join(CUES)), F.lit(False))
     folded = F.translate(text, UPPER, LOWER)
-    pieces = F.split(F.regexp_replace(folded, _SENTENCE_END, "$1\n"), "\n")
-    found = F.filter(
-        F.transform(pieces, lambda s: _identifier(_normalised(s))), lambda x: x.isNotNull()
-    )
+    known = F.regexp_extract_all(_pieces(folded), F.lit(_KNOWN), F.lit(0))
+    found = F.transform(known, lambda s: _identifier(F.translate(s, "\n", " ")))
     out = base.withColumn("__ids", F.when(worth, found).otherwise(F.array().cast("array<string>")))
     out = out.withColumn("sentence_ids", F.array_join("__ids", ""))
     out = out.withColumn("__rest", F.col("sentence_ids")).withColumn("__found", F.array().cast("array<string>"))

@@ -75,3 +75,75 @@ def test_columns(spark):
     (r,) = lic.recognise(df).collect()
     assert (r.doc_id, r.licenses) == (None, "proprietary")
     assert lic.recognise(df.limit(0)).collect() == []
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
+"""
+APACHE_WRAPPED = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL = """This program is free software{0} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{1} either version {2} of the License, or
+(at your option) any later version.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+{0}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED.
+"""
+NAMES = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+"""
+
+
+def test_wrapped_originals(spark):
+    texts = [MIT, APACHE_WRAPPED, GPL.format(":", ",", 3), GPL.format(";", ";", 2), BSD.format(""), BSD.format(NAMES)]
+    names = ["MIT", "Apache-2.0", "GPL-3.0-or-later", "GPL-2.0-or-later", "BSD-2-Clause", "BSD-3-Clause"]
+    marked = [m + t.replace("\n", "\n" + m) for t in texts for m in ("", "# ", " * ", "// ", ";; ", "| ")]
+    marked += [t.replace("\n", "\r\n") for t in texts]
+    got = recognised(spark, marked)
+    assert [g[1] for g in got] == [n for n in names for _ in range(6)] + names
+    assert all(g[3] == 0 for g in got)
+
+
+def test_notices_without_a_full_stop(spark):
+    texts = ["my tool\nReleased under the MIT License\nhave fun", "Released under\n\nthe MIT License", "Not released under the MIT License"]
+    assert [g[1] for g in recognised(spark, texts)] == ["MIT", "", ""]
