@@ -110,7 +110,9 @@ def leaf_budgets(
     ``budget``: tokens, or an expression over ``all_tokens``, the tokens of all leaves.
     """
     weights = weights or {}
-    leaves = leaves.withColumn("supply", F.col("tokens") * epochs)
+    # a leaf below a weight of zero can take nothing, so it is no supply of the nodes above either
+    open_ = F.least(*(_weight(F.col(c), weights.get(c, {})) for c in LEVELS)) > 0
+    leaves = leaves.withColumn("supply", F.when(open_, F.col("tokens") * epochs).otherwise(F.lit(0)))
     total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).cast("long").alias("all_tokens")).select(
         (F.lit(budget) if isinstance(budget, int) else F.expr(budget)).cast("long").alias("budget")
     )

@@ -103,3 +103,10 @@ def test_repeated_by_epoch(spark):
     assert mixing.repeated_by_epoch(df.limit(0), 5).collect() == []
     none = mixing.mixed(df, 10, weights={"lang": {"en": 0}}).agg(F.sum("taken_tokens")).first()[0]
     assert none == 0
+
+
+def test_leaves_without_weight_are_no_supply(spark):
+    rows = [("domain0", "en", "bad", 900), ("domain0", "en", "good", 100), ("domain0", "de", "good", 1000)]
+    leaves = spark.createDataFrame(rows, "domain string, lang string, source string, tokens long")
+    got = mixing.leaf_budgets(leaves, 1000, epochs=1, weights={"source": {"bad": 0}}).collect()
+    assert {(r.lang, r.source): r.leaf_budget for r in got} == {("en", "bad"): 0, ("en", "good"): 100, ("de", "good"): 900}
