@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from idweave.llm import (
     bloom_dedup,
     chat,
+    collocations,
     crf_language,
     feistel,
     license_rules,
@@ -20,6 +21,7 @@ from idweave.llm import (
     ngram_join,
     oracle,
     packing,
+    token_counts,
     warc,
 )
 from idweave.plans.scratch import scratch_dir
@@ -101,6 +103,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), corpus_pipeline.tokenizer_path())
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_rules": op1_license_rules,
     "op2_chat": op2_chat,
@@ -112,6 +124,8 @@ QUERIES: dict[str, Query] = {
     "op8_crf_language": op8_crf_language,
     "op9_bloom_dedup": op9_bloom_dedup,
     "op10_packing": op10_packing,
+    "op11_collocations": op11_collocations,
+    "op12_token_counts": op12_token_counts,
     "pipeline": corpus_pipeline.run,
 }
 

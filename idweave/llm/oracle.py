@@ -144,3 +144,41 @@ from rest{len(RULES)} as last join seq using (r)
 
 
 ORACLES["op1_license_rules"] = _license_sql()
+
+ORACLES["op11_collocations"] = rf"""
+with p as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), {_UPPER}), '[.,;:!?\n\x0B\x0C\r]')) as piece from documents
+), w as (
+  select lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') as w from p
+), one as (select lang, w1, count(*) as f from (select lang, unnest(w) as w1 from w) group by all
+), n as (select lang, sum(f)::bigint as n from one group by 1
+), two as (
+  select lang, x[1] as w1, x[2] as w2, count(*) as f
+  from (select lang, unnest(list_zip(w[:-2], w[2:])) as x from w where len(w) > 1) group by all having f >= 10
+), three as (
+  select lang, x[1] as w1, x[2] as w2, x[3] as w3, count(*) as f
+  from (select lang, unnest(list_zip(w[:-3], w[2:-2], w[3:])) as x from w where len(w) > 2) group by all having f >= 10
+), cuts as (
+  select t.lang, t.w1, t.w2, null as w3, t.f as a, 1 as k, l.f as l, r.f as r
+  from two t join one l using (lang, w1) join one r on r.lang = t.lang and r.w1 = t.w2
+  union all
+  select t.lang, t.w1, t.w2, t.w3, t.f, 1, l.f, r.f
+  from three t join one l using (lang, w1) join two r on r.lang = t.lang and r.w1 = t.w2 and r.w2 = t.w3
+  union all
+  select t.lang, t.w1, t.w2, t.w3, t.f, 2, l.f, r.f
+  from three t join two l using (lang, w1, w2) join one r on r.lang = t.lang and r.w1 = t.w3
+), scored as (
+  select *, (1000000::hugeint * a * a // (l::hugeint * r))::bigint as score from cuts
+  qualify row_number() over (partition by lang, w1, w2, w3 order by score, k) = 1
+), longer as (
+  select lang, w1, w2, max(f) as around
+  from (select lang, w1, w2, f from three union all select lang, w2, w3, f from three) group by all
+), kept as (
+  select s.lang, concat_ws(' ', s.w1, s.w2, s.w3) as phrase, a, l, r, score
+  from scored s left join longer g on s.w3 is null and g.lang = s.lang and g.w1 = s.w1 and g.w2 = s.w2
+  where around is null or 100 * around < 50 * a
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from kept join n using (lang) qualify rank <= 2000
+"""

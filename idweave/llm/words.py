@@ -85,13 +85,15 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes, A-Z folded."""
+def hashes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray = _BYTE_CODE
+) -> np.ndarray:
+    """A 64-bit hash of each span of bytes; with the usual codes of a byte A-Z is folded."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     up, down = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_CODE[data] * up[: len(data)], out=sums[1:], dtype=np.uint64)
+    np.cumsum(codes[data] * up[: len(data)], out=sums[1:], dtype=np.uint64)
     polynomial = (sums[ends] - sums[starts]) * down[starts]
     return mix(polynomial + (ends - starts).astype(np.uint64) * _PLACES[63])
 
