@@ -15,6 +15,7 @@ from idweave.llm import (
     collocations,
     crf_language,
     feistel,
+    hard_negatives,
     license_rules,
     line_rules,
     mixing,
@@ -113,6 +114,13 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.withColumn("label", F.when(F.col("label").isNotNull(), moved))
+    return hard_negatives.hard_negatives(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_rules": op1_license_rules,
     "op2_chat": op2_chat,
@@ -126,6 +134,7 @@ QUERIES: dict[str, Query] = {
     "op10_packing": op10_packing,
     "op11_collocations": op11_collocations,
     "op12_token_counts": op12_token_counts,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 

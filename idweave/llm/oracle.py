@@ -182,3 +182,25 @@ with p as (
 select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
 from kept join n using (lang) qualify rank <= 2000
 """
+
+ORACLES["op13_hard_negatives"] = """
+with v as (
+  select distinct on (vec_id) vec_id, if(vec_id % 7 = 0, (label + 1) % 10, label) as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+  order by vec_id, label, embedding
+), s as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+    list_dot_product(a.v, b.v)::bigint as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0
+), p as (
+  select anchor_id, other_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+)
+select anchor_id, positive_id, (row_number() over w)::int as rank, other_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window w as (partition by anchor_id, positive_id order by score desc, other_id)
+qualify row_number() over w <= 10
+"""
