@@ -35,49 +35,66 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from idweave.llm import words
+from idweave.llm.known_spans import KnownSpans
 from idweave.plans.scratch import scratch_dir
 
 WINDOW = 4096
 END_TOKEN = 2
 #: Words a worker keeps the ids of; beyond that it starts anew.
-CACHE_WORDS = 300_000
-SLICE_BYTES = 1 << 19
+CACHE_WORDS = 1_000_000
+SLICE_BYTES = 1 << 20
+#: Rows (length, task) that may be broadcast, 24 bytes each.
+BROADCAST_ROWS = 500_000
 
 
 class WordIds:
     """Token ids of whole texts, by word.
 
     The tokenizer's normaliser and pre-tokenizer never join anything across white space,
-    so the ids of a text are those of its words in a row. A task encodes each distinct
-    word once; lower-casing A-Z first is part of the normaliser anyway.
+    so the ids of a text are those of its words in a row. A worker encodes each distinct
+    word once, remembers its ids by a 64-bit hash and puts texts together from them;
+    lower-casing A-Z first is part of the normaliser anyway.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        size = self.tokenizer.get_vocab_size()
-        self.closes = np.zeros(size, bool)
+        # bytes that each token stands for: its name has a character for each
+        self.token_bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
-            self.closes[i] = token.endswith("</w>")
-        self.known: dict[int, bytes] = {}
+            self.token_bytes[i] = len(token.removesuffix("</w>"))
+        self.known = KnownSpans()
+        self._forget()
 
-    def _encode(self, new: list[str]) -> list[bytes]:
-        """Ids of each word. Words of letters only are encoded in one text, cut at word ends."""
+    def _forget(self) -> None:
+        self.known.clear()
+        self.ids = np.zeros(0, np.uint32)  # of all known words in a row
+        self.begin = np.zeros(1, np.int64)
+
+    def _encode(self, new: list[bytes], simple: np.ndarray) -> list[bytes]:
+        """Ids of each word.
+
+        Simple words keep their number of bytes when they are normalised. They are encoded
+        in one text, which is cut where the tokens' bytes add up to those of the words.
+        """
         out: list[bytes | None] = [None] * len(new)
-        plain = [i for i, w in enumerate(new) if w.isalpha() and w.lower().isalpha()]
-        for low in range(0, len(plain), 4096):
-            part = plain[low : low + 4096]
-            got = self.tokenizer.encode_batch_fast([" ".join(new[i] for i in part)], add_special_tokens=False)
-            ids = np.array(got[0].ids, np.uint32)
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) == len(part):
-                for i, a, b in zip(part, [0, *ends[:-1]], ends, strict=True):
+        plain = np.flatnonzero(simple).tolist()
+        for low in range(0, len(plain), 16384):
+            part = plain[low : low + 16384]
+            text = b" ".join([new[i] for i in part]).decode("utf-8")
+            (got,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(got.ids, np.uint32)
+            reached = np.cumsum(self.token_bytes[ids])
+            words_end = np.cumsum(np.fromiter((len(new[i]) for i in part), np.int64, len(part)))
+            ends = np.searchsorted(reached, words_end) + 1
+            if len(reached) and ends[-1] == len(ids) and np.array_equal(reached[ends - 1], words_end):
+                for i, a, b in zip(part, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
                     out[i] = ids[a:b].tobytes()
         rest = [i for i, x in enumerate(out) if x is None]
         for low in range(0, len(rest), 4096):
             part = rest[low : low + 4096]
-            got = self.tokenizer.encode_batch_fast([new[i] for i in part], add_special_tokens=False)
+            got = self.tokenizer.encode_batch_fast([new[i].decode("utf-8") for i in part], add_special_tokens=False)
             for i, e in zip(part, got, strict=True):
                 out[i] = np.array(e.ids, np.uint32).tobytes()
         return out
@@ -92,26 +109,36 @@ class WordIds:
             h = words.hashes(data, starts, ends)
             if special:
                 h = words.mix(h ^ _case_hash(data, starts, ends))
-            kinds, where, which = np.unique(h, return_index=True, return_inverse=True)
-            if len(self.known) > CACHE_WORDS:
-                self.known.clear()
-            keys = kinds.tolist()
-            missing = [k for k, x in enumerate(keys) if x not in self.known]
-            spans = [blob[a:b] for a, b in zip(starts[where[missing]], ends[where[missing]], strict=True)]
-            new = [(s if special else s.lower()).decode("utf-8") for s in spans]
-            for k, ids in zip(missing, self._encode(new), strict=True):
-                self.known[keys[k]] = ids
-            ids = [self.known[k] for k in keys]
-            length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            flat = np.frombuffer(b"".join(ids), np.uint32)
-            begin = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
-            n = length[which]
+            if self.known.count > CACHE_WORDS:
+                self._forget()
+            which = self.known.find(h)
+            missing = np.flatnonzero(which < 0)
+            if len(missing):
+                kinds, where = np.unique(h[missing], return_index=True)
+                a, b = (x[missing[where]] for x in (starts, ends))
+                odd = np.concatenate([[0], np.cumsum(_changes_length(data))])
+                spans = [blob[x:y] for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+                new = self._encode(spans if special else [s.lower() for s in spans], odd[a] == odd[b])
+                length = np.fromiter(map(len, new), np.int64, len(new)) // 4
+                self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(new), np.uint32)])
+                self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(length)])
+                self.known.add(kinds)
+                which[missing] = self.known.find(h[missing])
+            begin = self.begin[which]
+            n = self.begin[which + 1] - begin
             to = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
-            stream = flat[np.repeat(begin[which] - to[:-1], n) + np.arange(to[-1])]
+            stream = self.ids[np.repeat(begin - to[:-1], n) + np.arange(to[-1])]
             for k in range(j - i):
                 yield stream[to[first[k]] : to[first[k + 1]]]
 
 
+def _changes_length(data: np.ndarray) -> np.ndarray:
+    """Marks bytes of anything but printable ASCII and Latin letters that stay two bytes long."""
+    after = np.append(data[1:], np.uint8(0))
+    letter = ((data == 0xC3) & (after != 0x97) & (after != 0xB7)) | ((data == 0xC4) & (after != 0xB0)) | (data == 0xC5)
+    return ~(((data > 0x20) & (data < 0x7F)) | ((data >= 0x80) & (data < 0xC0)) | letter)
+
+
 def _of_this_worker(path: str) -> WordIds:
     """The worker's own :class:`WordIds`, kept from task to task."""
     kept = sys.modules.setdefault("_task_word_ids", ModuleType("_task_word_ids"))
@@ -293,6 +320,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_token: int =
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("length", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    if counts.count() > BROADCAST_ROWS:  # it grows with the number of tasks
+        before = before.hint("merge")
     ranked = pieces.join(before, ["length", "task"]).withColumn("rank", F.col("before") + F.col("nth"))
     return ranked.mapInArrow(
         _place(best_fit_plan(histogram, window)), f"{shape}, sequence_id long, offset long"
