@@ -1,0 +1,119 @@
+"""Hard negatives against all scores."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+
+from idweave.llm import hard_negatives as hn
+
+ROWS = "vec_id long, label int, embedding array<float>, rank string"
+
+
+def plain(rows, anchors, low=30, high=90):
+    ok = {}
+    for i, label, v in rows:
+        if i is None or label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        v = [float(np.float32(x)) for x in v]
+        if i not in ok or (label, v) < ok[i]:
+            ok[i] = (label, v)
+    whole = {i: (label, [math.floor(256 * x) for x in v]) for i, (label, v) in ok.items()}
+    out = []
+    for a in anchors:
+        if a not in whole:
+            continue
+        own, q = whole[a]
+        scored = sorted((-sum(x * y for x, y in zip(q, v)), i, label) for i, (label, v) in whole.items() if i != a)  # noqa: B905
+        for s, p, _ in [x for x in scored if x[2] == own][:5]:
+            fit = [x for x in scored if x[2] != own and -low * s <= -100 * x[0] <= -high * s][:10]
+            out += [(a, p, k, i, -s, -t) for k, (t, i, _) in enumerate(fit, start=1)]
+    return sorted(out)
+
+
+def run(spark, rows, anchors):
+    df = spark.createDataFrame([(*r, "z") for r in rows], ROWS)
+    ids = spark.createDataFrame([(a,) for a in anchors], "vec_id long")
+    return sorted(tuple(r) for r in hn.hard_negatives(df, ids).collect())
+
+
+def vectors(seed, n, d, labels=3):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(labels + 2, d))
+    kind = rng.integers(0, labels, n)
+    v = centres[rng.integers(0, labels + 2, n)] * 0.4 + rng.normal(size=(n, d)) * 0.3
+    return [(i, int(kind[i]), [float(np.float32(x)) for x in v[i]]) for i in range(n)]
+
+
+@pytest.fixture
+def small(monkeypatch):
+    for name, value in {"CELL_ROWS": 60, "BLOCK_ANCHORS": 7, "LEAF_ROWS": 5, "FAN_OUT": 4}.items():
+        monkeypatch.setattr(hn, name, value)
+
+
+def test_equal_to_all_scores(spark, small):
+    rows = vectors(1, 400, 6)
+    rows += [(1000 + i, i % 3, rows[7][2]) for i in range(40)]  # one vector many times
+    rows += [(2000, 1, [0.0] * 6), (2001, 2, [0.0] * 6), (2002, 0, [3.0, -2.0])]
+    random.Random(2).shuffle(rows)
+    anchors = [0, 7, 20, 33, 1001, 2000, 2002, 99999]
+    want = plain(rows, anchors)
+    assert len(want) > 150
+    assert run(spark, rows, anchors) == want
+
+
+def test_rows_that_take_no_part(spark):
+    rows = vectors(3, 60, 4)
+    bad = [(None, 1, [1.0] * 4), (500, None, [9.0] * 4), (501, 1, None), (502, 1, [9.0, None, 9.0, 9.0]),
+           (503, 1, [9.0, float("nan"), 9.0, 9.0]), (504, 0, [float("-inf"), 9.0, 9.0, 9.0])]
+    again = [rows[5], rows[5], (5, rows[5][1] + 1, [9.0] * 4)]
+    anchors = [0, 5, 10, 500, 504]
+    assert run(spark, rows + bad + again + rows[:9], anchors) == plain(rows + bad + again, anchors)
+
+
+def test_nothing_to_find(spark):
+    assert run(spark, [], [1]) == []
+    assert run(spark, vectors(1, 5, 3), []) == []
+    assert run(spark, [(1, 0, [1.0]), (2, 0, [1.0]), (3, 1, [-1.0])], [1, 2]) == []
+    assert run(spark, [(1, 0, []), (2, 0, []), (3, 1, [])], [1]) == [(1, 2, 1, 3, 0, 0)]
+
+
+def test_large_components_are_exact(spark):
+    rows = [(i, i % 2, [float(2**22 + i), float(-(2**22) + 3 * i), 1.0]) for i in range(30)]
+    assert run(spark, rows, [0, 1]) == plain(rows, [0, 1])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_tree_bounds_and_nesting(seed, small):
+    rng = np.random.default_rng(seed)
+    points = np.floor(rng.normal(size=(300, 5)) * 50)
+    tree = hn.CoverTree(points, np.arange(300))
+    assert sorted(tree.ids.tolist()) == list(range(300))
+
+    def below(x):
+        return list(range(tree.begin[x], tree.end[x])) if not tree.children[x] else [i for y in tree.children[x] for i in below(y)]
+
+    q = np.floor(rng.normal(size=5) * 50)
+    low, high = tree.bounds(q)
+    for x in range(len(tree.children)):
+        score = tree.rows[below(x)] @ q
+        assert low[x] <= score.min() and score.max() <= high[x]
+        if tree.children[x]:
+            assert (tree.centres[tree.children[x][0]] == tree.centres[x]).all()
+    (best,) = tree.best(q, [(-np.inf, np.inf)], 5)
+    assert best == sorted(zip((-(points @ q)).astype(int).tolist(), range(300), strict=True))[:5]
+
+
+def test_whole_subtrees_are_skipped():
+    rng = np.random.default_rng(9)
+    points = np.floor(np.repeat(rng.normal(size=(20, 8)) * 300, 200, axis=0) + rng.normal(size=(4000, 8)) * 4)
+    tree = hn.CoverTree(points, np.arange(4000))
+    scored = []
+    usual = hn._exact_scores
+    hn._exact_scores = lambda rows, q: scored.append(len(rows)) or usual(rows, q)
+    try:
+        tree.best(points[0], [(-np.inf, np.inf)], 5)
+    finally:
+        hn._exact_scores = usual
+    assert sum(scored) < 2500

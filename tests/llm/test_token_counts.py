@@ -1,0 +1,77 @@
+"""Token counts against the tokenizer itself."""
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from idweave.llm import token_counts as tc
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+DOCS = "doc_id long, text string, n_tokens string"  # the last clashes with an added column
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
+def wanted(tokenizer, texts):
+    return [len(e) for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def test_counts_are_the_tokenizers(spark, tokenizer):
+    long = "one's two  three\n\n four,five \t six 1234 " * 20_000
+    texts = [None, "", " ", "\n", "a", " a", "a ", "<|endoftext|>", "x<|endoftext|> y", "<|endof text|>", long, long, "x" * 300_000]
+    rows = [(i % 3 if i else None, t, "z") for i, t in enumerate(texts)]
+    got = tc.token_counts(spark.createDataFrame(rows, DOCS).repartition(1), PATH, limit=10).collect()
+    want = sorted(zip([len((t or "").encode()) for t in texts], wanted(tokenizer, texts), strict=True))
+    assert sorted((r["n_bytes"], r["n_tokens"]) for r in got) == want
+    assert all(r["over_limit"] == (r["n_tokens"] > 10) for r in got)
+    assert sorted(r["doc_id"] for r in got if r["doc_id"] is not None) == sorted(r[0] for r in rows if r[0] is not None)
+
+
+def test_empty_table(spark):
+    got = tc.token_counts(spark.createDataFrame([], DOCS), PATH)
+    assert got.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"] and got.count() == 0
+
+
+PIECES = [" ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", " ", "　", " ", "᠎", "​",
+          "a", "Bc", "don", "'s", "'", "1", "23", ".", "<|endoftext|>", "<|", "é", "日本", "“", "🙂", "\x00"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=25).map("".join), max_size=12))
+def test_parts_add_up(tokenizer, texts):
+    counts = tc.PartCounts(PATH)
+    for _ in range(2):  # the second time from memory
+        assert counts.of(pa.array(texts, pa.string())).tolist() == wanted(tokenizer, texts)
+
+
+def test_forgetting_changes_nothing(tokenizer, monkeypatch):
+    monkeypatch.setattr(tc, "MOST_PARTS", 3)
+    counts = tc.PartCounts(PATH)
+    texts = [f"word{i} and word{i % 7}, again" for i in range(200)]
+    for t in texts:
+        assert counts.of(pa.array([t])).tolist() == wanted(tokenizer, [t])
+
+
+@given(st.lists(st.integers(0, 50), max_size=60), st.integers(1, 90))
+def test_balanced_batches(sizes, most):
+    ranges = tc.balanced(np.array(sizes, np.int64), most)
+    assert [i for a, b in ranges for i in range(a, b)] == list(range(len(sizes)))
+    assert all(sum(sizes[a:b]) <= most + max(sizes) for a, b in ranges)
+
+
+def test_query(spark):
+    import __spark_entry__ as entry
+
+    d = "/root/testdata/sf0.001"
+    got = {r["doc_id"]: r for r in entry.queries()["op12_token_counts"](spark, d).collect()}
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()
+    assert len(got) == len(docs)
+    for r, n in zip(docs, wanted(Tokenizer.from_file(PATH), [r["text"] for r in docs]), strict=True):
+        assert got[r["doc_id"]]["n_tokens"] == n
