@@ -17,8 +17,8 @@ read back from it. The filters of all tasks for a block are merged in one place,
 n-grams that occur often enough are read out. Blocks are as many as keep a merge small, and
 a frequent n-gram has one entry in each filter, so no group is hot.
 
-Which words or pairs are frequent reaches the tasks as a bit array of at most ``MOST_BITS``
-bits. What it lets through by mistake is counted and then found to be rare; nothing that is
+Which words or pairs are frequent reaches the tasks as a bit array of at most
+``bit_filter.MOST_BITS`` bits. What it lets through by mistake is counted and then found to be rare; nothing that is
 frequent is missed. When it is full, passes 2 and 3 only count more.
 
 Defined cases: null text is empty, null lang is ``und``; repeated rows count as often as they
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from idweave.llm import words
+from idweave.llm import bit_filter, words
 from idweave.llm.known_spans import KnownSpans
 from idweave.plans.scratch import scratch_dir
 
@@ -47,9 +47,6 @@ NO_LANG = "und"
 #: Entries a task gathers before it hands them on, and about the most in a merge.
 FLUSH_ENTRIES, MERGE_ENTRIES = 1_500_000, 1_000_000
 FLUSH_WORDS = 400_000
-#: Bits of the array of frequent words or pairs: 16 for each, 32 MB at most.
-BITS_EACH, MOST_BITS = 16, 1 << 28
-_CHUNK_BITS = 1 << 18
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -170,38 +167,6 @@ def merged(top: np.ndarray, rest: list[np.ndarray], count: np.ndarray) -> tuple[
     return top[begin], [ids[begin] for ids in rest], np.add.reduceat(count, begin)
 
 
-class _Bits:
-    """Membership by two bits of a 64-bit hash; may say yes by mistake, never no."""
-
-    def __init__(self, chunks: list[tuple[int, bytes]], bits: int) -> None:
-        packed = np.zeros(bits // 8, np.uint8)
-        step = min(_CHUNK_BITS, bits) // 8
-        for number, blob in chunks:
-            packed[number * step : (number + 1) * step] = np.frombuffer(blob, np.uint8)
-        self.data = packed.tobytes()
-        self.bits = bits
-
-
-def _may_hold(packed: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
-    mask = np.uint64(bits - 1)
-    out = np.ones(len(h), bool)
-    for place in (h & mask, (h >> _HALF) & mask):
-        out &= (packed[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
-    return out
-
-
-def _set_bits(bits: int) -> Callable:
-    """Map a group of (chunk, place) to the chunk's bytes."""
-
-    def run(table: pa.Table) -> pa.Table:
-        packed = np.zeros(min(_CHUNK_BITS, bits), bool)
-        packed[table.column("place").to_numpy()] = True
-        blob = np.packbits(packed, bitorder="little").tobytes()
-        return pa.table({"chunk": table.column("chunk")[:1], "blob": pa.array([blob], pa.binary())})
-
-    return run
-
-
 def _lang_salt(lang: str) -> np.uint64:
     """A hash of the language that no word has by its own spelling."""
     data = np.frombuffer(f"{lang} ".encode(), np.uint8)
@@ -298,10 +263,10 @@ def _count_ngrams(size: int, seed: int, block_bits: int, frequent: Broadcast, bi
                 continue
             salt = np.array([_lang_salt(x) for x in langs], np.uint64)[number]
             if size == 2:
-                often = _may_hold(packed, bits, words.mix(h ^ salt))
+                often = bit_filter.may_hold(packed, bits, words.mix(h ^ salt))
                 use = often[:-1] & often[1:]
             else:
-                often = _may_hold(packed, bits, words.mix(permuted([h[:-1], h[1:]]) ^ salt[:-1]))
+                often = bit_filter.may_hold(packed, bits, words.mix(permuted([h[:-1], h[1:]]) ^ salt[:-1]))
                 use = often[:-1] & often[1:]
             use &= piece[: len(use)] == piece[size - 1 :]
             at = np.flatnonzero(use)
@@ -362,21 +327,8 @@ def _hashed(size: int) -> Callable:
 
 def _frequent_bits(frequent: DataFrame, size: int) -> tuple[Broadcast, int]:
     """The bit array of frequent words or pairs, broadcast; its size is bounded."""
-    count = frequent.count()
-    bits = 1 << 13
-    while bits < BITS_EACH * count and bits < MOST_BITS:
-        bits *= 2
     hashed = frequent.select("lang", *(f"w{k + 1}" for k in range(size))).mapInArrow(_hashed(size), "h long")
-    step = min(_CHUNK_BITS, bits)
-    places = hashed.select(F.explode(F.array(F.expr(f"h & {bits - 1}"), F.expr(f"shiftrightunsigned(h, 32) & {bits - 1}"))).alias("p"))
-    chunks = (
-        places.select(F.expr(f"p div {step}").alias("chunk"), F.expr(f"cast(p % {step} as int)").alias("place"))
-        .distinct()
-        .groupBy("chunk")
-        .applyInArrow(_set_bits(bits), "chunk long, blob binary")
-    )
-    found = _Bits([(r["chunk"], bytes(r["blob"])) for r in chunks.collect()], bits)
-    return frequent.sparkSession.sparkContext.broadcast(found.data), bits
+    return bit_filter.build(hashed, frequent.count())
 
 
 def collocations(

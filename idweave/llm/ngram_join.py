@@ -10,19 +10,25 @@ Steps:
 1. Every set is a sorted array of 64-bit hashes. Its leading part, the prefix, is long
    enough that two similar sets share at least ``need`` hashes of their prefixes. A
    class with fewer prefix hashes in common with other classes links with nothing.
-   Only the rest, the candidates, take part in what follows.
+   Only the rest, the candidates, take part in what follows. Hashes that more than one
+   class holds are found by one aggregate; a bit array of bounded size then keeps the
+   others from being shuffled again.
 2. Candidates are partitioned into groups of similar sets: each goes to the class that is
    the smallest holder of most of its prefix hashes, and those of a class are cut into
    cells of bounded size, each with a copy of that class. All links within a cell come
    from a product of its token matrix. This joins whole families of near copies, and
-   settles families of near misses, without a row for any pair.
+   settles families of near misses, without a row for any pair. The same task returns
+   the union of the prefixes of each family in its cell.
 3. What is left are links between cells of different components. The token-group matrix
-   has a row (hash, cell) for each hash in the union of a cell's prefixes that is also in
-   a cell of another component. Two cells are opened to each other only if they have
-   enough of these hashes in common, and only with the sets of which four fifths of all
-   hashes are in other cells; there a query's overlap with the union of the other
-   cell bounds its overlap with any member, and the exact overlaps of those that pass
-   decide.
+   has a row (hash, cell) for each hash in the union of a cell's sets. A set's overlap
+   with the hashes that other cells hold too bounds its overlap with any of them: only
+   sets of which four fifths are there stay active, and only their unions stay in the
+   matrix. Two cells are opened to each other only if they have enough prefix hashes in
+   common; there a query's overlap with the union of the other cell bounds its overlap
+   with any member, and the exact overlaps of those that pass decide.
+
+Sets are read from the texts once more when it is known where they belong, so they lie in
+their cells after one shuffle.
 
 Defined cases: null or empty text and text without words: empty set, no link, own
 component. Null doc_id: never the smallest; a component of such rows has a null
@@ -37,18 +43,19 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idweave.llm import words
+from idweave.llm import bit_filter, words
 from idweave.llm.components import components
 from idweave.plans.scratch import scratch_dir
 
 SIZE, PERCENT = 5, 80
 #: Chunks hold about so many sets and hashes.
 CHUNK_SETS, CHUNK_HASHES = 768, 1_500_000
-#: Rows of a side that may be broadcast: 8 bytes each, so 8 MB.
-BROADCAST_ROWS = 1_000_000
+#: Rows of a narrow side that may be broadcast: 50 bytes each at most, so 12 MB.
+BROADCAST_ROWS = 250_000
 _COLUMN_BLOCK = 4096
 
 
@@ -65,6 +72,12 @@ def prefix_length(n, percent: int = PERCENT):
     return n - least_overlap(n, percent) + slack(n)
 
 
+def needed(n, percent: int = PERCENT):
+    """Hashes that the prefixes of similar sets share, at least."""
+    least = least_overlap(n, percent)
+    return least // 10 + (least < 10)
+
+
 def _sql_need(percent: int) -> str:
     least = f"cast(ceil(n * {percent} / 100) as bigint)"
     return f"(({least}) div 10 + if(({least}) < 10, 1, 0))"
@@ -78,7 +91,10 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
         run, begin = words.windows(words.hashes(data, starts, ends), first, size)
         run = run.view(np.int64)
         for k in range(j - i):
-            yield np.unique(run[begin[k] : begin[k + 1]])
+            own = np.sort(run[begin[k] : begin[k + 1]])
+            new = np.ones(len(own), bool)
+            new[1:] = own[1:] != own[:-1]
+            yield own[new]
 
 
 def _set_keys(values: np.ndarray, begin: np.ndarray) -> list[bytes | None]:
@@ -225,12 +241,100 @@ def links_across(left: list[np.ndarray], right: list[np.ndarray], percent: int)
     return forest
 
 
-def _open_chunk(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("sid")
-        sid = rows["sid"].to_numpy()
-        found = links([np.asarray(x, np.int64) for x in rows["hashes"]], percent)
-        return pd.DataFrame({"a": [sid[i] for i, _ in found], "b": [sid[j] for _, j in found]}, dtype="int64")
+def _lists(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+    """sid, n, sets and row numbers of a table with each sid once."""
+    sid, rows = np.unique(table.column("sid").to_numpy(), return_index=True)
+    column = table.column("hashes").combine_chunks()
+    flat, at = column.values.to_numpy(), column.offsets.to_numpy()
+    sets = [flat[at[r] : at[r + 1]] for r in rows.tolist()]
+    return sid, np.array([len(x) for x in sets], np.int64), sets, rows
+
+
+def _union(sets: list[np.ndarray]) -> np.ndarray:
+    every = np.sort(np.concatenate([np.zeros(0, np.int64), *sets]))
+    new = np.ones(len(every), bool)
+    new[1:] = every[1:] != every[:-1]
+    return every[new]
+
+
+def _open_chunk(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """A cell's links (a, b), and per family found in it (a member, the union of its prefixes)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        cell = table.column("cell")[0].as_py()
+        sid, n, sets, rows = _lists(table)
+        own = table.column("own").to_numpy(zero_copy_only=False)
+        mine = set(table.column("sid").to_numpy()[own].tolist())
+        found = links(sets, percent)
+        root = list(range(len(sid)))
+        for i, j in found:  # a forest, parents first
+            root[j] = root[i]
+        families: dict[int, list[np.ndarray]] = {}
+        for i, s in enumerate(sid.tolist()):
+            if s in mine:
+                families.setdefault(root[i], []).append(sets[i][: prefix_length(n[i], percent)])
+        unions = [_union(x) for x in families.values()]
+        a = [int(sid[i]) for i, _ in found] + [int(sid[r]) for r in families]
+        b = [int(sid[j]) for _, j in found] + [None] * len(families)
+        return pa.table(
+            {
+                "cell": pa.array([cell] * len(a), pa.int64()),
+                "a": pa.array(a, pa.int64()),
+                "b": pa.array(b, pa.int64()),
+                "hashes": pa.array([None] * len(found) + unions, pa.list_(pa.int64())),
+            }
+        )
+
+    return run
+
+
+def _active_in_cell(percent: int, prefixes: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Sets of a cell with enough of their hashes among those marked, and the unions of them.
+
+    Rows are (sid, n) of the active sets, then one with the union of all their hashes and
+    one with the marked hashes of their prefixes (kind 0, 1, 2). ``prefixes``: only the marked
+    hashes of prefixes count, against what prefixes of similar sets share.
+    """
+
+    def run(table: pa.Table, marks: pa.Table) -> pa.Table:
+        shape = {"cell": pa.int64(), "kind": pa.int32(), "sid": pa.int64(), "n": pa.int64(), "hashes": pa.list_(pa.int64())}
+        out: list[tuple] = []
+        if len(table) and len(marks):
+            cell = table.column("cell")[0].as_py()
+            marked = _union([marks.column("h").to_numpy()])
+            sid, n, sets, _ = _lists(table)
+            flat = np.concatenate([np.zeros(0, np.int64), *sets])
+            owner = np.repeat(np.arange(len(sets)), n)
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+            in_prefix = place < prefix_length(n, percent)[owner]
+            hit = marked[np.minimum(np.searchsorted(marked, flat), len(marked) - 1)] == flat
+            count = np.bincount(owner[hit & in_prefix] if prefixes else owner[hit], minlength=len(sets))
+            stays = count >= (needed(n, percent) if prefixes else least_overlap(n, percent))
+            if stays.any():
+                out = [(cell, 0, int(sid[i]), int(n[i]), None) for i in np.flatnonzero(stays)]
+                of_active = stays[owner]
+                out.append((cell, 1, None, None, _union([flat[of_active]])))
+                out.append((cell, 2, None, None, _union([flat[of_active & hit & in_prefix]])))
+        columns = list(zip(*out, strict=True)) if out else [[]] * len(shape)
+        return pa.table({k: pa.array(list(c), t) for (k, t), c in zip(shape.items(), columns, strict=True)})
+
+    return run
+
+
+def _flat(carry: str, bits: int, packed: Broadcast) -> Callable:
+    """Map (carry, hashes) to rows (carry, h) of the hashes that the bit array may hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.frombuffer(packed.value, np.uint8)
+        for batch in batches:
+            column = batch.column("hashes")
+            length = np.diff(column.offsets.to_numpy())
+            flat = column.flatten().to_numpy()
+            keep = bit_filter.may_hold(held, bits, flat.view(np.uint64))
+            owner = np.repeat(np.arange(len(length)), length)[keep]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(carry).take(pa.array(owner)), pa.array(flat[keep])], names=[carry, "h"]
+            )
 
     return run
 
@@ -258,6 +362,11 @@ def _chunks_of(sets: DataFrame, by: str) -> DataFrame:
     )
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` marked for a broadcast if it has few enough rows; narrow tables only."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def similar_documents(
     docs: DataFrame, size: int = SIZE, percent: int = PERCENT
 ) -> DataFrame:
@@ -275,15 +384,19 @@ def similar_documents(
     need = F.expr(_sql_need(percent))
 
     # 1. candidates: classes that share enough prefix hashes with other classes
-    tokens = signed.select("cid", F.explode("hashes").alias("h"))
-    several = (
-        tokens.groupBy("h").agg(F.min("cid").alias("lead"), F.max("cid").alias("top")).where("lead <> top")
-    ).select("h", "lead")
-    hits = staged(
-        "hits",
-        tokens.join(several, "h").groupBy("cid", "lead").agg(F.count("*").alias("hits")),
+    several = staged(
+        "several",
+        signed.select("cid", F.explode("hashes").alias("h"))
+        .groupBy("h")
+        .agg(F.min("cid").alias("lead"), F.max("cid").alias("top"))
+        .where("lead <> top")
+        .select("h", "lead"),
     )
-    copies = (
+    packed, bits = bit_filter.build(several.select("h"), several.count())
+    shared = signed.select("cid", "hashes").mapInArrow(_flat("cid", bits, packed), "cid long, h long")
+    hits = staged("hits", shared.join(several, "h").groupBy("cid", "lead").agg(F.count("*").alias("hits")))
+    classes = staged(
+        "classes",
         signed.where("key is not null")
         .groupBy("key")
         .agg(
@@ -291,7 +404,7 @@ def similar_documents(
             F.min("doc_id").alias("doc_id"),
             F.first("cid").alias("cid"),
             F.first("n").alias("n"),
-        )
+        ),
     )
     per_class = hits.groupBy("cid").agg(
         F.sum("hits").alias("hits"),
@@ -299,77 +412,100 @@ def similar_documents(
     )
     chosen = staged(
         "candidates",
-        copies.join(per_class, "cid").where(F.col("hits") >= F.col("copies") * need).select("key", "doc_id", "lead"),
-    )
-    picked = chosen.select("doc_id").distinct()
-    if picked.count() <= BROADCAST_ROWS:
-        picked = F.broadcast(picked)
-    texts = source.join(picked, source["doc_id"].eqNullSafe(picked["doc_id"]), "left_semi")
-    whole = texts.mapInArrow(_set_batches(size, percent, True), shape)
-    sets = staged(
-        "sets",
-        whole.drop("doc_id")
-        .join(chosen.select("key", "lead"), "key")
-        .dropDuplicates(["key"])
+        classes.join(per_class, "cid")
+        .where(F.col("hits") >= F.col("copies") * need)
+        .select("key", "doc_id", "cid", "n", "lead")
         .withColumn("sid", F.monotonically_increasing_id()),
     )
 
     # 2. cells of groups around leading classes; the leader is in every cell
-    sizes = staged("sizes", _chunks_of(sets, "lead"))
-    placed = sets.join(sizes, "lead").withColumn(
-        "cell", F.xxhash64("lead", F.pmod(F.xxhash64("sid"), F.col("chunks")))
+    sizes = staged("sizes", _chunks_of(chosen, "lead"))
+    placed = staged(
+        "placed",
+        chosen.join(sizes, "lead").select(
+            "key",
+            "doc_id",
+            "sid",
+            "members",
+            F.xxhash64("lead", F.pmod(F.xxhash64("sid"), F.col("chunks"))).alias("cell"),
+        ),
     )
-    leaders = sizes.where("members > 1").join(
-        sets.select(F.col("cid").alias("lead"), "sid", "hashes"), "lead"
+    leaders = staged(
+        "leaders",
+        sizes.where("members > 1")
+        .join(chosen.select(F.col("cid").alias("lead"), "sid"), "lead")
+        .select("sid", F.explode(F.expr("transform(sequence(0L, chunks - 1), c -> xxhash64(lead, c))")).alias("cell")),
     )
-    copies_of_leaders = leaders.select(
-        F.explode(F.expr("transform(sequence(0L, chunks - 1), c -> xxhash64(lead, c))")).alias("cell"),
-        "sid",
-        "hashes",
+    picked = _small(placed.select("doc_id").distinct())
+    texts = source.join(picked, source["doc_id"].eqNullSafe(picked["doc_id"]), "left_semi")
+    whole = texts.mapInArrow(_set_batches(size, percent, True), shape)
+    sets = staged(
+        "sets", whole.select("key", "n", "hashes").join(_small(placed.drop("doc_id")), "key").drop("key")
     )
-    within = staged(
-        "within",
-        placed.where("members > 1")
-        .select("cell", "sid", "hashes")
-        .unionByName(copies_of_leaders)
+    if sets.count() > placed.count():  # repeated rows, or some with a null doc_id
+        sets = staged("sets-once", sets.dropDuplicates(["sid"]))
+    several_members = sets.where("members > 1").select("cell", "sid", F.lit(True).alias("own"), "hashes")
+    lead_sets = sets.select("sid", "hashes").join(_small(leaders), "sid")
+    opened = staged(
+        "opened",
+        several_members.unionByName(lead_sets.select("cell", "sid", F.lit(False).alias("own"), "hashes"))
         .groupBy("cell")
-        .applyInPandas(_open_chunk(percent), "a long, b long"),
+        .applyInArrow(_open_chunk(percent), "cell long, a long, b long, hashes array<long>"),
     )
+    within = opened.where("b is not null").select("a", "b")
     first = components(within, f"{base}/first")
 
     # 3. cells of other components
     least = f"ceil(n * {percent} / 100)"
     prefix = F.expr(f"slice(hashes, 1, cast(n - {least} + n div 10 + if(n < 10, 1, 0) as int))")
-    rows = (
-        placed.join(first, "sid", "left")
-        .withColumn("comp", F.coalesce("root", "sid"))
-        .select("sid", "cell", "comp", "n", F.explode(prefix).alias("h"))
-    )
-    split = rows.groupBy("h").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cell").alias("near"), F.max("cell").alias("far")
+    alone = sets.where("members = 1").select("cell", "sid", prefix.alias("hashes"))
+    unions = opened.where("b is null").select("cell", F.col("a").alias("sid"), "hashes").unionByName(alone)
+    by_family = unions.join(first, "sid", "left").select(
+        "cell", F.coalesce("root", "sid").alias("comp"), F.explode("hashes").alias("h")
     )
-    unsettled = rows.join(split.where("lo <> hi and near <> far").select("h"), "h")
-    active = staged(
-        "active",
-        unsettled.groupBy("sid", "cell", "n").agg(F.collect_list("h").alias("prefix")).where(F.size("prefix") >= need),
+    split = staged(
+        "split",
+        by_family.groupBy("h")
+        .agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cell").alias("near"), F.max("cell").alias("far")
+        )
+        .where("lo <> hi and near <> far")
+        .select("h"),
     )
+    active_shape = "cell long, kind int, sid long, n long, hashes array<long>"
+
+    def active_sets(name: str, among: DataFrame, unions: DataFrame, marked: DataFrame, prefixes: bool) -> DataFrame:
+        packed, bits = bit_filter.build(marked, marked.count())
+        marks = unions.select("cell", "hashes").mapInArrow(_flat("cell", bits, packed), "cell long, h long")
+        marks = staged(f"{name}-marks", marks.join(marked, "h").select("cell", "h").distinct())
+        there = _small(marks.select("cell").distinct())
+        return staged(
+            name,
+            among.join(there, "cell", "left_semi")
+            .select("cell", "sid", "hashes")
+            .groupBy("cell")
+            .cogroup(marks.groupBy("cell"))
+            .applyInArrow(_active_in_cell(percent, prefixes), active_shape),
+        )
+
+    active = active_sets("active", sets, unions, split, True)
     # a set with a partner in another cell has four fifths of its hashes in other cells; the
     # second pass counts among those that the first one left
     for step in (1, 2):
-        every = active.select("sid", "cell").join(sets.select("sid", "n", "hashes"), "sid")
-        every = every.select("sid", "cell", "n", F.explode("hashes").alias("h"))
-        spread = every.groupBy("h").agg(F.min("cell").alias("near"), F.max("cell").alias("far")).where("near <> far")
-        partly = (
-            every.join(spread.select("h"), "h")
-            .groupBy("sid", "n")
-            .agg(F.count("*").alias("elsewhere"))
-            .where(f"elsewhere >= {least}")
+        unions = active.where("kind = 1")
+        spread = (
+            unions.select("cell", F.explode("hashes").alias("h"))
+            .groupBy("h")
+            .agg(F.min("cell").alias("near"), F.max("cell").alias("far"))
+            .where("near <> far")
         )
-        active = staged(f"active-{step}", active.join(partly.select("sid"), "sid", "left_semi"))
-    matrix = staged("matrix", active.select("cell", F.explode("prefix").alias("h")).distinct())
+        among = sets.join(_small(active.where("kind = 0").select("sid")), "sid", "left_semi")
+        active = active_sets(f"active-{step}", among, unions, staged(f"spread-{step}", spread.select("h")), False)
+    matrix = active.where("kind = 2").select("cell", F.explode("hashes").alias("h"))
+    members = active.where("kind = 0").select("cell", "sid", "n")
     cells = staged(
         "cells",
-        active.groupBy("cell").agg(
+        members.groupBy("cell").agg(
             F.min(need).alias("need"), F.min("n").alias("least_n"), F.max("n").alias("most_n")
         ),
     )
@@ -391,9 +527,9 @@ def similar_documents(
         .where(f"100 * most_n_left >= {percent} * least_n_right and 100 * most_n_right >= {percent} * least_n_left")
         .select("cell_left", "cell_right"),
     )
-    member = active.select("cell", "sid").join(sets.select("sid", "hashes"), "sid")
+    active_hashes = sets.select("sid", "hashes").join(_small(members.select("cell", "sid")), "sid")
     sides = [
-        pairs.join(member, pairs[f"cell_{name}"] == member["cell"]).select(
+        pairs.join(active_hashes, pairs[f"cell_{name}"] == active_hashes["cell"]).select(
             "cell_left", "cell_right", F.lit(k).alias("side"), "sid", "hashes"
         )
         for k, name in enumerate(("left", "right"))
@@ -407,19 +543,19 @@ def similar_documents(
     )
     found = components(within.unionByName(across), f"{base}/all")
 
-    # 4. back to documents
-    label = sets.select("key", "sid").join(found, "sid").select("key", "root")
-    smallest_key = label.groupBy("root").agg(F.min("key").alias("label"))
-    renamed = label.join(smallest_key, "root").select("key", "label")
-    slim = signed.select("doc_id", "key", "n").join(renamed, "key", "left")
-    slim = slim.withColumn("label", F.coalesce("label", "key"))
-    smallest = (
-        slim.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    # 4. back to documents: each class with its component's smallest id
+    linked = chosen.select("key", "sid", "doc_id").join(found, "sid")
+    smallest = linked.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    moved = linked.select("key", "root").join(smallest.withColumn("root", F.col("root") + 0), "root")
+    of_class = classes.select("key", "doc_id").join(moved.select("key", "root", "component_id"), "key", "left").select(
+        # a key of its own placement, so that a class with many copies can be split
+        F.concat("key", F.lit(b"")).alias("key"),
+        F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
-    return slim.join(smallest, "label", "left").select(
+    return signed.select("doc_id", "key", "n").join(of_class, "key", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
 
 

@@ -71,7 +71,7 @@ def test_equal_to_a_plain_count(spark, monkeypatch):
 
 
 def test_a_full_bit_array_only_counts_more(spark, monkeypatch):
-    monkeypatch.setattr(co, "BITS_EACH", 0)
+    monkeypatch.setattr(co.bit_filter, "BITS_EACH", 0)
     rows = some_texts(5, 60)
     assert run(spark, rows, least=3, top=25) == plain(rows, 3, 50, 25)
 
