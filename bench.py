@@ -18,8 +18,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from idweave.catalog import feed  # noqa: E402
 from idweave.catalog.queries import QUERIES  # noqa: E402
 from idweave.plans import runs  # noqa: E402
-from idweave.plans.scratch import scratch_dir  # noqa: E402
-from idweave.plans.store import TableStore, buckets_for  # noqa: E402
+from idweave.plans.scratch import scratch_tables  # noqa: E402
+from idweave.plans.tables import buckets_for  # noqa: E402
 
 HEADLINE = [
     "dedupe_events",
@@ -63,9 +63,9 @@ def main() -> None:
         times[name] = timed(
             lambda q=query: q(spark, sf_dir).write.format("noop").mode("overwrite").save()
         )
-    store = TableStore(spark, scratch_dir(spark, "bench-full"), buckets_for(raw.count()))
+    store = scratch_tables(spark, "bench-full", buckets_for(raw.count()))
     times["full_refresh"] = timed(lambda: runs.execute(store, feed.CONFIG, raw, feed.WHOLE))
-    store = TableStore(spark, scratch_dir(spark, "bench-batches"), buckets_for(raw.count()))
+    store = scratch_tables(spark, "bench-batches", buckets_for(raw.count()))
     for n, run in enumerate(feed.BATCHES, start=1):
         times[f"batch_{n}"] = timed(lambda r=run: runs.execute(store, feed.CONFIG, raw, r))
     spark.stop()

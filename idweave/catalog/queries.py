@@ -22,8 +22,9 @@ from idweave.functions.columns import hash_identifier, ntz_lit, surrogate_key
 from idweave.operators import changes, extract, history, lookup, mapping, profile, quality, upsert
 from idweave.plans import manifest as mf
 from idweave.plans import runs
-from idweave.plans.scratch import scratch_dir
-from idweave.plans.store import TableStore, buckets_for, write_full
+from idweave.plans.scratch import scratch_dir, scratch_tables
+from idweave.plans.publish import write_full
+from idweave.plans.tables import IdentityTables, buckets_for
 from idweave.sources import events as src
 from idweave.streaming.stream import stream_identities
 
@@ -221,10 +222,10 @@ class Steps:
         return history.scd_updates(empty, self.changed(n), self.this_run(n))
 
 
-def fold(spark: SparkSession, sf_dir: str, *outputs: str) -> TableStore:
-    """A store after the three arrival windows, with the tables ``outputs`` need."""
+def fold(spark: SparkSession, sf_dir: str, *outputs: str) -> IdentityTables:
+    """The tables after the three arrival windows, those that ``outputs`` need."""
     raw = feed.raw_events(spark, sf_dir)
-    store = TableStore(spark, scratch_dir(spark, "fold"), buckets_for(raw.count()))
+    store = scratch_tables(spark, "fold", buckets_for(raw.count()))
     for run in BATCHES:
         runs.execute(store, CONFIG, raw, run, outputs)
     return store
@@ -1007,11 +1008,11 @@ def cyclic_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming ----------------------------------------------------------------------
 
 
-def stream_store(spark: SparkSession, sf_dir: str) -> TableStore:
+def stream_store(spark: SparkSession, sf_dir: str) -> IdentityTables:
     """Three deliveries of files, each consumed before the next one lands."""
     root = scratch_dir(spark, "stream")
     raw = feed.raw_events(spark, sf_dir)
-    store = TableStore(spark, f"{root}/store", buckets_for(raw.count()))
+    store = scratch_tables(spark, "stream", buckets_for(raw.count()))
     for run in BATCHES:
         src.select_run_window(raw, run).write.mode("append").parquet(f"{root}/landing")
         query = stream_identities(

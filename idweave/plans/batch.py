@@ -1,9 +1,11 @@
 """One batch through all tables.
 
 Order matters and follows from what each step reads: the mapping as it was before
-the run, the profiles as they are after it, the changes of this run only. Stored
-tables are immutable until the commit, so "before" and "after" are simply two
-handles on the same table.
+the run, the profiles as they are after it, the changes of this run only. All steps are
+computed from the tables as they were; "after" is the stored rows with the staged updates
+on top. A table is written once nothing else of the run reads it, the mapping after all
+others: whatever is written already when a run breaks off, running it again ends at the
+same rows.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from idweave import schemas
@@ -20,7 +22,7 @@ from idweave.config import IdentityConfig, RunContext
 from idweave.functions.joins import own_shuffle
 from idweave.operators import changes, extract, history, lookup, mapping, profile
 from idweave.operators import upsert as upsert_ops
-from idweave.plans.store import Transaction
+from idweave.plans.tables import IdentityTables
 
 TABLES = tuple(schemas.KEYS)
 
@@ -43,18 +45,29 @@ def closure(outputs: Iterable[str]) -> set[str]:
     return wanted
 
 
-def stage_batch(txn: Transaction, base: DataFrame, cfg: IdentityConfig) -> DataFrame:
+def stage_batch(
+    store: IdentityTables, base: DataFrame, cfg: IdentityConfig, arrived: Observation
+) -> DataFrame:
     """Write the deduplicated narrow batch once; every branch reads it from there.
 
     Merge events get a folder of their own, so the merge branch does not scan the rest.
+    ``arrived`` gets the first and last arrival time and the number of events in that pass.
     """
     is_merge = F.col("event_name") == F.lit(cfg.merge_event_name)
     tagged = base.withColumn("is_merge", F.coalesce(is_merge, F.lit(False)))
-    return txn.stage("base_events", tagged, "is_merge")
+    return store.stage(
+        "base_events",
+        tagged,
+        "is_merge",
+        arrived,
+        F.min("load_tstamp").alias("first_load"),
+        F.max("load_tstamp").alias("last_load"),
+        F.count("*").alias("events"),
+    )
 
 
 def apply_batch(
-    txn: Transaction,
+    store: IdentityTables,
     base: DataFrame,
     cfg: IdentityConfig,
     run: RunContext,
@@ -65,7 +78,7 @@ def apply_batch(
     Tables they are computed from but that are not among them are only read: they
     have consumed the batch before. Returns the tables updated. Steps that do not
     read each other's results are submitted as concurrent Spark jobs, so the tail
-    of one does not leave the cluster idle. The caller commits.
+    of one does not leave the cluster idle.
     """
     updated = set(outputs)
     wanted = closure(updated)
@@ -73,28 +86,34 @@ def apply_batch(
     merge_events = extract.merge_events_this_run(base.where("is_merge"), cfg)
 
     def stored(table: str) -> DataFrame:
-        return txn.store.read(table, layouts[table])
+        return store.read(table, layouts[table])
 
-    def upsert(
-        table: str, rows: DataFrame, deletes: DataFrame | None = None, staged: bool = False
-    ) -> None:
+    def upsert(table: str, rows: DataFrame, deletes: DataFrame | None = None) -> None:
         if table in updated:
-            txn.upsert(table, schemas.KEYS[table], rows, deletes, staged)
-
-    def update_identities(observed: DataFrame) -> DataFrame:
-        seen = txn.stage("identities_this_run", profile.identities_from(observed, cfg))
-        upsert("identities", profile.merge_identities(stored("identities"), seen, cfg))
-        return seen
-
-    def observe() -> tuple[DataFrame, DataFrame | None]:
-        observed = txn.stage("observations", extract.observations(base, cfg))
-        return observed, update_identities(observed) if "identities" in wanted else None
-
-    def update_mapping() -> tuple[DataFrame, DataFrame, DataFrame]:
-        edges = txn.stage("edges", extract.explode_merged(merge_events))
-        this_run = txn.stage("id_mapping_this_run", mapping.id_mapping_this_run(edges, run))
+            store.upsert(table, schemas.KEYS[table], rows, deletes)
+
+    def updates_of(table: str, rows: DataFrame) -> DataFrame:
+        return store.stage_updates(table, schemas.KEYS[table], rows)
+
+    def observe() -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Sightings of the batch, its profiles, and their updates."""
+        observed = store.stage("observations", extract.observations(base, cfg))
+        if "identities" not in wanted:
+            return observed, None, None
+        seen = store.stage("identities_this_run", profile.identities_from(observed, cfg))
+        if not store.exists("identities"):
+            return observed, seen, seen
+        merged = profile.merge_identities(stored("identities"), seen, cfg)
+        return observed, seen, updates_of("identities", merged)
+
+    def merge() -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+        """Edges, child to root, stored rows with an absorbed parent, updates of the mapping."""
+        edges = store.stage("edges", extract.explode_merged(merge_events))
+        this_run = store.stage("id_mapping_this_run", mapping.id_mapping_this_run(edges, run))
+        if not store.exists("id_mapping"):
+            return edges, this_run, stored("id_mapping"), this_run
         before = stored("id_mapping")
-        affected = txn.stage("mapping_affected", mapping.snapshot_affected(before, this_run))
+        affected = store.stage("mapping_affected", mapping.snapshot_affected(before, this_run))
         updates = mapping.mapping_updates(
             before,
             this_run,
@@ -102,78 +121,89 @@ def apply_batch(
             compress_orphans=cfg.compress_orphans,
             only_newer=cfg.only_newer,
         )
-        upsert("id_mapping", updates, staged=updates is this_run)
-        return edges, this_run, affected
+        if updates is not this_run:
+            updates = updates_of("id_mapping", updates)
+        return edges, this_run, affected, updates
 
-    def record_changes(
-        edges: DataFrame, this_run: DataFrame, affected: DataFrame, seen: DataFrame
-    ) -> DataFrame:
+    def after(table: str, updates: DataFrame) -> DataFrame:
+        """The table as this run leaves it."""
+        if table not in updated or not store.exists(table):
+            return updates if table in updated else stored(table)
+        return upsert_ops.upsert_by_key(stored(table), updates, schemas.KEYS[table])
+
+    def record_changes(edges, this_run, affected, seen, profiles) -> DataFrame:
         recorded = None
         # meaningless when the log replays a batch the mapping is already past
-        if cfg.suppress_reemission and "id_mapping" in updated:
+        if cfg.suppress_reemission and "id_mapping" in updated and store.exists("id_mapping"):
             children = edges.select("identity_id")
             recorded = stored("id_mapping").join(children, "identity_id", "left_semi")
-        profiles = txn.read("identities")
         rows = changes.id_changes_this_run(
-            edges, this_run, affected, seen, profiles, run, recorded
+            edges, this_run, affected, seen, after("identities", profiles), run, recorded
         )
-        return txn.stage("id_changes_this_run", rows)
+        return store.stage("id_changes_this_run", rows)
 
     def update_log(changed: DataFrame) -> None:
-        upsert("id_changes", changes.merge_id_changes(stored("id_changes"), changed))
+        if store.exists("id_changes"):
+            changed = updates_of("id_changes", changes.merge_id_changes(stored("id_changes"), changed))
+        upsert("id_changes", changed)
 
     def update_history(changed: DataFrame, this_run: DataFrame) -> None:
+        if not store.exists("id_mapping_scd"):
+            none = history.scd_new_records(changed.where(F.lit(False)))
+            upsert("id_mapping_scd", history.scd_updates(none, changed, this_run))
+            return
         ids = own_shuffle(history.ids_affected(changed), "identity_id")
-        known = stored("id_mapping_scd").join(ids, "identity_id", "left_semi")
-        if txn.store.exists("id_mapping_scd"):
-            known = txn.stage("scd_history", known)
+        known = store.stage("scd_history", stored("id_mapping_scd").join(ids, "identity_id", "left_semi"))
         rows = history.scd_updates(known.select(*history.COLUMNS), changed, this_run)
         replaced = known.select("scd_key") if cfg.replace_affected else None
         if replaced is None:
             rows = upsert_ops.changed_rows(known, rows, "scd_key")
-        upsert("id_mapping_scd", rows, replaced)
+        upsert("id_mapping_scd", updates_of("id_mapping_scd", rows), replaced)
 
-    def update_lookup(observed: DataFrame, this_run: DataFrame) -> None:
-        after = txn.read("id_mapping", layouts["id_mapping"])
+    def update_lookup(observed: DataFrame, this_run: DataFrame, parents: DataFrame) -> None:
         identifiers = profile.identifiers_from(observed)
-        new = txn.stage(
-            "identifier_mapping_this_run",
-            lookup.identifier_mapping_this_run(identifiers, after, cfg),
+        now = after("id_mapping", parents)
+        new = store.stage(
+            "identifier_mapping_this_run", lookup.identifier_mapping_this_run(identifiers, now, cfg)
         )
-        if not txn.store.exists("identifier_mapping"):
-            upsert("identifier_mapping", new, staged=True)
+        if not store.exists("identifier_mapping"):
+            upsert("identifier_mapping", new)
             return
-        touched = txn.stage(
+        touched = store.stage(
             "identifier_mapping_affected",
-            lookup.affected_stored(stored("identifier_mapping"), after, this_run, new),
+            lookup.affected_stored(stored("identifier_mapping"), now, this_run, new),
         )
         rows = lookup.identifier_mapping_updates(touched, new)
         untouched = touched.where("not absorbed").withColumnRenamed("old_uuid", "uuid")
-        rows = upsert_ops.changed_rows(untouched, rows, "uuid")
+        rows = updates_of("identifier_mapping", upsert_ops.changed_rows(untouched, rows, "uuid"))
         upsert("identifier_mapping", rows, lookup.stale_rows(touched))
 
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with ThreadPoolExecutor(max_workers=6) as pool:
 
         def submit(step: Callable, *args: object) -> Future:
-            return pool.submit(inheritable_thread_target(txn.spark)(step), *args)
+            return pool.submit(inheritable_thread_target(store.spark)(step), *args)
 
         last: list[Future] = []
-        if "merge_events" in wanted:
+        if "merge_events" in updated:
             last.append(submit(upsert, "merge_events", merge_events))
         ids = submit(observe) if wanted & {"identities", "identifier_mapping"} else None
-        merges = submit(update_mapping) if "id_mapping" in wanted else None
+        merges = submit(merge) if "id_mapping" in wanted else None
         if merges:
-            edges, this_run, affected = merges.result()
+            edges, this_run, affected, parents = merges.result()
         if ids:
-            observed, seen = ids.result()
-        if "identifier_mapping" in wanted:
-            last.append(submit(update_lookup, observed, this_run))
+            observed, seen, profiles = ids.result()
+        if "identifier_mapping" in updated:
+            last.append(submit(update_lookup, observed, this_run, parents))
         if wanted & {"id_changes", "id_mapping_scd"}:
-            changed = record_changes(edges, this_run, affected, seen)
-            if "id_changes" in wanted:
+            changed = record_changes(edges, this_run, affected, seen, profiles)
+            if "id_changes" in updated:
                 last.append(submit(update_log, changed))
-            if "id_mapping_scd" in wanted:
+            if "id_mapping_scd" in updated:
                 last.append(submit(update_history, changed, this_run))
+        if "identities" in updated:  # nothing of this run reads the stored profiles any more
+            last.append(submit(upsert, "identities", profiles))
         for step in last:
             step.result()
+    if "id_mapping" in updated:
+        upsert("id_mapping", parents)
     return updated

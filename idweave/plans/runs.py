@@ -1,19 +1,18 @@
-"""Planning and executing runs against a store."""
+"""Planning and executing runs over the tables."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
-from idweave import schemas
 from idweave.config import IdentityConfig, RunContext
 from idweave.functions.columns import ntz_lit, utc_ntz
 from idweave.plans import manifest as mf
 from idweave.plans.batch import TABLES, apply_batch, closure, stage_batch
-from idweave.plans.store import TableStore, empty_table
+from idweave.plans.tables import IdentityTables
 from idweave.sources.events import (
     arrival_bounds,
     base_events_this_run,
@@ -23,28 +22,13 @@ from idweave.sources.events import (
 )
 
 
-def _time(text: str | None) -> datetime | None:
-    return datetime.fromisoformat(text) if text else None
-
-
-def load_manifest(store: TableStore) -> DataFrame:
+def load_manifest(store: IdentityTables) -> DataFrame:
     """The manifest as a table: first and last arrival time consumed per model."""
-    spans = store.state()["manifest"]
-    if not spans:
-        return empty_table(store.spark, schemas.MANIFEST)
-    rows = [
-        F.struct(
-            F.lit(model).alias("model"),
-            ntz_lit(_time(span["first"])).alias("first_success"),
-            ntz_lit(_time(span["last"])).alias("last_success"),
-        )
-        for model, span in sorted(spans.items())
-    ]
-    return store.spark.range(1).select(F.inline(F.array(*rows)))
+    return store.manifest()
 
 
 def plan_run(
-    store: TableStore,
+    store: IdentityTables,
     cfg: IdentityConfig,
     events: DataFrame,
     run_tstamp: datetime,
@@ -97,57 +81,53 @@ def _arrivals(events: DataFrame) -> Row:
 
 
 def execute(
-    store: TableStore,
+    store: IdentityTables,
     cfg: IdentityConfig,
     events: DataFrame,
     run: RunContext,
     outputs: Iterable[str] = TABLES,
-) -> int | None:
-    """Run one window and commit; None when the window holds nothing new."""
+) -> set[str] | None:
+    """Run one window; the tables it updated, None when the window holds nothing new."""
     return process(store, cfg, base_events_this_run(events, cfg, run), run.run_tstamp, outputs)
 
 
 def process(
-    store: TableStore,
+    store: IdentityTables,
     cfg: IdentityConfig,
     base: DataFrame,
     run_tstamp: datetime,
     outputs: Iterable[str] = TABLES,
     stream_batch: tuple[str, int] | None = None,
-) -> int | None:
-    """Stage a batch of base events, update the tables it is new for, and commit.
+) -> set[str] | None:
+    """Stage a batch of base events and update the tables it is new for; their names.
 
     A stream says itself what is new and passes ``stream_batch``; otherwise the
-    manifest decides per table.
+    manifest decides per table. The manifest, and then the stream's mark, are written
+    last: a run that breaks off before is run again and ends at the same rows.
     """
-    txn = store.begin()
-    try:
-        staged = stage_batch(txn, base, cfg)
-        span = arrival_bounds(staged).first()
-        if not span["events"]:
-            return None
-        first, last = span["first_load"], span["last_load"]
-        known = store.state()["manifest"]
-        due = closure(outputs)
-        if stream_batch is None:
-            due = {t for t in due if mf.has_new_events(_time(known.get(t, {}).get("last")), last)}
-        if not due:
-            return None
-        for table in apply_batch(txn, staged, cfg, RunContext(first, last, run_tstamp), due):
-            old = known.get(table)
-            txn.state["manifest"][table] = {
-                "first": min(first, _time(old["first"])).isoformat() if old else first.isoformat(),
-                "last": max(last, _time(old["last"])).isoformat() if old else last.isoformat(),
-            }
-        if stream_batch is not None:
-            txn.state["streams"][stream_batch[0]] = stream_batch[1]
-        return txn.commit()
-    finally:
-        txn.discard_staging()
+    arrived = Observation("arrived")
+    staged = stage_batch(store, base, cfg, arrived)
+    span = arrived.get
+    if not span["events"]:
+        return None
+    first, last = span["first_load"], span["last_load"]
+    due = closure(outputs)
+    if stream_batch is None:
+        known = {r["model"]: r["last_success"] for r in load_manifest(store).collect()}  # a row per model
+        due = {t for t in due if mf.has_new_events(known.get(t), last)}
+    if not due:
+        return None
+    updated = apply_batch(store, staged, cfg, RunContext(first, last, run_tstamp), due)
+    times = store.spark.range(1).select(F.explode(F.array(ntz_lit(first), ntz_lit(last))).alias("load_tstamp"))
+    ahead = load_manifest(store).where(F.col("model").isin(sorted(updated)))
+    store.write_manifest(mf.commit_manifest(ahead, times, updated))
+    if stream_batch is not None:
+        store.write_stream_batch(*stream_batch)
+    return updated
 
 
 def run_next(
-    store: TableStore,
+    store: IdentityTables,
     cfg: IdentityConfig,
     events: DataFrame,
     run_tstamp: datetime,
@@ -161,7 +141,7 @@ def run_next(
 
 
 def catch_up(
-    store: TableStore,
+    store: IdentityTables,
     cfg: IdentityConfig,
     events: DataFrame,
     run_tstamp: datetime,
@@ -174,18 +154,20 @@ def catch_up(
     return done
 
 
-def forget(store: TableStore, models: Iterable[str]) -> int:
+def forget(store: IdentityTables, models: Iterable[str]) -> None:
     """Remove models from the manifest so that they replay."""
-    txn = store.begin()
-    for model in models:
-        txn.state["manifest"].pop(model, None)
-    return txn.commit()
+    none = F.lit(None).cast("timestamp_ntz")
+    store.write_manifest(
+        store.spark.range(1).select(
+            F.explode(F.array(*[F.lit(m) for m in sorted(models)])).alias("model"),
+            none.alias("first_success"),
+            none.alias("last_success"),
+        )
+    )
 
 
-def full_refresh(store: TableStore, cfg: IdentityConfig) -> int:
-    """Empty all tables and the manifest; refused outside dev unless allowed."""
+def full_refresh(store: IdentityTables, cfg: IdentityConfig) -> None:
+    """Drop all tables and the manifest; refused outside dev unless allowed."""
     if not mf.full_refresh_allowed(cfg):
         raise PermissionError("full refresh needs allow_refresh=True outside the dev environment")
-    txn = store.begin()
-    txn.state["tables"], txn.state["manifest"], txn.state["streams"] = {}, {}, {}
-    return txn.commit()
+    store.drop_all()

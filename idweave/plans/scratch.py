@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from idweave.plans.tables import IdentityTables
+
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
@@ -24,3 +26,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="idweave-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scratch_tables(spark: SparkSession, name: str, buckets: int) -> IdentityTables:
+    """Tables of a new database that lies in a folder of :func:`scratch_dir`."""
+    folder = scratch_dir(spark, name)
+    return IdentityTables(spark, folder.rsplit("/", 1)[1].replace("-", "_"), folder, buckets)

@@ -10,25 +10,24 @@ from pyspark.sql.streaming import StreamingQuery
 
 from idweave.config import IdentityConfig
 from idweave.plans import runs
-from idweave.plans.store import TableStore
+from idweave.plans.tables import IdentityTables
 from idweave.sources.events import base_events_this_run
 
 
 def process_micro_batch(
-    store: TableStore,
+    store: IdentityTables,
     cfg: IdentityConfig,
     stream: str,
     events: DataFrame,
     batch_id: int,
     run_tstamp: datetime,
-) -> int | None:
-    """One micro-batch through the tables; a batch that is already committed is skipped.
+) -> set[str] | None:
+    """One micro-batch through the tables; a batch that is in them already is skipped.
 
-    The batch id is part of the commit, so a replay after a failure either finds
-    the batch done or starts from the state before it.
+    The batch id is written last, so a replay after a failure either finds the batch done
+    or goes through it again, which ends at the same rows.
     """
-    store.refresh()  # another attempt may have committed
-    if store.state()["streams"].get(stream, -1) >= batch_id:
+    if store.stream_batch(stream) >= batch_id:
         return None
     base = base_events_this_run(events, cfg)
     return runs.process(store, cfg, base, run_tstamp, stream_batch=(stream, batch_id))
@@ -37,7 +36,7 @@ def process_micro_batch(
 def stream_identities(
     spark: SparkSession,
     cfg: IdentityConfig,
-    store: TableStore,
+    store: IdentityTables,
     source: str,
     schema: T.StructType,
     checkpoint: str,

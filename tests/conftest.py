@@ -39,7 +39,7 @@ def table(spark):
     """Build a DataFrame from a schema and rows; 'DD HH:MM' text becomes a timestamp."""
     from pyspark.sql import types as T
 
-    from idweave.plans.store import empty_table
+    from idweave.plans.tables import empty_table
 
     def make(schema, rows):
         if not rows:

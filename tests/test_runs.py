@@ -1,4 +1,4 @@
-"""Store, manifest, run planning, publishing and the stream."""
+"""Manifest, run planning, publishing and the stream."""
 
 from datetime import datetime
 
@@ -8,8 +8,8 @@ from idweave import schemas
 from idweave.config import IdentityConfig, RunContext
 from idweave.plans import manifest as mf
 from idweave.plans import publish, runs
-from idweave.plans.scratch import scratch_dir
-from idweave.plans.store import TableStore, layout
+from idweave.plans.publish import layout
+from idweave.plans.scratch import scratch_dir, scratch_tables
 from idweave.sources.events import read_typed_csv
 from idweave.streaming.stream import process_micro_batch, stream_identities
 from tests.conftest import at
@@ -21,73 +21,7 @@ NOW = at("20 00:00")
 
 
 def new_store(spark, buckets=3):
-    return TableStore(spark, scratch_dir(spark, "store"), buckets)
-
-
-def put(store, rows, deletes=None):
-    txn = store.begin()
-    txn.upsert("t", "k", rows, deletes)
-    return txn.commit()
-
-
-def test_upsert_replaces_inserts_and_deletes(spark, table, rows):
-    store = new_store(spark)
-    assert store.state()["version"] == 0
-    put(store, table(KV, [("a", "1"), ("b", "1"), ("c", "1")]))
-    gone = table(KV, [("c", None)]).select("k")
-    put(store, table(KV, [("b", "2"), ("d", "2")]), gone)
-    want = [("a", "1"), ("b", "2"), ("d", "2")]
-    assert rows(store.read("t")) == want
-    assert rows(TableStore(spark, store.root).read("t")) == want
-
-
-def test_only_touched_buckets_are_rewritten(spark, table):
-    store = new_store(spark, buckets=16)
-    put(store, table(KV, [(str(i), "1") for i in range(100)]))
-    before = dict(store.state()["tables"]["t"]["parts"])
-    put(store, table(KV, [("7", "2")]))
-    after = store.state()["tables"]["t"]["parts"]
-    assert sum(before[b] != after[b] for b in before) == 1
-    assert store.read("t").count() == 100
-
-
-def test_new_column_is_appended(spark, table, rows):
-    store = new_store(spark)
-    put(store, table(KV, [("a", "1"), ("b", "1")]))
-    wider = schemas.T.StructType([*KV.fields, schemas.T.StructField("extra", schemas.STR)])
-    put(store, table(wider, [("b", "2", "x")]))
-    assert rows(store.read("t"), "k", "v", "extra") == [("a", "1", None), ("b", "2", "x")]
-
-
-def test_uncommitted_work_is_invisible(spark, table, rows):
-    store = new_store(spark)
-    put(store, table(KV, [("a", "1")]))
-    txn = store.begin()
-    txn.upsert("t", "k", table(KV, [("a", "2")]))
-    assert rows(txn.read("t")) == [("a", "2")]
-    assert rows(store.read("t")) == [("a", "1")]
-    put(store, table(KV, [("b", "1")]))  # a later run is not confused by the leftovers
-    assert rows(TableStore(spark, store.root).read("t")) == [("a", "1"), ("b", "1")]
-
-
-def test_every_row_deleted(spark, table, rows):
-    store = new_store(spark)
-    put(store, table(KV, [("a", "1")]))
-    put(store, table(KV, []), table(KV, [("a", None)]).select("k"))
-    assert rows(store.read("t")) == []
-
-
-def test_vacuum_keeps_what_recent_commits_use(spark, table, rows):
-    store = new_store(spark, buckets=4)
-    for n in range(4):
-        put(store, table(KV, [(str(i), str(n)) for i in range(12 if n == 0 else 3)]))
-    want = rows(store.read("t"))
-    gone = store.vacuum(keep=1)
-    assert any("/staging/" in g for g in gone) and any("/tables/" in g for g in gone)
-    assert rows(TableStore(spark, store.root).read("t")) == want
-    assert store.vacuum(keep=1) == []
-    put(store, table(KV, [("0", "9")]))
-    assert store.read("t").count() == 12
+    return scratch_tables(spark, "tables", buckets)
 
 
 def limits(spark, table, rows, spans, models=("a", "b")):
@@ -114,11 +48,12 @@ def test_full_refresh_guard(spark, table, rows):
     assert mf.full_refresh_allowed(IdentityConfig(environment="dev"))
     assert mf.full_refresh_allowed(IdentityConfig(allow_refresh=True))
     store = new_store(spark)
-    put(store, table(KV, [("a", "1")]))
+    store.upsert("t", "k", table(KV, [("a", "1")]))
+    store.write_manifest(table(schemas.MANIFEST, [("m", "01 00:00", "02 00:00")]))
     with pytest.raises(PermissionError):
         runs.full_refresh(store, CFG)
     runs.full_refresh(store, IdentityConfig(allow_refresh=True))
-    assert not store.exists("t") and store.state()["manifest"] == {}
+    assert not store.exists("t") and rows(runs.load_manifest(store)) == []
 
 
 EVENTS = [
@@ -169,17 +104,18 @@ def test_catch_up_crosses_a_gap_and_a_model_can_be_replayed(spark, table, rows):
 def test_only_some_tables(spark, table, rows):
     store, raw = new_store(spark), table(BASE, EVENTS)
     runs.catch_up(store, CFG, raw, NOW, ["identifier_mapping"])
-    assert sorted(store.state()["tables"]) == ["id_mapping", "identifier_mapping"]
+    made = [t for t in schemas.KEYS if store.exists(t)]
+    assert made == ["id_mapping", "identifier_mapping"]
     # the others join later from the start date and end up level
     runs.catch_up(store, CFG, raw, NOW)
     assert shown(store, rows) == WANT
 
 
-def test_empty_window_commits_nothing(spark, table):
+def test_empty_window_writes_nothing(spark, table):
     store, raw = new_store(spark), table(BASE, EVENTS)
     quiet = RunContext(at("05 00:00"), at("06 00:00"), NOW)
     assert runs.execute(store, CFG, raw, quiet) is None
-    assert store.state()["version"] == 0
+    assert not any(store.exists(t) for t in schemas.KEYS)
     assert runs.plan_run(store, IdentityConfig(start_date=at("25 00:00")), raw, NOW) is None
 
 
@@ -262,7 +198,7 @@ def test_views_and_export(spark, table, rows):
 
 def test_stream_gives_the_same_tables(spark, table, rows):
     root = scratch_dir(spark, "stream")
-    store = TableStore(spark, f"{root}/store", 2)
+    store = new_store(spark, 2)
     raw = table(BASE, EVENTS)
     for low, high in (("01 00:00", "02 10:30"), ("02 10:31", "13 00:00")):
         raw.where(
@@ -273,7 +209,7 @@ def test_stream_gives_the_same_tables(spark, table, rows):
         )
         query.awaitTermination()
     assert shown(store, rows) == WANT
-    assert store.state()["streams"] == {"default": 1}
+    assert store.stream_batch("default") == 1 and store.stream_batch("other") == -1
     # a batch that comes back after a failure is recognised
     assert process_micro_batch(store, CFG, "default", raw, 1, NOW) is None
     assert process_micro_batch(store, CFG, "default", raw.limit(0), 2, NOW) is None
