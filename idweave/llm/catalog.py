@@ -77,9 +77,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return line_rules.judge(docs).select(
-        "doc_id", *line_rules.FEATURES, "base_failed", "removed_words", "kept"
-    )
+    return line_rules.verdicts(docs, ["doc_id"])
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

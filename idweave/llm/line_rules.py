@@ -11,11 +11,11 @@ the host's hold it. Exact copies of a text count as one document, so a clean pag
 lost for having been copied. A document that would lose more than ``most_lost`` percent
 of its words is depleted and rejected.
 
-The frequent lines are (host, line) rows, as many as there are. The lines of the
-documents are joined with them on both columns, which leaves for each text of a host the
-frequent lines that it holds itself; the documents are then joined with that by host and
-hash of the text. Both are many-to-one joins that Spark can split for a hot line, host
-or text.
+One pass over the texts takes the features and, of every line with a word, its hash and its
+number of words; both are a written table. All that follows works on narrow rows: the lines
+of distinct texts, counted by (host, line), joined with the frequent ones on both columns
+and added up by (host, hash of the text). The joins are many-to-one, and Spark can split
+them for a hot line, host or text. Texts are only touched again where a line has to go.
 
 Defined cases: null text has no words and fails the base rules; null host is a host of
 its own; lines without a word are never counted or removed; a null or repeated doc_id
@@ -38,6 +38,8 @@ FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 LEAST_DOCS, PERCENT, MOST_LOST = 10, 10, 50
 ENOUGH_DOCS = 10
 LEAST_WORDS, MOST_REPEATED = 50, 50
+#: Texts with a frequent line, and such lines in all of them, that may be broadcast: about 64 MB.
+MOST_TEXTS, MOST_TEXT_LINES = 500_000, 2_000_000
 
 
 def words_of(text: Column) -> Column:
@@ -51,11 +53,13 @@ def normalised_line(line: Column) -> Column:
 
 
 def lines_of(text: Column) -> Column:
-    """Distinct normalised lines with a word, hashed."""
+    """Hash and number of words of each line with a word, in order."""
     # folded as a whole, which is one call per text; line ends stay
     folded = F.regexp_replace(F.translate(text, UPPER, LOWER), "[\\x20\\x09\\x0B-\\x0D]+", " ")
-    lines = F.transform(F.split(folded, "\n"), lambda x: F.trim(x))
-    return F.transform(F.array_distinct(F.filter(lines, lambda x: x != "")), lambda x: F.xxhash64(x))
+    lines = F.filter(F.transform(F.split(folded, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    # words are one space apart
+    n_words = lambda x: F.length(x) - F.length(F.translate(x, " ", "")) + 1
+    return F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("line"), n_words(x).alias("words")))
 
 
 def covered_words(windows: Column, n: Column) -> Column:
@@ -126,12 +130,39 @@ def with_base_rules(docs: DataFrame) -> DataFrame:
     ).drop("__text", "__words", "__windows", "__lines")
 
 
-def _lines_by_text(docs: DataFrame, host: str) -> DataFrame:
-    """(host, copy, lines): a row per document, with the hash of its text and those of its lines."""
-    return docs.select(
-        F.col(host).alias("host"),
-        F.xxhash64("text").alias("copy"),
-        lines_of(F.coalesce(F.col("text"), F.lit(""))).alias("lines"),
+def _host_and_copy(docs: DataFrame, host: str) -> list[Column]:
+    return [F.col(host).alias("__host"), F.xxhash64("text").alias("__copy")]
+
+
+def _measured(docs: DataFrame, host: str, carry: list[str]) -> DataFrame:
+    """``carry`` in a struct, the base features, host, hash of the text and its lines, written."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(
+        F.struct(*(docs[c] for c in carry)).alias("__row"), "text", *_host_and_copy(docs, host), lines_of(text).alias("__lines_in")
+    )
+    return _staged(with_base_rules(rows).drop("text"), "measured-lines")
+
+
+def _line_rows(measured: DataFrame) -> DataFrame:
+    """(host, copy, nth, line, words): the lines of each distinct text of a host."""
+    return measured.select(
+        F.col("__host").alias("host"), F.col("__copy").alias("copy"), F.posexplode("__lines_in").alias("nth", "r")
+    ).select("host", "copy", "nth", "r.line", "r.words").distinct()
+
+
+def _frequent(
+    lines: DataFrame, texts: DataFrame, least_docs: int, percent: int, enough_docs: int
+) -> DataFrame:
+    counted = lines.select("host", "copy", "line").distinct().groupBy("host", "line").agg(F.count("*").alias("docs"))
+    counted = counted.where(F.col("docs") > min(least_docs, enough_docs))
+    if enough_docs <= least_docs:  # the share adds nothing
+        return counted.select("host", "line")
+    total = texts.groupBy("host").agg(F.count_distinct("copy").alias("all_docs"))
+    share = (F.col("docs") > least_docs) & (F.col("docs") * 100 > F.col("all_docs") * percent)
+    return (
+        counted.join(total, counted["host"].eqNullSafe(total["host"]))
+        .where((F.col("docs") > enough_docs) | share)
+        .select(counted["host"].alias("host"), "line")
     )
 
 
@@ -143,18 +174,10 @@ def frequent_lines(
     enough_docs: int = ENOUGH_DOCS,
 ) -> DataFrame:
     """(host, line): the hashes of lines that too many of a host's documents hold."""
-    texts = _lines_by_text(docs, host)
-    # outer, as the filter on its size that a plain explode gets would split the texts again
-    held = texts.select("host", "copy", F.explode_outer("lines").alias("line")).distinct()
-    lines = held.where("line is not null").groupBy("host", "line").agg(F.count("*").alias("docs"))
-    lines = lines.where(F.col("docs") > min(least_docs, enough_docs))
-    total = texts.select("host", "copy").distinct().groupBy("host").agg(F.count("*").alias("all_docs"))
-    share = (F.col("docs") > least_docs) & (F.col("docs") * 100 > F.col("all_docs") * percent)
-    return (
-        lines.join(total, lines["host"].eqNullSafe(total["host"]))
-        .where((F.col("docs") > enough_docs) | share)
-        .select(lines["host"].alias("host"), "line")
-    )
+    lines = lines_of(F.coalesce(F.col("text"), F.lit(""))).alias("__lines_in")
+    rows = docs.select(*_host_and_copy(docs, host), lines)
+    texts = rows.select(F.col("__host").alias("host"), F.col("__copy").alias("copy"))
+    return _frequent(_line_rows(rows), texts, least_docs, percent, enough_docs)
 
 
 def _staged(df: DataFrame, name: str) -> DataFrame:
@@ -164,15 +187,54 @@ def _staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def _frequent_by_text(docs: DataFrame, frequent: DataFrame, host: str) -> DataFrame:
-    """(__host, __copy, frequent): per distinct text of a host the frequent lines in it, if any."""
-    held = _lines_by_text(docs, host).select("host", "copy", F.explode_outer("lines").alias("line"))
-    often = frequent.select(F.col("host").alias("__host"), F.col("line").alias("__line"))
-    return (
-        held.join(often, held["host"].eqNullSafe(F.col("__host")) & (held["line"] == F.col("__line")))
-        .groupBy(held["host"].alias("__host"), F.col("copy").alias("__copy"))
-        .agg(F.collect_set("line").alias("frequent"))
+def _judged(
+    docs: DataFrame, host: str, least_docs: int, percent: int, most_lost: int, enough_docs: int, carry: list[str]
+) -> DataFrame:
+    """``carry`` in a struct, features, base_failed, removed_words, kept and the frequent lines held."""
+    measured = _measured(docs, host, carry)
+    lines = _staged(_line_rows(measured), "lines")
+    texts = measured.select(F.col("__host").alias("host"), F.col("__copy").alias("copy"))
+    often = _staged(_frequent(lines, texts, least_docs, percent, enough_docs), "frequent-lines")
+    often = often.select(F.col("host").alias("__often_host"), F.col("line").alias("__often_line"))
+    found = _staged(
+        lines.join(often, lines["host"].eqNullSafe(F.col("__often_host")) & (lines["line"] == F.col("__often_line")))
+        .groupBy(F.col("host").alias("__in_host"), F.col("copy").alias("__in_copy"))
+        .agg(F.sum("words").cast("long").alias("removed"), F.collect_set("line").alias("__cut")),
+        "frequent-by-text",
     )
+    size = found.agg(F.count("*").alias("texts"), F.sum(F.size("__cut")).alias("lines")).first()
+    if size["texts"] <= MOST_TEXTS and (size["lines"] or 0) <= MOST_TEXT_LINES:
+        found = F.broadcast(found)
+    same = F.col("__host").eqNullSafe(F.col("__in_host")) & (F.col("__copy") == F.col("__in_copy"))
+    removed = F.coalesce("removed", F.lit(0).cast("long"))
+    return measured.drop("__lines_in").join(found, same, "left").select(
+        "__row",
+        *FEATURES,
+        "base_failed",
+        removed.alias("removed_words"),
+        (~F.col("base_failed") & (removed * 100 <= F.col("n_words") * most_lost)).alias("kept"),
+        "__cut",
+    )
+
+
+def _clean_text() -> Column:
+    text, cut = F.col("__row")["text"], F.col("__cut")
+    keeps = lambda x: ~F.array_contains(cut, F.xxhash64(normalised_line(x))) | (normalised_line(x) == "")
+    return F.when(cut.isNotNull(), F.array_join(F.filter(F.split(text, "\n"), keeps), "\n")).otherwise(text)
+
+
+def verdicts(
+    docs: DataFrame,
+    carry: list[str],
+    host: str = "source",
+    least_docs: int = LEAST_DOCS,
+    percent: int = PERCENT,
+    most_lost: int = MOST_LOST,
+    enough_docs: int = ENOUGH_DOCS,
+) -> DataFrame:
+    """Per row of ``docs`` the columns ``carry``, the base features, base_failed, removed_words and kept."""
+    judged = _judged(docs, host, least_docs, percent, most_lost, enough_docs, carry)
+    return judged.select(*(F.col("__row")[c].alias(c) for c in carry), *FEATURES, "base_failed", "removed_words", "kept")
 
 
 def judge(
@@ -184,42 +246,16 @@ def judge(
     enough_docs: int = ENOUGH_DOCS,
 ) -> DataFrame:
     """``docs`` with the base features, base_failed, removed_words, clean_text and kept."""
-    frequent = _staged(frequent_lines(docs, host, least_docs, percent, enough_docs), "frequent-lines")
-    found = _staged(_frequent_by_text(docs, frequent, host), "frequent-by-text")
-    added = ("removed_words", "clean_text", "kept")
-    same = docs[host].eqNullSafe(F.col("__host")) & (F.xxhash64(docs["text"]) == F.col("__copy"))
-    joined = docs.drop(*added).join(found, same, "left").drop("__host", "__copy")
-    based = with_base_rules(joined)
-    cut = F.coalesce(F.col("frequent"), F.array().cast("array<bigint>"))
-    is_cut = lambda line: F.array_contains(cut, F.xxhash64(normalised_line(line))) & (normalised_line(line) != "")
-    lines = F.split("text", "\n")
-    gone = F.when(F.size(cut) > 0, F.filter(lines, is_cut))
-    based = based.withColumn("__gone", F.coalesce(gone, F.array().cast("array<string>")))
-    lost = F.aggregate(
-        "__gone", F.lit(0).cast("long"), lambda acc, x: acc + F.size(words_of(x)).cast("long")
-    )
-    clean = F.when(
-        F.size("__gone") > 0, F.array_join(F.filter(lines, lambda x: ~is_cut(x)), "\n")
-    ).otherwise(F.col("text"))
-    return (
-        based.withColumn("removed_words", lost)
-        .withColumn("clean_text", clean)
-        .withColumn(
-            "kept",
-            ~F.col("base_failed") & (F.col("removed_words") * 100 <= F.col("n_words") * most_lost),
-        )
-        .drop("__gone", "frequent")
-    )
+    added = [*FEATURES, "base_failed", "removed_words", "clean_text", "kept"]
+    judged = _judged(docs, host, least_docs, percent, most_lost, enough_docs, docs.columns)
+    judged = judged.withColumn("clean_text", _clean_text())
+    return judged.select(*(F.col("__row")[c].alias(c) for c in docs.columns if c not in added), *added)
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """The kept documents with the frequent lines cut from their text; n_chars follows."""
-    judged = judge(docs.withColumn("__row", F.struct(*docs.columns))).select("__row", "clean_text", "kept")
-    # written before the filter, which the optimiser would move below the features and then
-    # evaluate them again for every word
-    folder = scratch_dir(docs.sparkSession, "judged")
-    judged.write.parquet(folder)
-    kept = docs.sparkSession.read.schema(judged.schema).parquet(folder).where("kept")
+    judged = _judged(docs, "source", LEAST_DOCS, PERCENT, MOST_LOST, ENOUGH_DOCS, docs.columns)
+    kept = judged.where("kept").withColumn("clean_text", _clean_text())
     new = {"text": F.col("clean_text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length("clean_text").cast(docs.schema["n_chars"].dataType)

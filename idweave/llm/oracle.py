@@ -55,13 +55,11 @@ with d as (
     'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as norm from raw
 ), lines as (select * from ln where norm <> ''
 ), dup as (select r, count(*) - count(distinct line) as n from lines group by r
-), hosts as (select source, count(distinct t) as all_docs from d group by 1
 ), freq as (
-  select source, norm from (select source, norm, count(distinct t) as n from lines group by 1, 2)
-  join hosts using (source) where n > 10 and n * 100 > all_docs * 10
+  select source, norm from lines group by 1, 2 having count(distinct t) > 10
 ), lost as (
   select r, sum(len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> ''))) as n
-  from lines join freq using (source, norm) group by r
+  from lines join freq on lines.source is not distinct from freq.source and lines.norm = freq.norm group by r
 ), f as (
   select doc_id, len(w)::bigint as n_words,
     length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::bigint as word_chars,
