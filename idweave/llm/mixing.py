@@ -37,6 +37,7 @@ SEED, EPOCHS = 17, 4
 RANGE_ROWS = 4096
 HASH_SPACE = 1 << 60
 LEVELS = ("domain", "lang", "source")
+_BETWEEN, _INSIDE = "[\\x20\\x09-\\x0D]", "[^\\x20\\x09-\\x0D]"
 ADDED = ("domain", "n_tokens", "leaf_budget", "full_epochs", "taken_tokens")
 
 
@@ -169,7 +170,7 @@ def mixed(
             "full_epochs", F.when(F.col("tokens") > 0, F.expr("leaf_budget div tokens")).otherwise(F.lit(0))
         )
         .withColumn("__part", F.col("leaf_budget") - F.col("full_epochs") * F.col("tokens"))
-        .withColumn("__width", F.expr(f"({HASH_SPACE} div greatest(1, docs div {RANGE_ROWS})) + 1"))
+        .withColumn("__width", F.expr(f"({HASH_SPACE} div ((docs + {RANGE_ROWS - 1}) div {RANGE_ROWS})) + 1"))
         .select("__leaf", "leaf_budget", "full_epochs", "__part", "__width")
     )
     # written, so that its size is known when the documents are joined with it
@@ -200,15 +201,33 @@ def mixed(
     )
 
 
+def token_prefix(text: Column, n: Column) -> Column:
+    """The text up to the end of its ``n``-th token."""
+    # each piece is a token and the separators after it; separators before the first are one more
+    pieces = F.split(text, f"(?<={_BETWEEN})(?={_INSIDE})")
+    led = F.length(F.regexp_replace(F.substring(text, 1, 1), _BETWEEN, "")) == 0
+    taken = F.array_join(F.slice(pieces, F.lit(1), (n + led.cast("int")).cast("int")), "")
+    return F.regexp_replace(taken, f"{_BETWEEN}+$", "")
+
+
 def repeated_by_epoch(docs: DataFrame, budget: int | str, **options) -> DataFrame:
     """The documents of every epoch with the columns of ``docs``: one row for each time one is read.
 
-    A document that the budget cuts is read whole the last time.
+    A document that the budget cuts is cut to its token prefix the last time, and its
+    n_chars, if there is that column, follows.
     """
     kept = docs.withColumn("__row", F.struct(*docs.columns))
     got = mixed(kept, budget, **options)
-    times = F.col("full_epochs") + F.when(
-        F.col("taken_tokens") > F.col("full_epochs") * F.col("n_tokens"), 1
-    ).otherwise(0)
-    rows = got.where(times > 0).select("__row", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
-    return rows.select(*(F.col("__row")[c].alias(c) for c in docs.columns))
+    rest = F.col("taken_tokens") - F.col("full_epochs") * F.col("n_tokens")
+    times = F.col("full_epochs") + (rest > 0).cast("int")
+    rows = got.where(times > 0).select(
+        "__row", rest.alias("__rest"), "full_epochs", "n_tokens", F.explode(F.sequence(F.lit(1), times.cast("int"))).alias("__nth")
+    )
+    is_cut = (F.col("__nth") > F.col("full_epochs")) & (F.col("__rest") < F.col("n_tokens"))
+    text = F.col("__row")["text"]
+    rows = rows.withColumn("__text", F.when(is_cut, token_prefix(text, F.col("__rest"))).otherwise(text))
+    new = {"text": F.col("__text")}
+    if "n_chars" in docs.columns:
+        n_chars = F.col("__row")["n_chars"]
+        new["n_chars"] = F.when(is_cut, F.length("__text").cast(docs.schema["n_chars"].dataType)).otherwise(n_chars)
+    return rows.select(*((new[c] if c in new else F.col("__row")[c]).alias(c) for c in docs.columns))

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import defaultdict
 from fractions import Fraction
 
@@ -105,6 +106,31 @@ def test_repeated_by_epoch(spark):
     assert none == 0
 
 
+def test_the_last_reading_is_cut_to_its_prefix(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars int"
+    texts = ["a b c d", "  aa\t\nbb  cc ", None, "", "x" * 10, "one two three four five six seven "]
+    rows = [(i, t, "en", "s1", 99) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, schema)
+    words = lambda t: re.findall("[^ \t-\r]+", t or "")
+    total = sum(len(words(t)) for t in texts)
+    for budget in (0, 1, 5, 7, total - 1, total + 3, 2 * total + 1):
+        out = mixing.repeated_by_epoch(df, budget, epochs=2).collect()
+        assert sum(len(words(r.text)) for r in out) == min(budget, 2 * total)
+        cut = [r for r in out if r.text != texts[r.doc_id]]
+        assert len(cut) <= 1
+        for r in cut:
+            assert texts[r.doc_id].startswith(r.text) and r.n_chars == len(r.text)
+            assert words(r.text) == words(texts[r.doc_id])[: len(words(r.text))] and r.text[-1:].strip()
+
+
+def test_very_long_texts(spark):
+    long = " ".join(f"w{i}" for i in range(200_000))
+    df = spark.createDataFrame([(1, long, "en", "s1"), (2, "a b", "en", "s1")], SCHEMA.split(", domain")[0])
+    (r,) = mixing.mixed(df, 150_000, epochs=1).where("doc_id = 1").collect()
+    read = {x.doc_id: len(x.text.split()) for x in mixing.repeated_by_epoch(df, 150_000, epochs=1).collect()}
+    assert read[1] == r.taken_tokens and sum(read.values()) == 150_000
+
+
 def test_leaves_without_weight_are_no_supply(spark):
     rows = [("domain0", "en", "bad", 900), ("domain0", "en", "good", 100), ("domain0", "de", "good", 1000)]
     leaves = spark.createDataFrame(rows, "domain string, lang string, source string, tokens long")

@@ -65,10 +65,10 @@ def test_exact_and_near(stages):
 
 def test_mixing_and_packing(stages):
     rows, _ = stages
-    assert {r for r in rows[4]} <= {r for r in rows[3]}
+    texts = {r[0]: r for r in rows[3]}
+    assert all(texts[r[0]][1].startswith(r[1]) and texts[r[0]][2:4] == r[2:4] and r[4] == len(r[1]) for r in rows[4])
     tokens = sum(len(r[1].split()) for r in rows[3])
-    read = sum(len(r[1].split()) for r in rows[4])
-    assert tokens * 4 // 5 <= read <= tokens * 4 // 5 + 20 * 300
+    assert sum(len(r[1].split()) for r in rows[4]) == tokens * 4 // 5
     pieces = rows[5]
     by_doc = defaultdict(int)
     for doc_id, _, length, *_ in pieces:
