@@ -26,7 +26,7 @@ from idweave.plans.scratch import scratch_dir, scratch_tables
 from idweave.plans.publish import write_full
 from idweave.plans.tables import IdentityTables, buckets_for
 from idweave.sources import events as src
-from idweave.streaming.stream import stream_identities
+from idweave.streaming.stream import active_as_of_stream, first_deliveries, stream_identities
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -222,12 +222,12 @@ class Steps:
         return history.scd_updates(empty, self.changed(n), self.this_run(n))
 
 
-def fold(spark: SparkSession, sf_dir: str, *outputs: str) -> IdentityTables:
+def fold(spark: SparkSession, sf_dir: str, *outputs: str, cfg: IdentityConfig = CONFIG) -> IdentityTables:
     """The tables after the three arrival windows, those that ``outputs`` need."""
     raw = feed.raw_events(spark, sf_dir)
     store = scratch_tables(spark, "fold", buckets_for(raw.count()))
     for run in BATCHES:
-        runs.execute(store, CONFIG, raw, run, outputs)
+        runs.execute(store, cfg, raw, run, outputs)
     return store
 
 
@@ -331,6 +331,60 @@ def parse_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "parse_variants",
+    """
+    select p.event_id,
+      case when r.n % 5 <> 0 then if(r.n % 5 = 2, cast(r.n as varchar), p.identity_id) end as identity_id,
+      case when r.n % 5 not in (0, 3) then p.created_at end as created_at,
+      case when r.n % 5 <> 0 then concat('p', r.n) end as parent_id,
+      case when r.n % 5 <> 0 then concat('c', r.n) end as child_id,
+      case when r.n % 5 <> 0 then p.derived_tstamp end as merged_at
+    from page_copies p
+    join (select concat('e', event_id) as event_id, event_id as n from events) r using (event_id)
+    """,
+)
+def parse_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contexts with added fields, an id that is a number, a time that isn't one, and broken text."""
+
+    def iso(c: str) -> Column:
+        return F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+
+    pages = feed.page_events(spark, sf_dir).withColumns(
+        {"n": F.substring("event_id", 2, 30).cast("long"), "ctx": F.col("identity_context")[0]}
+    )
+    pages = pages.withColumn("created_at", F.col("ctx.created_at"))
+    quoted = F.concat(F.lit('"'), "ctx.identity_id", F.lit('"'))
+    identity = F.when(F.col("n") % 5 == 2, F.col("n").cast("string")).otherwise(quoted)
+    created = F.when(F.col("n") % 5 == 3, F.lit("not a time")).otherwise(iso("created_at"))
+    broken = F.col("n") % 5 == 0
+    text = pages.select(
+        "event_id",
+        F.when(broken, F.lit("[{broken"))
+        .otherwise(F.format_string('[{"identity_id":%s,"created_at":"%s","added":{"a":[1,2]}}]', identity, created))
+        .alias("identity_context"),
+        F.when(broken, F.lit("not json"))
+        .otherwise(
+            F.format_string(
+                '{"identity_id":"p%d","version":3,"merged":[{"identity_id":"c%d","created_at":"%s",'
+                '"merged_at":"%s","triggering_event_id":7,"more":null}],"merges":["c%d"]}',
+                "n", "n", created, iso("derived_tstamp"), "n",
+            )
+        )
+        .alias("identity_merge"),
+    )
+    parsed = extract.identity_fields(src.parse_variant_contexts(text, CONFIG), CONFIG)
+    child = F.get(F.col("identity_merge.merged"), F.lit(0))
+    return parsed.select(
+        "event_id",
+        "identity_id",
+        "created_at",
+        F.col("identity_merge.identity_id").alias("parent_id"),
+        child["identity_id"].alias("child_id"),
+        child["merged_at"].alias("merged_at"),
+    )
+
+
 # --- table maintenance --------------------------------------------------------------
 
 
@@ -499,10 +553,7 @@ def run_limits_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def new_events_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = feed.page_events(spark, sf_dir).agg(F.max("load_tstamp").alias("newest"))
-    # one row per model comes to the driver, as in a run
-    rows = _manifest(spark, sf_dir).join(newest).collect()
-    due = [(r["model"], mf.has_new_events(r["last_success"], r["newest"])) for r in rows]
-    return spark.createDataFrame(due, "model string, is_due boolean")
+    return mf.due_models(_manifest(spark, sf_dir), newest)
 
 
 @register(
@@ -661,6 +712,74 @@ def id_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold(spark, sf_dir, "id_mapping").read("id_mapping")
 
 
+def with_cycles(edges: DataFrame) -> DataFrame:
+    """Edges and, of some, the same the other way round, so that there are cycles to close."""
+    back = edges.where("triggering_event_id like '%3'").select(
+        F.col("identity_id").alias("active_identity_id"),
+        F.col("active_identity_id").alias("identity_id"),
+        "merged_at",
+        "triggering_event_id",
+    )
+    return edges.unionByName(back)
+
+
+def closed_sql(edges: str) -> str:
+    """Recursive: the end of each chain, or the least id of the cycle it runs into."""
+    return f"""
+    select identity_id, root as active_identity_id from (
+      with recursive step as (
+        select identity_id, arg_max(active_identity_id, row(merged_at, active_identity_id)) as parent
+        from ({edges}) group by 1
+      ), reach as (
+        select identity_id as start, parent as node from step
+        union select r.start, s.parent from reach r join step s on s.identity_id = r.node
+      ), round as (select start as node from reach where start = node)
+      select r.start as identity_id, coalesce(
+        min(r.node) filter (r.node not in (select identity_id from step)),
+        min(r.node) filter (r.node in (select node from round))) as root
+      from reach r group by 1
+    ) where root <> identity_id"""
+
+
+CYCLES_SQL = """
+    select active_identity_id, identity_id, merged_at from edges_0 union all
+    select identity_id, active_identity_id, merged_at from edges_0 where triggering_event_id like '%3'"""
+
+
+@register(
+    "id_mapping_closed",
+    f"""select 'chains' as kind, * from ({closed_sql("select * from edges_0")}) union all
+        select 'cycles' as kind, * from ({closed_sql(CYCLES_SQL)})""",
+)
+def id_mapping_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every id at the end of its chain; payloads needn't be cumulative, and cycles get a root."""
+    s = Steps(spark, sf_dir)
+    none = s.this_run(0).limit(0)
+    out = None
+    for kind, edges in (("chains", s.edges(0)), ("cycles", with_cycles(s.edges(0)))):
+        rows = mapping.closed_mapping_this_run(
+            edges, none, WHOLE, lambda name, df, k=kind: s.staged(f"{k}_{name}", lambda: df)
+        )
+        rows = rows.select(F.lit(kind).alias("kind"), "identity_id", "active_identity_id")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+CLOSED = IdentityConfig(
+    identifiers=CONFIG.identifiers,
+    start_date=CONFIG.start_date,
+    backfill_limit_days=CONFIG.backfill_limit_days,
+    close_roots=True,
+)
+
+
+@register("id_mapping_closed_incremental", closed_sql("select * from edges_0"))
+def id_mapping_closed_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over three arrival windows on stored state, where a chain grows from batch to batch."""
+    store = fold(spark, sf_dir, "id_mapping", cfg=CLOSED)
+    return store.read("id_mapping").select("identity_id", "active_identity_id")
+
+
 # --- changes ------------------------------------------------------------------------
 
 
@@ -995,6 +1114,37 @@ def diff_tables(s: Steps, n: int) -> DataFrame:
     return quality.diff_tables(s.mapping(n), s.mapping(n - 1))
 
 
+@register(
+    "diff_by_checksum",
+    later_batches(
+        lambda n: f"""
+        select {MAP}, if(count(*) filter (w = 1) > count(*) filter (w = 0), 'left', 'right') as side,
+          abs(sum(2 * w - 1))::bigint as copies
+        from (select {MAP}, 1 as w from map_{n} union all select {MAP}, 0 from map_{n - 1})
+        group by {MAP} having sum(2 * w - 1) <> 0"""
+    ),
+)
+@in_later_batches
+def diff_by_checksum(s: Steps, n: int) -> DataFrame:
+    return quality.diff_by_checksum(s.mapping(n), s.mapping(n - 1))
+
+
+@register(
+    "write_metrics",
+    """select count(*) as n_rows, count(*) filter (user_id is null) as null_user_id,
+         count(*) filter (network_userid is null) as null_network_userid,
+         min(load_tstamp) as first_at, max(load_tstamp) as last_at from pages_unique""",
+)
+def write_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pass that writes the deduplicated events observes."""
+    pages = src.dedupe_events(src.project_events(feed.page_events(spark, sf_dir), CONFIG))
+    seen = quality.write_with_metrics(
+        pages, scratch_dir(spark, "metrics"), ["user_id", "network_userid"], "load_tstamp"
+    )
+    shape = "n_rows long, null_user_id long, null_network_userid long, first_at timestamp_ntz, last_at timestamp_ntz"
+    return spark.createDataFrame([seen], shape)
+
+
 @register(
     "cyclic_ids",
     """select distinct identity_id from edges_0
@@ -1060,6 +1210,82 @@ def export_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select(*cols(LOG), "effective_at_date")
 
 
+def deliveries(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Page events in three deliveries; a copy comes one delivery after its original."""
+    pages = feed.page_events(spark, sf_dir).withColumn(
+        "delivery",
+        F.when(F.col("load_tstamp") < ntz_lit(BATCHES[1].lower), 1)
+        .when(F.col("load_tstamp") < ntz_lit(BATCHES[2].lower), 2)
+        .otherwise(3)
+        + (F.col("app_id") == "copy").cast("int"),
+    )
+    return pages.select("event_id", "app_id", "identity_context", "derived_tstamp", "delivery")
+
+
+def delivered(spark: SparkSession, rows: DataFrame, root: str, make: Callable[[DataFrame], DataFrame], last: int) -> DataFrame:
+    """The rows that a stream over the deliveries has written, each consumed before the next lands."""
+    for n in range(1, last + 1):
+        rows.where(F.col("delivery") == n).write.mode("append").parquet(f"{root}/landing")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/landing")
+        query = (
+            make(stream)
+            .writeStream.format("parquet")
+            .option("path", f"{root}/out")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    return spark.read.schema(make(rows).schema).parquet(f"{root}/out")
+
+
+@register(
+    "stream_first_deliveries",
+    """
+    select * from (with d as (
+      select *, case when load_tstamp < timestamp '2024-01-11' then 1 when load_tstamp < timestamp '2024-01-21' then 2
+        else 3 end + if(app_id = 'copy', 1, 0) as delivery from page_copies
+    ), w as (
+      select n.delivery, date_trunc('milliseconds', max(e.derived_tstamp)) - interval 5 day as mark
+      from (select distinct delivery from d) n join d e on e.delivery < n.delivery group by 1
+    )
+    select event_id, app_id, identity_id, derived_tstamp, delivery from d left join w using (delivery)
+    where mark is null or derived_tstamp > mark
+    qualify row_number() over (partition by event_id order by delivery) = 1)
+    """,
+)
+def stream_first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies in later deliveries go; what is more than five days behind is late and goes too."""
+    root = scratch_dir(spark, "deliveries")
+    rows = deliveries(spark, sf_dir, root)
+    got = delivered(spark, rows, root, lambda s: first_deliveries(s, "5 days"), 4)
+    return got.select(
+        "event_id", "app_id", F.col("identity_context")[0]["identity_id"].alias("identity_id"), "derived_tstamp", "delivery"
+    )
+
+
+@register(
+    "stream_point_in_time",
+    """
+    select p.event_id, p.identity_id, p.derived_tstamp, s.active_identity_id
+    from page_copies p join scd_0 s on s.identity_id = p.identity_id
+      and s.effective_at <= p.derived_tstamp
+      and (s.superseded_at is null or s.superseded_at > p.derived_tstamp)
+    where p.app_id <> 'copy'
+    """,
+)
+def stream_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts that arrive in three deliveries, each looked up in the saved history at its own time."""
+    s = Steps(spark, sf_dir)
+    scd = s.staged("scd", lambda: s.scd_first(0))
+    root = scratch_dir(spark, "deliveries")
+    facts = deliveries(spark, sf_dir, root).where("app_id <> 'copy'").select(
+        "event_id", F.col("identity_context")[0]["identity_id"].alias("identity_id"), "derived_tstamp", "delivery"
+    )
+    got = delivered(spark, facts, root, lambda f: active_as_of_stream(f.drop("delivery"), scd, "derived_tstamp"), 3)
+    return got.select("event_id", "identity_id", "derived_tstamp", "active_identity_id")
+
+
 @register("typed_csv", f"select {MAP} from idm_0")
 def typed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mapping of the whole stream written as CSV and read with its schema."""

@@ -73,6 +73,7 @@ class IdentityConfig:
     compress_orphans: bool = False
     only_newer: bool = False
     replace_affected: bool = False
+    close_roots: bool = False
 
     def __post_init__(self) -> None:
         aliases = [i.alias.upper() for i in self.identifiers]

@@ -126,14 +126,10 @@ def fold_history(new: DataFrame, history: DataFrame) -> DataFrame:
     return _folded_columns(folded.where(F.col("only_stored") == 0))
 
 
-def affected_stored(
-    stored: DataFrame, mapping: DataFrame, this_run: DataFrame, new: DataFrame
-) -> DataFrame:
-    """Stored rows the run can touch, resolved, with ``old_uuid`` and ``absorbed``.
+def touched_ids(mapping: DataFrame, this_run: DataFrame, new: DataFrame) -> DataFrame:
+    """Active ids whose stored rows the run can touch, with ``absorbed`` and ``parent``.
 
-    They are the rows of ids seen in the batch, of ids absorbed by it and of the
-    ids they move to. Everything else in the table stays as it is and is only
-    read for its key.
+    They are the ids seen in the batch, the ids absorbed by it and the ids they move to.
     """
     absorbed = this_run.select(
         F.col("identity_id").alias("active_identity_id"), F.lit(True).alias("absorbed")
@@ -151,10 +147,22 @@ def affected_stored(
         F.col("active_identity_id").alias("parent"),
     )
     # one small table per id: is it touched, was it absorbed, who is its parent
-    facts = ids.join(absorbed, "active_identity_id", "left").join(
-        parents, "active_identity_id", "left"
-    )
-    facts = own_shuffle(facts, "active_identity_id")
+    return ids.join(absorbed, "active_identity_id", "left").join(parents, "active_identity_id", "left")
+
+
+def affected_stored(
+    stored: DataFrame, mapping: DataFrame, this_run: DataFrame, new: DataFrame
+) -> DataFrame:
+    """Stored rows the run can touch, resolved, with ``old_uuid`` and ``absorbed``.
+
+    Everything else in the table stays as it is and is only read for its key.
+    """
+    return stored_of(stored, touched_ids(mapping, this_run, new))
+
+
+def stored_of(stored: DataFrame, touched: DataFrame) -> DataFrame:
+    """:func:`affected_stored` from the ids of :func:`touched_ids`."""
+    facts = own_shuffle(touched, "active_identity_id")
     return stored.join(facts, "active_identity_id").select(
         F.col("uuid").alias("old_uuid"),
         F.coalesce("parent", "active_identity_id").alias("active_identity_id"),

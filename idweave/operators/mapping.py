@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,6 +114,78 @@ def orphan_rows(affected: DataFrame, this_run: DataFrame) -> DataFrame:
     )
 
 
+def close_to_roots(pointers: DataFrame, written: Callable[[str, DataFrame], DataFrame]) -> DataFrame:
+    """(identity_id, root_id): where the chain of every id ends.
+
+    ``pointers`` has one (identity_id, active_identity_id) per id. Each round an id takes
+    the pointer of its pointer, so a chain of n steps takes log2(n) rounds; ``written`` makes
+    a table of a round's result. What still points at an id with a pointer after more steps
+    than there are ids goes round a cycle: its root is the smallest id of the cycle,
+    which has no row of its own. Joins are many-to-one, and a parent with very many children
+    can be split.
+    """
+    step = 0
+    steps = written(
+        "closure_0",
+        pointers.where("identity_id is not null and active_identity_id is not null and identity_id <> active_identity_id").select(
+            "identity_id", F.col("active_identity_id").alias("at"), F.col("active_identity_id").alias("least")
+        ),
+    )
+    n = steps.count()
+    while True:
+        onward = steps.select(
+            F.col("identity_id").alias("at"), F.col("at").alias("next"), F.col("least").alias("next_least")
+        )
+        if 2**step > n:  # more steps than ids: what is still open goes round
+            break
+        if steps.join(own_shuffle(onward.select("at"), "at"), "at", "left_semi").isEmpty():
+            break
+        step += 1
+        moved = steps.join(own_shuffle(onward, "at"), "at", "left")
+        steps = written(
+            f"closure_{step}",
+            moved.select(
+                "identity_id", F.coalesce("next", "at").alias("at"), F.least("least", "next_least").alias("least")
+            ),
+        )
+    # an id on a cycle has seen all of it; an id that leads to one takes what its pointer has seen
+    around = own_shuffle(steps.select(F.col("identity_id").alias("at"), F.col("least").alias("root")), "at")
+    return (
+        steps.select("identity_id", "at")
+        .join(around, "at", "left")
+        .select("identity_id", F.coalesce("root", "at").alias("root_id"))
+        .where("identity_id <> root_id")
+    )
+
+
+def closed_mapping_this_run(
+    edges: DataFrame, stored: DataFrame, run: RunContext, written: Callable[[str, DataFrame], DataFrame]
+) -> DataFrame:
+    """Child to the end of its chain for everything merged in the batch.
+
+    Chains go through the batch's latest edge of each child and, beyond it, through the
+    stored parent of an id, which is the end of a stored chain already. Unlike
+    :func:`id_mapping_this_run`, payloads needn't be cumulative, and cycles get a root.
+    """
+    latest = latest_parent(edges.where("active_identity_id is not null and identity_id is not null"))
+    parents = latest.select(F.col("active_identity_id").alias("identity_id")).distinct()
+    known = stored.join(parents, "identity_id", "left_semi").join(latest, "identity_id", "left_anti")
+    columns = ["identity_id", "active_identity_id"]
+    roots = close_to_roots(latest.select(*columns).unionByName(known.select(*columns)), written)
+    return latest.join(roots, "identity_id").select(
+        "identity_id",
+        F.col("root_id").alias("active_identity_id"),
+        "merged_at",
+        ntz_lit(run.run_tstamp).alias("model_tstamp"),
+    )
+
+
+def roots_again(stored: DataFrame, this_run: DataFrame) -> DataFrame:
+    """Ids that the batch makes a root and that the mapping still holds as a child."""
+    roots = this_run.select(F.col("active_identity_id").alias("identity_id")).distinct()
+    return stored.join(own_shuffle(roots, "identity_id"), "identity_id", "left_semi").select("identity_id")
+
+
 def cyclic_ids(edges: DataFrame, this_run: DataFrame) -> DataFrame:
     """Children of the batch that got no parent: a cycle, or a chain cut off its root."""
     return _children(edges).join(this_run.select("identity_id"), "identity_id", "left_anti")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from idweave import schemas
 from idweave.config import IdentityConfig, RunContext
-from idweave.functions.joins import own_shuffle
+from idweave.functions.joins import of_run, only_of_run, own_shuffle
 from idweave.operators import changes, extract, history, lookup, mapping, profile
 from idweave.operators import upsert as upsert_ops
 from idweave.plans.tables import IdentityTables
@@ -88,6 +88,9 @@ def apply_batch(
     def stored(table: str) -> DataFrame:
         return store.read(table, layouts[table])
 
+    def this_runs(name: str, rows: DataFrame) -> DataFrame:
+        return only_of_run(store.stage(name, of_run(rows, run.run_tstamp)), run.run_tstamp)
+
     def upsert(table: str, rows: DataFrame, deletes: DataFrame | None = None) -> None:
         if table in updated:
             store.upsert(table, schemas.KEYS[table], rows, deletes)
@@ -109,7 +112,11 @@ def apply_batch(
     def merge() -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
         """Edges, child to root, stored rows with an absorbed parent, updates of the mapping."""
         edges = store.stage("edges", extract.explode_merged(merge_events))
-        this_run = store.stage("id_mapping_this_run", mapping.id_mapping_this_run(edges, run))
+        if cfg.close_roots:
+            rows = mapping.closed_mapping_this_run(edges, stored("id_mapping"), run, store.stage)
+        else:
+            rows = mapping.id_mapping_this_run(edges, run)
+        this_run = store.stage("id_mapping_this_run", rows)
         if not store.exists("id_mapping"):
             return edges, this_run, stored("id_mapping"), this_run
         before = stored("id_mapping")
@@ -118,7 +125,7 @@ def apply_batch(
             before,
             this_run,
             affected,
-            compress_orphans=cfg.compress_orphans,
+            compress_orphans=cfg.compress_orphans or cfg.close_roots,
             only_newer=cfg.only_newer,
         )
         if updates is not this_run:
@@ -152,7 +159,8 @@ def apply_batch(
             none = history.scd_new_records(changed.where(F.lit(False)))
             upsert("id_mapping_scd", history.scd_updates(none, changed, this_run))
             return
-        ids = own_shuffle(history.ids_affected(changed), "identity_id")
+        ids = this_runs("scd_ids", history.ids_affected(changed))
+        ids = own_shuffle(ids, "identity_id")
         known = store.stage("scd_history", stored("id_mapping_scd").join(ids, "identity_id", "left_semi"))
         rows = history.scd_updates(known.select(*history.COLUMNS), changed, this_run)
         replaced = known.select("scd_key") if cfg.replace_affected else None
@@ -171,7 +179,9 @@ def apply_batch(
             return
         touched = store.stage(
             "identifier_mapping_affected",
-            lookup.affected_stored(stored("identifier_mapping"), now, this_run, new),
+            lookup.stored_of(
+                stored("identifier_mapping"), this_runs("lookup_ids", lookup.touched_ids(now, this_run, new))
+            ),
         )
         rows = lookup.identifier_mapping_updates(touched, new)
         untouched = touched.where("not absorbed").withColumnRenamed("old_uuid", "uuid")
@@ -205,5 +215,7 @@ def apply_batch(
         for step in last:
             step.result()
     if "id_mapping" in updated:
-        upsert("id_mapping", parents)
+        # a cycle through stored rows may turn one of their children into its root
+        again = store.exists("id_mapping") and cfg.close_roots
+        upsert("id_mapping", parents, mapping.roots_again(stored("id_mapping"), this_run) if again else None)
     return updated

@@ -89,6 +89,13 @@ def has_new_events(last_success: object | None, last_load: object | None) -> boo
     return last_load is not None and (last_success is None or last_load > last_success)
 
 
+def due_models(manifest: DataFrame, newest: DataFrame) -> DataFrame:
+    """(model, is_due): models for which ``newest`` (one row, ``newest``) is past what they consumed."""
+    return manifest.join(F.broadcast(newest)).select(
+        "model", (F.col("newest").isNotNull() & (F.col("last_success").isNull() | (F.col("newest") > F.col("last_success")))).alias("is_due")
+    )
+
+
 def full_refresh_allowed(cfg: IdentityConfig) -> bool:
     """A full rebuild may drop the manifest only in the dev environment or when allowed."""
     return cfg.environment == cfg.dev_environment or cfg.allow_refresh

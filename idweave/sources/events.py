@@ -167,6 +167,53 @@ def parse_json_contexts(df: DataFrame, cfg: IdentityConfig) -> DataFrame:
     )
 
 
+def parse_variant_contexts(df: DataFrame, cfg: IdentityConfig) -> DataFrame:
+    """:func:`parse_json_contexts` without a fixed schema of the JSON text.
+
+    The text becomes a VARIANT, from which the known fields are taken by path: fields that
+    a tracker adds are skipped, a value of another JSON type is cast, and what cannot be
+    cast is null by itself instead of taking the whole row with it.
+    """
+    cid, pid = cfg.context_id_field, cfg.payload_id_field
+
+    def items(v: Column, path: str) -> Column:
+        return F.try_variant_get(v, path, "array<variant>")
+
+    def text(v: Column, path: str) -> Column:
+        return F.try_variant_get(v, path, "string")
+
+    def ntz(v: Column, path: str) -> Column:
+        return text(v, path).try_cast("timestamp_ntz")
+
+    def child(v: Column) -> Column:
+        return F.struct(
+            text(v, f"$.{pid}").alias(pid),
+            ntz(v, "$.created_at").alias("created_at"),
+            ntz(v, "$.merged_at").alias("merged_at"),
+            text(v, "$.triggering_event_id").alias("triggering_event_id"),
+        )
+
+    context, payload = F.try_parse_json(cfg.context_column), F.try_parse_json(cfg.payload_column)
+    parsed = df.withColumns({"__context": context, "__payload": payload})
+    v = F.col("__payload")
+    return parsed.withColumns(
+        {
+            cfg.context_column: F.transform(
+                items(F.col("__context"), "$"),
+                lambda c: F.struct(text(c, f"$.{cid}").alias(cid), ntz(c, "$.created_at").alias("created_at")),
+            ),
+            cfg.payload_column: F.when(
+                v.isNotNull(),
+                F.struct(
+                    text(v, f"$.{pid}").alias(pid),
+                    F.transform(items(v, "$.merged"), child).alias("merged"),
+                    F.transform(items(v, "$.merges"), lambda m: text(m, "$")).alias("merges"),
+                ),
+            ),
+        }
+    ).drop("__context", "__payload")
+
+
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A CSV with a header line, read with a given schema (no inference)."""
     return spark.read.schema(schema).csv(path, header=True)

@@ -5,11 +5,13 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from idweave.config import IdentityConfig
 from idweave.plans import runs
+from idweave.operators import history
 from idweave.plans.tables import IdentityTables
 from idweave.sources.events import base_events_this_run
 
@@ -65,3 +67,24 @@ def stream_identities(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def first_deliveries(events: DataFrame, delay: str, key: str = "event_id", ts_col: str = "derived_tstamp") -> DataFrame:
+    """A stream without events that an earlier micro-batch has brought already.
+
+    The ids seen are kept in the state store until the watermark, the latest event time
+    less ``delay``, has passed their event by ``delay`` more, so the state is bounded by
+    the events of that span. An event at or before the watermark is late: it is dropped,
+    whether it was seen or not, so choose a delay longer than deliveries are late.
+    """
+    timed = events.withColumn("__at", F.col(ts_col).cast("timestamp"))
+    return timed.withWatermark("__at", delay).dropDuplicatesWithinWatermark([key]).drop("__at")
+
+
+def active_as_of_stream(facts: DataFrame, scd: DataFrame, ts_col: str) -> DataFrame:
+    """:func:`history.active_as_of` for a stream of facts against the history as saved.
+
+    Each micro-batch joins its facts with the history that is stored when it runs; nothing
+    is kept between batches, so a fact is not looked up again when the history changes.
+    """
+    return history.active_as_of(facts, scd, ts_col)

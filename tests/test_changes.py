@@ -2,7 +2,7 @@
 
 from idweave import schemas
 from idweave.config import IdentityConfig, RunContext
-from idweave.operators import changes, mapping
+from idweave.operators import changes, upsert, mapping
 from idweave.operators.upsert import upsert_by_key
 from tests.conftest import at
 
@@ -190,4 +190,7 @@ def test_late_change_moves_the_log_back(table, rows):
     assert rows(got) == [("ka", "A", None, "01 09:50", "01 12:00", "created", "e0", "ios")]
     same = table(LOG, [("ka", "A", None, "01 10:00", "01 13:00", "created", "e9", "tv")])
     got = changes.merge_id_changes(stored, same)
-    assert rows(got, "first_seen_event_id", "changed_at") == [("e1", "01 12:00")]
+    # at equal times the stored row stays as it is, so there is nothing to write
+    assert rows(got) == []
+    kept = upsert.upsert_by_key(stored, got, "id_change_key")
+    assert rows(kept, "first_seen_event_id", "changed_at") == [("e1", "01 12:00")]
