@@ -7,17 +7,21 @@ transitions say how readily the language changes from one word to the next. Forw
 backward sums give every word's probability of each language; the mean over a document's
 words with a letter is its score per language, and the largest one its label.
 
-Training uses a bounded sample: about ``TRAIN_DOCS`` labelled documents per language
-and of each the first ``TRAIN_WORDS`` words, chosen by a hash of doc_id. Pieces of
+Training uses a bounded sample: about ``TRAIN_DOCS`` labelled documents per language,
+chosen by a hash of doc_id, and of each about ``TRAIN_WORDS`` words in runs from hashed
+places of the whole text. Pieces of
 different documents are strung together to code-switched sequences, so transitions are
 learned too, and the log-likelihood is climbed with Adam on full gradients. The model
 is a few megabytes whatever the data. Prediction reads whole texts: a batch is cut into
 chunks of words whose transfer matrices are multiplied for all chunks at once, passed
-along each document, and opened again, which equals the plain recursion.
+along each document, and opened again, which equals the plain recursion. A text of more
+than ``SEGMENT`` bytes is labelled in segments of that size, cut between words, whose
+sums add up; so memory doesn't follow the longest text.
 
 Words are split at 0x20 and 0x09-0x0D, A-Z folded. Defined cases: null text and text
 without a letter are ``und`` with score 0; labels that are null take no part in training;
-no labelled document at all makes everything ``und``; ties go to the first label by
+no labelled document at all makes everything ``und``; of more than ``MOST_LABELS``
+languages the most frequent ones are learned; ties go to the first label by
 name; repeated rows get equal results; null doc_id is predicted like any other and never
 trained on. Other columns are not read.
 """
@@ -28,6 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +43,8 @@ SEQUENCE, STEPS, RATE, DECAY = 64, 40, 0.15, 1e-4
 SLOTS = 1 << 17
 ORDERS = (1, 2, 3, 4)
 CHUNK = 64
+SEGMENT = 1 << 21
+RUN_WORDS = 20
 UNKNOWN = "und"
 
 _LETTER = np.zeros(256, bool)
@@ -84,6 +91,16 @@ class Model:
         self.entries = np.zeros((len(lexicon) + 1, k), np.float32)  # the last: not in the lexicon
         self.moves = np.zeros((k, k), np.float32)
 
+    def state(self) -> tuple:
+        """Plain values, to be sent to workers that lack this package."""
+        return self.labels, self.lexicon, self.grams, self.entries, self.moves
+
+    @classmethod
+    def of(cls, state: tuple) -> Model:
+        model = cls(*state[:2])
+        model.grams, model.entries, model.moves = state[2:]
+        return model
+
     def entry(self, h: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.lexicon, h)
         at = np.minimum(at, max(0, len(self.lexicon) - 1))
@@ -102,7 +119,7 @@ class Model:
 
 
 def _pass(emission: np.ndarray, mask: np.ndarray, moves: np.ndarray) -> np.ndarray:
-    """Marginals of (sequences, steps, labels) scores; every sequence starts evenly."""
+    """Marginals of (sequences, steps, labels) scores; what precedes a sequence is evenly any label."""
     p = np.exp(emission - emission.max(axis=2, keepdims=True)).astype(np.float32)
     s, t, k = p.shape
     forward = np.zeros_like(p)
@@ -124,7 +141,7 @@ def _pass(emission: np.ndarray, mask: np.ndarray, moves: np.ndarray) -> np.ndarr
 
 
 def _pair_counts(emission: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals and expected transitions of full sequences."""
+    """Marginals and expected transitions of full sequences, those into their first words too."""
     p = np.exp(emission - emission.max(axis=2, keepdims=True)).astype(np.float32)
     s, t, k = p.shape
     forward = [np.full((s, k), 1 / k, np.float32)]
@@ -138,13 +155,27 @@ def _pair_counts(emission: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, n
         out[:, i] = g / g.sum(axis=1, keepdims=True)
         right = p[:, i] * b
         xi = forward[i][:, :, None] * moves[None] * right[:, None, :]
-        if i:
-            pairs += (xi / xi.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        pairs += (xi / xi.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
         b = right @ moves.T
         b /= b.sum(axis=1, keepdims=True)
     return out, pairs
 
 
+def gradients(emission: np.ndarray, truth: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the log-likelihood of sequences, by the emission scores and by the raw transitions.
+
+    ``moves`` are transitions whose rows are a softmax of the raw ones.
+    """
+    k = len(moves)
+    marginal, expected = _pair_counts(emission, moves)
+    seen = np.zeros((k, k))
+    np.add.at(seen, (truth[:, :-1].ravel(), truth[:, 1:].ravel()), 1)
+    # the label before a first word is not known: it is shared out as the transitions have it
+    seen += np.bincount(truth[:, 0], minlength=k) * moves / moves.sum(axis=0)
+    apart = seen - expected
+    return np.eye(k, dtype=np.float32)[truth] - marginal, apart - moves * apart.sum(axis=1, keepdims=True)
+
+
 def _word_blob(data: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
     return b"\n" + b"".join(data[a:b].lower() + b"\n" for a, b in zip(starts, ends, strict=True))
 
@@ -176,24 +207,21 @@ def fit(texts: list[str], labels: list[str], seed: int = 7) -> Model | None:
     order = np.concatenate(runs)[:need].reshape(-1, SEQUENCE)
     k = len(names)
     truth = label[order]
-    onehot = np.eye(k, dtype=np.float32)[truth]
-    seen_pairs = np.zeros((k, k))
-    np.add.at(seen_pairs, (truth[:, :-1].ravel(), truth[:, 1:].ravel()), 1)
     owner = np.repeat(np.arange(len(kinds)), np.diff(begin))
     share = 1 / np.maximum(np.diff(begin), 1)
     params = [model.grams, model.entries, model.moves]
     first_moment, second_moment = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, STEPS + 1):
         scores = model.emissions(slots, begin, entry)[which[order]]
-        marginal, pairs = _pair_counts(scores, model.transitions())
-        delta = (onehot - marginal).reshape(-1, k)
+        by_score, by_move = gradients(scores, truth, model.transitions())
+        delta = by_score.reshape(-1, k)
         word_of = which[order].ravel()
         per_word = np.stack([np.bincount(word_of, delta[:, c], len(kinds)) for c in range(k)], axis=1)
         per_gram = per_word * share[:, None]
         grads = [
             np.stack([np.bincount(slots, per_gram[owner, c], SLOTS) for c in range(k)], axis=1),
             np.stack([np.bincount(entry, per_word[:, c], len(model.entries)) for c in range(k)], axis=1),
-            seen_pairs - pairs,
+            by_move,
         ]
         for p, g, m, v in zip(params, grads, first_moment, second_moment, strict=True):
             g = g / len(word_of) * 100 - DECAY * p
@@ -260,6 +288,37 @@ def _document_scores(model: Model, emission: np.ndarray, counted: np.ndarray, fi
     return out
 
 
+def segments(text: str, most: int) -> list[str]:
+    """The text in parts of at most ``most`` bytes, cut before white space where there is any."""
+    data = text.encode("utf-8")
+    out, a = [], 0
+    while len(data) - a > most:
+        b = max(data.rfind(x, a + 1, a + most + 1) for x in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
+        if b < 0:
+            b = a + most
+            while b > a + 1 and data[b] & 0xC0 == 0x80:  # not inside a character
+                b -= 1
+        out.append(data[a:b].decode("utf-8"))
+        a = b
+    return [*out, data[a:].decode("utf-8")]
+
+
+def _label_sums(model: Model, texts: pa.Array) -> np.ndarray:
+    """Per text the sums of its counted words' marginals."""
+    data, at = words.as_bytes(texts)
+    starts, ends, first = words.split(data, at)
+    h = words.hashes(data, starts, ends)
+    letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
+    counted = letters[ends] > letters[starts]
+    if len(h):
+        kinds, where, which = np.unique(h, return_index=True, return_inverse=True)
+        slots, begin = features(_word_blob(data.tobytes(), starts[where], ends[where]))
+        emission = model.emissions(slots, begin, model.entry(kinds))[which]
+    else:
+        emission = np.zeros((0, len(model.labels)), np.float32)
+    return _document_scores(model, emission, counted, first)
+
+
 def predict(model: Model | None, texts: pa.Array) -> tuple[list[str], list[float]]:
     """The label and score of each text."""
     names, scores = [], []
@@ -268,19 +327,13 @@ def predict(model: Model | None, texts: pa.Array) -> tuple[list[str], list[float
             names += [UNKNOWN] * (j - i)
             scores += [0.0] * (j - i)
             continue
-        data, at = words.as_bytes(texts.slice(i, j - i))
-        starts, ends, first = words.split(data, at)
-        h = words.hashes(data, starts, ends)
-        letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
-        counted = letters[ends] > letters[starts]
-        if len(h):
-            kinds, where, which = np.unique(h, return_index=True, return_inverse=True)
-            slots, begin = features(_word_blob(data.tobytes(), starts[where], ends[where]))
-            emission = model.emissions(slots, begin, model.entry(kinds))[which]
+        part = texts.slice(i, j - i)
+        if j - i == 1 and len(words.as_bytes(part)[0]) > SEGMENT:
+            parts = segments(part[0].as_py(), SEGMENT)
+            sums = sum(_label_sums(model, pa.array([x])) for x in parts)
         else:
-            emission = np.zeros((0, len(model.labels)), np.float32)
-        sums = _document_scores(model, emission, counted, first)
-        real = np.array([_has_letter(t) for t in texts.slice(i, j - i)], bool)
+            sums = _label_sums(model, part)
+        real = np.array([_has_letter(t) for t in part], bool)
         mass = sums.sum(axis=1)
         best = sums.argmax(axis=1)
         for d in range(j - i):
@@ -303,27 +356,31 @@ def is_held_out(doc_id: str = "doc_id"):
 def training_sample(docs: DataFrame, docs_per_label: int = TRAIN_DOCS, words_each: int = TRAIN_WORDS) -> tuple[list[str], list[str]]:
     """Texts and labels of a bounded sample; the same for the same rows."""
     usable = docs.where("text is not null and lang is not null and doc_id is not null").where(~is_held_out())
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LABELS + 1).collect()
-    if len(counts) > MOST_LABELS:
-        raise ValueError(f"more than {MOST_LABELS} languages")
+    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LABELS).collect()
     rate = F.lit(0.0)
     for r in counts:
         share = min(1.0, 1.25 * docs_per_label / r["count"])
         rate = F.when(F.col("lang") == r["lang"], share).otherwise(rate)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
-    picked = usable.where(place < rate).select(
-        "doc_id",
-        "lang",
-        F.array_join(F.slice(F.split(F.trim("text"), "[\\x20\\x09-\\x0D]+", words_each + 1), 1, words_each), " ").alias("head"),
+    # runs of words from hashed places; a short text is taken whole
+    text_words = F.split(F.trim("text"), "[\\x20\\x09-\\x0D]+")
+    spare = F.greatest(F.size("w") - RUN_WORDS + 1, F.lit(1))
+    start = lambda k: F.pmod(F.xxhash64("doc_id", k), spare).cast("int") + 1
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(max(1, words_each // RUN_WORDS))), lambda k: F.slice("w", start(k), RUN_WORDS)))
+    picked = (
+        usable.where(place < rate)
+        .select("doc_id", "lang", text_words.alias("w"))
+        .select("doc_id", "lang", F.array_join(F.when(F.size("w") <= words_each, F.col("w")).otherwise(runs), " ").alias("some"))
     )
-    rows = picked.orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "head").limit(2 * docs_per_label * max(1, len(counts))).collect()
-    return [r["head"] for r in rows], [r["lang"] for r in rows]
+    rows = picked.orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "some").limit(2 * docs_per_label * max(1, len(counts))).collect()
+    return [r["some"] for r in rows], [r["lang"] for r in rows]
 
 
-def _predict_batches(model) -> Callable:
+def _predict_batches(state: Broadcast) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None if state.value is None else Model.of(state.value)
         for batch in batches:
-            names, scores = predict(model.value, batch.column("text"))
+            names, scores = predict(known, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=["doc_id", "held_out", "lang_pred", "score"],
@@ -336,7 +393,8 @@ def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row of ``docs`` (doc_id, text, lang)."""
     texts, labels = training_sample(docs)
     model = fit(texts, labels) if texts else None
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain arrays: an instance would be pickled by a reference to this package
+    shared = docs.sparkSession.sparkContext.broadcast(None if model is None else model.state())
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(is_held_out(), F.lit(False)).alias("held_out"), "text"
     )
