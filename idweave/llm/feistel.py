@@ -1,7 +1,7 @@
 """Format-preserving pseudonyms of personal numbers and dates by keyed Feistel networks.
 
 Found and validated: payment card numbers (13 to 19 digits, Luhn), IBANs (mod 97), social
-security numbers (their excluded ranges), telephone numbers of ten digits, IPv4
+security numbers (their excluded ranges), telephone numbers (below), IPv4
 addresses (four octets), calendar dates (ISO, and day or month first with slashes or
 dots), and e-mail addresses (their local part). What fails its check is no such value
 and stays.
@@ -17,8 +17,15 @@ different ones, and the owner of the key can invert them.
 A run of digit groups is cut at group borders only. Of the stretches that pass, an
 unbroken one is taken first, then one in a card's usual layout, then the issuer's usual
 length, then the shortest; where a match fails, later kinds are tried at its place and the
-scan goes on after its first group. Ten digits that are unbroken or only spaced, without a
-country code, count as a telephone number if area and exchange begin with 2 to 9.
+scan goes on after its first group.
+
+Telephone numbers are ten digits in the usual groups, with or without a country code;
+any number of 6 to 13 digits after a plus sign and a country code; and ten or eleven
+digits in groups that begin with a single 0 for long distance. Ten digits that are
+unbroken or only spaced, with neither, count only if area and exchange begin with 2 to 9.
+The country code and the leading 0 stay, so a number has one pseudonym with either.
+
+A date's day and month stay below ten, or not, so every layout keeps its number of digits.
 
 Text is scanned by one pattern, only where it has a digit or an @. Defined cases: null
 text stays null; empty text and text without values are unchanged; very long texts are
@@ -49,7 +56,9 @@ _PATTERN = re.compile(
     r"|(?P<ip>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?\w))"
     r"|(?P<date>(?<![\w/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![\w/-]))"
     r"|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"
-    r"|(?P<phone>(?<![\w+])(?:\+[0-9]{1,3}[ .-]?|1[ .-])?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}(?!\w))"
+    r"|(?P<phone>(?<![\w+])(?:\+[0-9]{1,3}[ .-]?|1[ .-])?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}(?!\w)"
+    r"|(?<![\w+])\+[1-9][0-9]{0,2}[ .-]?(?:\(0\)[ .-]?)?(?:\([0-9]{1,5}\)|[0-9]{1,13})(?:[ .-][0-9]{2,8}){0,4}(?!\w|[ .-]?[0-9])"
+    r"|(?<![\w+.-])(?:\(0[1-9][0-9]{1,4}\) ?|0[1-9][0-9]{1,4}[ -])[0-9]{3,8}(?:[ -][0-9]{3,4})?(?![\w-]| [0-9]))"
     r"|(?P<card>(?<!\w)(?<![^\W\d]-)[0-9](?:[ -]?[0-9]){12,18}(?!\w))"
 )
 #: The pattern of each kind by itself, in the order of trial.
@@ -58,9 +67,20 @@ KIND_ORDER = {k: n for n, (k, _) in enumerate(_SINGLE)}
 _GROUP = re.compile(r"[0-9A-Za-z]+")
 _CARD_RUN = re.compile(r"[0-9]+(?:[ -][0-9]+)*")
 _CARD_LAYOUTS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3)}
+# Country calling codes of one and of two digits; all others have three.
+_ONE_DIGIT_CODES = {"1", "7"}
+_TWO_DIGIT_CODES = set(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+    "81 82 84 86 90 91 92 93 94 95 98".split()
+)
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
+def _fitting(key: bytes) -> bytes:
+    """A key of at most 64 bytes; longer ones are hashed."""
+    return key if len(key) <= 64 else hashlib.blake2b(key, digest_size=64).digest()
+
+
 class Permutation:
     """A keyed bijection of 0..size-1 by an alternating Feistel network and cycle walking."""
 
@@ -68,7 +88,7 @@ class Permutation:
         self.size = size
         self.a = isqrt(size - 1) + 1 if size > 1 else 1
         self.b = -(-size // self.a)
-        self.seed = hashlib.blake2b(f"{kind}:{size}".encode(), key=key[:64], digest_size=32).digest()
+        self.seed = hashlib.blake2b(f"{kind}:{size}".encode(), key=_fitting(key), digest_size=32).digest()
 
     def _round(self, n: int, value: int) -> int:
         data = n.to_bytes(1, "little") + value.to_bytes(32, "little")
@@ -230,13 +250,26 @@ class Pseudonyms:
 
     def phone(self, text: str) -> str | None:
         digits = re.sub(r"\D", "", text)
-        number = int(digits[-10:])
-        usual = _phone_usual(number)
-        if not usual and not re.search(r"[^0-9 ]", text):
+        if text[0] == "+":
+            head = 1 if digits[0] in _ONE_DIGIT_CODES else 2 if digits[:2] in _TWO_DIGIT_CODES else 3
+            head += digits[head : head + 1] == "0"
+        elif digits[0] == "0" and len(digits) in (10, 11):
+            head = 1
+        else:
+            head = len(digits) - 10
+        own = digits[max(0, head) :]
+        if head < 0 or not 6 <= len(own) <= 13 or own[0] == "0":
             return None
-        # usual numbers go to usual ones, so that each layout is found again and equal numbers stay equal
-        new = f"{self._permute('phone', number, 10**10, lambda x: _phone_usual(x) == usual):010d}"
-        return _refill(text, digits[:-10] + new)
+        number = int(own)
+        # numbers keep to their class, so that each layout is found again and equal numbers stay equal
+        if len(own) == 10:
+            usual = _phone_usual(number)
+            if not usual and head == 0 and not re.search(r"[^0-9 ]", text):
+                return None
+            new = self._permute("phone", number, 10**10, lambda x: x >= 10**9 and _phone_usual(x) == usual)
+        else:
+            new = self._permute(f"phone-{len(own)}", number, 10 ** len(own), lambda x: x >= 10 ** (len(own) - 1))
+        return _refill(text, f"{digits[:head]}{new}")
 
     def ip(self, text: str) -> str | None:
         octets = [int(x) for x in text.split(".")]
@@ -259,10 +292,19 @@ class Pseudonyms:
             return None
         if not FIRST_DAY <= ordinal <= LAST_DAY:
             return None
-        new = date.fromordinal(FIRST_DAY + self._permute("date", ordinal - FIRST_DAY, LAST_DAY - FIRST_DAY + 1))
+        short = (day < 10, month < 10)
+
+        def as_short(x: int) -> bool:
+            d = date.fromordinal(FIRST_DAY + x)
+            return (d.day < 10, d.month < 10) == short
+
+        span = LAST_DAY - FIRST_DAY + 1
+        new = date.fromordinal(FIRST_DAY + self._permute("date", ordinal - FIRST_DAY, span, as_short))
         if text[4:5] == "-":
             return new.isoformat()
-        return f"{new.month:02d}/{new.day:02d}/{new.year}" if "/" in text else f"{new.day:02d}.{new.month:02d}.{new.year}"
+        first, second = (new.month, new.day) if "/" in text else (new.day, new.month)
+        sign = "/" if "/" in text else "."
+        return sign.join([f"{first:0{len(parts[0])}d}", f"{second:0{len(parts[1])}d}", str(new.year)])
 
     def email(self, text: str) -> str | None:
         local, _, domain = text.partition("@")

@@ -5,6 +5,8 @@ import re
 from datetime import date, timedelta
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from idweave.llm import feistel as fp
 
@@ -127,3 +129,59 @@ def test_telephone_layouts_are_linked():
     assert len(seen) == 1
     for text in ("1700000000", "100 200 3000"):
         assert names.replace(text) == (text, [])
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.dates(date(1900, 1, 1), date(2099, 12, 31)),
+    st.sampled_from(["{m}/{d}/{y}", "{d}.{m}.{y}", "{m:02d}/{d:02d}/{y}", "{d:02d}.{m}.{y}", "{y}-{m:02d}-{d:02d}"]),
+)
+def test_dates_keep_their_digits_and_are_inverted(day, layout):
+    text = layout.format(d=day.day, m=day.month, y=day.year)
+    new, found = fp.Pseudonyms(b"k").replace(text)
+    assert [k for k, _ in found] == ["date"]
+    assert re.sub("[0-9]", "0", new) == re.sub("[0-9]", "0", text)
+    assert fp.Pseudonyms(b"k", inverse=True).replace(new)[0] == text
+
+
+def test_a_date_is_linked_in_every_layout():
+    got = {fp.Pseudonyms(b"k").replace(t)[0] for t in ("2024-01-02", "1/2/2024", "01/02/2024", "2.1.2024", "02.01.2024")}
+    as_dates = set()
+    for t in got:
+        parts = [int(x) for x in re.split("[-/.]", t)]
+        y, m, d = parts if "-" in t else (parts[2], *parts[:2]) if "/" in t else (parts[2], parts[1], parts[0])
+        as_dates.add((y, m, d))
+    assert len(as_dates) == 1 and as_dates != {(2024, 1, 2)}
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["+44 20 7946 0958", "+442079460958", "+44 (0)20 7946 0958", "020 7946 0958", "(020) 7946 0958", "0171 1234567",
+     "+49 30 1234567", "+33 1 23 45 67 89", "+353 1 234 5678", "+1 555 123 4567", "+7 912 345 67 89", "0800-123-4567"],
+)
+def test_international_and_trunk_numbers(text):
+    new, found = fp.Pseudonyms(b"k").replace(f"call {text}, or write")
+    assert [k for k, _ in found] == ["phone"] and new != f"call {text}, or write"
+    assert re.sub("[0-9]", "0", new) == re.sub("[0-9]", "0", f"call {text}, or write")
+    assert fp.Pseudonyms(b"k", inverse=True).replace(new)[0] == f"call {text}, or write"
+
+
+def test_a_number_is_linked_with_and_without_its_country_code():
+    digits = lambda t: re.sub("[^0-9]", "", fp.Pseudonyms(b"k").replace(t)[0])
+    assert digits("+44 20 7946 0958")[2:] == digits("020 7946 0958")[1:] == digits("+44 (0)20 7946 0958")[3:]
+
+
+@pytest.mark.parametrize("text", ["0.123 456", "see 10 20 30", "+5", "+1 2", "007", "0 12 34", "01 02", "1+2 345 678", "00123 456 789"])
+def test_no_telephone_numbers(text):
+    assert fp.Pseudonyms(b"k").replace(text) == (text, [])
+
+
+def test_every_byte_of_a_long_key_counts():
+    one, two = b"x" * 64 + b"a", b"x" * 64 + b"b"
+    assert len({fp.Pseudonyms(k).replace("2024-01-02")[0] for k in (one, two, b"x" * 64)}) == 3
+
+
+def test_very_long_texts(spark):
+    text = "word 4111 1111 1111 1111 word\n" * 20_000
+    (r,) = fp.pseudonymised(spark.createDataFrame([(1, text)], "doc_id long, text string"), b"k").collect()
+    assert r["n_card"] == 20_000 and len(set(r["pseudonyms"])) == 1 and len(r["text"]) == len(text)
