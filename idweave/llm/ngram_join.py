@@ -23,7 +23,7 @@ Steps:
    has a row (hash, cell) for each hash in the union of a cell's sets. A set's overlap
    with the hashes that other cells hold too bounds its overlap with any of them: only
    sets of which four fifths are there stay active, and only their unions stay in the
-   matrix. Two cells are opened to each other only if they have enough prefix hashes in
+   matrix; a hash within one component says nothing. Two cells are opened to each other only if they have enough prefix hashes in
    common; there a query's overlap with the union of the other cell bounds its overlap
    with any member, and the exact overlaps of those that pass decide.
 
@@ -291,18 +291,22 @@ def _open_chunk(percent: int) -> Callable[[pa.Table], pa.Table]:
 def _active_in_cell(percent: int, prefixes: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Sets of a cell with enough of their hashes among those marked, and the unions of them.
 
-    Rows are (sid, n) of the active sets, then one with the union of all their hashes and
-    one with the marked hashes of their prefixes (kind 0, 1, 2). ``prefixes``: only the marked
-    hashes of prefixes count, against what prefixes of similar sets share.
+    Rows are (sid, n) of the active sets, then one with the union of all their hashes, with
+    the least and greatest component that holds each, and one with the marked hashes of
+    their prefixes (kind 0, 1, 2). ``prefixes``: only the marked hashes of prefixes count,
+    against what prefixes of similar sets share.
     """
 
     def run(table: pa.Table, marks: pa.Table) -> pa.Table:
-        shape = {"cell": pa.int64(), "kind": pa.int32(), "sid": pa.int64(), "n": pa.int64(), "hashes": pa.list_(pa.int64())}
+        longs = pa.list_(pa.int64())
+        shape = {"cell": pa.int64(), "kind": pa.int32(), "sid": pa.int64(), "n": pa.int64()}
+        shape |= {"hashes": longs, "lo": longs, "hi": longs}
         out: list[tuple] = []
         if len(table) and len(marks):
             cell = table.column("cell")[0].as_py()
             marked = _union([marks.column("h").to_numpy()])
-            sid, n, sets, _ = _lists(table)
+            sid, n, sets, rows = _lists(table)
+            comp = table.column("comp").to_numpy()[rows]
             flat = np.concatenate([np.zeros(0, np.int64), *sets])
             owner = np.repeat(np.arange(len(sets)), n)
             place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
@@ -311,10 +315,15 @@ def _active_in_cell(percent: int, prefixes: bool) -> Callable[[pa.Table, pa.Tabl
             count = np.bincount(owner[hit & in_prefix] if prefixes else owner[hit], minlength=len(sets))
             stays = count >= (needed(n, percent) if prefixes else least_overlap(n, percent))
             if stays.any():
-                out = [(cell, 0, int(sid[i]), int(n[i]), None) for i in np.flatnonzero(stays)]
+                out = [(cell, 0, int(sid[i]), int(n[i]), None, None, None) for i in np.flatnonzero(stays)]
                 of_active = stays[owner]
-                out.append((cell, 1, None, None, _union([flat[of_active]])))
-                out.append((cell, 2, None, None, _union([flat[of_active & hit & in_prefix]])))
+                every, of = flat[of_active], comp[owner[of_active]]
+                order = np.argsort(every, kind="stable")
+                every, of = every[order], of[order]
+                begin = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+                least, most = np.minimum.reduceat(of, begin), np.maximum.reduceat(of, begin)
+                out.append((cell, 1, None, None, every[begin], least, most))
+                out.append((cell, 2, None, None, _union([flat[of_active & hit & in_prefix]]), None, None))
         columns = list(zip(*out, strict=True)) if out else [[]] * len(shape)
         return pa.table({k: pa.array(list(c), t) for (k, t), c in zip(shape.items(), columns, strict=True)})
 
@@ -472,7 +481,8 @@ def similar_documents(
         .where("lo <> hi and near <> far")
         .select("h"),
     )
-    active_shape = "cell long, kind int, sid long, n long, hashes array<long>"
+    active_shape = "cell long, kind int, sid long, n long, hashes array<long>, lo array<long>, hi array<long>"
+    components_of = _small(first)
 
     def active_sets(name: str, among: DataFrame, unions: DataFrame, marked: DataFrame, prefixes: bool) -> DataFrame:
         packed, bits = bit_filter.build(marked, marked.count())
@@ -482,26 +492,29 @@ def similar_documents(
         return staged(
             name,
             among.join(there, "cell", "left_semi")
-            .select("cell", "sid", "hashes")
+            .join(components_of, "sid", "left")
+            .select("cell", "sid", F.coalesce("root", "sid").alias("comp"), "hashes")
             .groupBy("cell")
             .cogroup(marks.groupBy("cell"))
             .applyInArrow(_active_in_cell(percent, prefixes), active_shape),
         )
 
     active = active_sets("active", sets, unions, split, True)
-    # a set with a partner in another cell has four fifths of its hashes in other cells; the
-    # second pass counts among those that the first one left
+    # a set with a partner to find has four fifths of its hashes in other cells and in other
+    # components; the second pass counts among those that the first one left
     for step in (1, 2):
         unions = active.where("kind = 1")
         spread = (
-            unions.select("cell", F.explode("hashes").alias("h"))
-            .groupBy("h")
-            .agg(F.min("cell").alias("near"), F.max("cell").alias("far"))
-            .where("near <> far")
+            unions.select("cell", F.explode(F.arrays_zip("hashes", "lo", "hi")).alias("r"))
+            .groupBy(F.col("r.hashes").alias("h"))
+            .agg(
+                F.min("r.lo").alias("lo"), F.max("r.hi").alias("hi"), F.min("cell").alias("near"), F.max("cell").alias("far")
+            )
+            .where("lo <> hi and near <> far")
         )
         among = sets.join(_small(active.where("kind = 0").select("sid")), "sid", "left_semi")
         active = active_sets(f"active-{step}", among, unions, staged(f"spread-{step}", spread.select("h")), False)
-    matrix = active.where("kind = 2").select("cell", F.explode("hashes").alias("h"))
+    matrix = staged("matrix", active.where("kind = 2").select("cell", F.explode("hashes").alias("h")))
     members = active.where("kind = 0").select("cell", "sid", "n")
     cells = staged(
         "cells",
