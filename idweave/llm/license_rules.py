@@ -3,15 +3,18 @@
 A paragraph ends at a line that holds nothing but comment marks; marks that lead a line
 are dropped. Inside it the text is cut after ``. ! ? ; :`` before white space or a line
 end. A sentence may be wrapped over lines; a line, or several in a row, that make a known
-sentence count without a full stop too, the longest one first. Sentences are normalised: A-Z folded, every run of other characters than a-z and 0-9 a
-space. A normalised sentence that is in the table is replaced by its identifier, all
-others are dropped, and what is left is the document's identifier sequence in order of
-reading. The rules are then tried in their order: where the sequence holds a rule's
-identifiers one after the other, the licence is found and those identifiers are used up,
-so a longer rule goes before the shorter ones it contains.
-
-Built-in functions only, one pass, no shuffle: the tables are constants. Documents
-without any of the words that every known sentence holds one of skip the work.
+sentence count without a full stop too, the longest one first. Sentences are normalised:
+A-Z folded, every run of other characters than a-z and 0-9 a space. A normalised sentence
+is looked up in a map from sentence to identifier; unknown ones are dropped, and what is
+left is the document's identifier sequence in order of reading. The rules are then tried
+in their order: where the sequence holds a rule's identifiers one after the other, the
+licence is found and those identifiers are used up, so a longer rule goes before the
+shorter ones it contains.
+
+Texts are normalised by built-in functions; only those with one of the words that every
+known sentence holds one of go to Python, in Arrow batches. Runs of lines are looked up
+where their first word and number of words are those of a known sentence, so the work
+grows with the text and not with the table. No shuffle; the tables are constants.
 
 Defined cases: null and empty text have no sentences; a sentence occurring twice is
 there twice; null or repeated doc_id changes nothing; extra columns pass through, those
@@ -20,6 +23,9 @@ named like the added ones are replaced; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,6 +65,33 @@ SENTENCES: dict[str, str] = {
     "this work is licensed under a creative commons attribution noncommercial 4 0 international license": "cc-by-nc-4-notice",
     "this work is licensed under a creative commons attribution sharealike 4 0 international license": "cc-by-sa-4-notice",
     "all rights reserved": "all-rights",
+    "this library is free software": "gpl-free",
+    "you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation": "gpl-2-only-terms",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation": "lgpl-terms",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version": "lgpl-2-1-terms",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgpl-3-terms",
+    "either version 2 1 of the license or at your option any later version": "gpl-2-1-later",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation": "agpl-terms",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "agpl-3-terms",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl-terms",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0": "mpl-2-copy",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0": "mpl-2-copy",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "0bsd-grant",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness": "isc-as-is",
+    "this is free and unencumbered software released into the public domain": "unlicense-notice",
+    "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means": "unlicense-grant",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html": "epl-1-notice",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0": "epl-2-notice",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which accompanies this distribution and is available at https www eclipse org legal epl 2 0": "epl-2-notice",
+    "licensed under cc0 1 0": "cc0-notice",
+    "released under cc0 1 0": "cc0-notice",
+    "the person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law including all related and neighboring rights to the extent allowed by law": "cc0-notice",
+    "this software is provided as is without any express or implied warranty": "zlib-as-is",
+    "in no event will the authors be held liable for any damages arising from the use of this software": "zlib-liable",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib-grant",
+    "the origin of this software must not be misrepresented": "zlib-origin",
 }
 
 # Licences and the identifier sequences that state them, in order of trial.
@@ -73,7 +106,26 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("GPL-2.0-or-later", ("gpl-free", "gpl-2-terms")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-terms", "gpl-3-later")),
     ("GPL-2.0-or-later", ("gpl-free", "gpl-terms", "gpl-2-later")),
+    ("GPL-2.0-only", ("gpl-free", "gpl-2-only-terms")),
     ("GPL-3.0", ("gpl-3-notice",)),
+    ("LGPL-3.0-or-later", ("gpl-free", "lgpl-3-terms")),
+    ("LGPL-2.1-or-later", ("gpl-free", "lgpl-2-1-terms")),
+    ("LGPL-3.0-or-later", ("gpl-free", "lgpl-terms", "gpl-3-later")),
+    ("LGPL-2.1-or-later", ("gpl-free", "lgpl-terms", "gpl-2-1-later")),
+    ("AGPL-3.0-or-later", ("gpl-free", "agpl-3-terms")),
+    ("AGPL-3.0-or-later", ("gpl-free", "agpl-terms", "gpl-3-later")),
+    ("MPL-2.0", ("mpl-terms", "mpl-2-copy")),
+    ("ISC", ("isc-grant", "isc-as-is")),
+    ("0BSD", ("0bsd-grant", "isc-as-is")),
+    ("Unlicense", ("unlicense-notice", "unlicense-grant")),
+    ("Unlicense", ("unlicense-notice",)),
+    ("EPL-1.0", ("all-rights", "epl-1-notice")),
+    ("EPL-1.0", ("epl-1-notice",)),
+    ("EPL-2.0", ("all-rights", "epl-2-notice")),
+    ("EPL-2.0", ("epl-2-notice",)),
+    ("CC0-1.0", ("cc0-notice",)),
+    ("Zlib", ("zlib-as-is", "zlib-liable", "zlib-grant", "zlib-origin")),
+    ("Zlib", ("zlib-as-is", "zlib-liable", "zlib-grant")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-as-is")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is")),
     ("CC-BY-NC-4.0", ("cc-by-nc-4-notice",)),
@@ -83,18 +135,16 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
 ]
 
 #: Every known sentence holds one of these.
-CUES = ("license", "licensed", "rights", "permission", "software", "redistribution", "redistributions")
+CUES = ("license", "licensed", "rights", "permission", "software", "redistribution", "redistributions", "mpl", "cc0")
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SENTENCE_END = "[.!?;:](?=[\\x20\\x09-\\x0D]|$)"
-# whole pieces between line ends and cuts (|); a line end may stand for any space, a cut may not
-_KNOWN = "(?<![a-z0-9 ])(?:" + "|".join(
-    s.replace(" ", "[ \n]") for s in sorted(SENTENCES, key=len, reverse=True)
-) + ")(?![a-z0-9 ])"
-
 
-def sequence_text(ids: tuple[str, ...]) -> str:
-    return "".join(f"<{i}>" for i in ids)
+#: By first word: numbers of words of the known sentences, largest first.
+WORD_COUNTS: dict[str, list[int]] = {
+    first: sorted({s.count(" ") + 1 for s in SENTENCES if s.split(" ", 1)[0] == first}, reverse=True)
+    for first in {s.split(" ", 1)[0] for s in SENTENCES}
+}
 
 
 def _pieces(folded: Column) -> Column:
@@ -105,10 +155,43 @@ def _pieces(folded: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(text, "[^a-z0-9\\n|]+", " "), " ?([\\n|]) ?", "$1"))
 
 
-def _identifier(sentence: Column) -> Column:
-    """The sentence's identifier in angle brackets, or null."""
-    table = F.create_map(*(F.lit(x) for s, i in SENTENCES.items() for x in (s, f"<{i}>")))
-    return F.try_element_at(table, sentence)
+def _identifiers(pieces: str) -> list[str]:
+    """The identifiers of the known sentences, in order of reading."""
+    found = []
+    for piece in pieces.split("|"):
+        lines = [line for line in piece.split("\n") if line]
+        before = list(accumulate((line.count(" ") + 1 for line in lines), initial=0))
+        line_at = {words: i for i, words in enumerate(before)}
+        i = 0
+        while i < len(lines):
+            after = i + 1
+            for n in WORD_COUNTS.get(lines[i].split(" ", 1)[0], ()):
+                end = line_at.get(before[i] + n)
+                known = end and SENTENCES.get(" ".join(lines[i:end]))
+                if known:
+                    found.append(known)
+                    after = end
+                    break
+            i = after
+    return found
+
+
+def _licences(ids: list[str]) -> tuple[list[str], int]:
+    """The licences found, each once in the order of the rules, and the number of unused identifiers."""
+    names: list[str] = []
+    rest: list[str | None] = list(ids)
+    present = set(ids)
+    for name, rule in RULES:
+        if not present.issuperset(rule):
+            continue
+        i = 0
+        while i + len(rule) <= len(rest):
+            if tuple(rest[i : i + len(rule)]) == rule:
+                rest[i : i + len(rule)] = [None]
+                if name not in names:
+                    names.append(name)
+            i += 1
+    return names, sum(x is not None for x in rest)
 
 
 def recognise(docs: DataFrame) -> DataFrame:
@@ -117,29 +200,18 @@ def recognise(docs: DataFrame) -> DataFrame:
     sentence_ids: the sequence, as ``<id><id>``. licenses: the licences found, in the
     order of the rules, each once, joined by commas; empty if there are none.
     """
+
+    @F.pandas_udf("sentence_ids string, licenses string, n_sentences long, n_unmatched long")
+    def found(pieces: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text in pieces:
+            ids = _identifiers(text) if text else []
+            names, unused = _licences(ids) if ids else ([], 0)
+            rows.append(("".join(f"<{i}>" for i in ids), ",".join(names), len(ids), unused))
+        return pd.DataFrame(rows, columns=list(ADDED))
+
     base = docs.drop(*ADDED)
-    text = F.col("text")
-    worth = F.coalesce(text.rlike("(?i)" + "|".join(CUES)), F.lit(False))
-    folded = F.translate(text, UPPER, LOWER)
-    known = F.regexp_extract_all(_pieces(folded), F.lit(_KNOWN), F.lit(0))
-    found = F.transform(known, lambda s: _identifier(F.translate(s, "\n", " ")))
-    out = base.withColumn("__ids", F.when(worth, found).otherwise(F.array().cast("array<string>")))
-    out = out.withColumn("sentence_ids", F.array_join("__ids", ""))
-    out = out.withColumn("__rest", F.col("sentence_ids")).withColumn("__found", F.array().cast("array<string>"))
-    none = F.size("__ids") == 0
-    rest, hits = F.col("__rest"), []
-    for name, ids in RULES:
-        sequence = F.lit(sequence_text(ids))
-        hits.append(F.when(F.contains(rest, sequence), F.lit(name)))
-        rest = F.replace(rest, sequence, F.lit("<>"))
-    licences = F.array_distinct(F.array_compact(F.array(*hits)))
-    left = F.regexp_replace(rest, "<>", "")
-    return (
-        out.withColumn("licenses", F.when(none, F.lit("")).otherwise(F.array_join(licences, ",")))
-        .withColumn("n_sentences", F.size("__ids").cast("long"))
-        .withColumn(
-            "n_unmatched",
-            F.when(none, F.lit(0)).otherwise(F.length(left) - F.length(F.translate(left, "<", ""))).cast("long"),
-        )
-        .drop("__ids", "__rest", "__found")
-    )
+    worth = F.col("text").rlike("(?i)" + "|".join(CUES))
+    pieces = F.when(worth, _pieces(F.translate("text", UPPER, LOWER)))
+    out = base.withColumn("__found", found(pieces))
+    return out.select(*base.columns, *(F.col("__found")[c].alias(c) for c in ADDED))

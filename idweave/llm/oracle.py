@@ -113,6 +113,8 @@ def _license_sql() -> str:
     from idweave.llm.license_rules import RULES, SENTENCES
 
     known = ", ".join(f"('{s}', '{i}')" for s, i in SENTENCES.items())
+    # line ends and cuts are doubled, so that each of two neighbours has one of its own
+    longest_first = "|".join(s.replace(" ", r"(?: |\n\n)") for s in sorted(SENTENCES, key=len, reverse=True))
     steps = ["rest0 as (select r, doc_id, ids as rest, n, []::varchar[] as found from seq)"]
     for k, (name, ids) in enumerate(RULES, start=1):
         want = "".join(f"<{i}>" for i in ids)
@@ -121,15 +123,20 @@ def _license_sql() -> str:
             f"if(contains(rest, '{want}') and not list_contains(found, '{name}'), "
             f"list_append(found, '{name}'), found) as found from rest{k - 1})"
         )
-    return f"""
+    return rf"""
 with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents
 ), known(norm, id) as (values {known}
+), marks as (
+  select r, regexp_replace(translate(translate(t, {_UPPER}), '|', ' '), '(^|\n)[^a-z0-9\n]+', '\1', 'g') as t from d
 ), cut as (
-  select r, string_split(regexp_replace(translate(t, {_UPPER}), '([.!?;:])[\x20\x09\x0B-\x0D]+', '\1\n', 'g'), chr(10)) as s
-  from d
+  select r, regexp_replace(regexp_replace(t, '\n\n+', '|', 'g'), '[.!?;:]([\x20\x09-\x0D]|$)', '|\1', 'g') as t from marks
+), flat as (
+  select r, trim(regexp_replace(regexp_replace(t, '[^a-z0-9\n|]+', ' ', 'g'), ' ?([\n|]) ?', '\1\1', 'g'), ' ') as t from cut
+), runs as (
+  select r, regexp_extract_all('|' || t || '|', '[\n|](?:{longest_first})[\n|]') as s from flat
 ), sent as (
-  select r, i, trim(regexp_replace(s[i], '[^a-z0-9]+', ' ', 'g'), ' ') as norm
-  from (select r, s, unnest(range(1, len(s) + 1)) as i from cut)
+  select r, i, replace(trim(s[i], chr(10) || '|'), chr(10) || chr(10), ' ') as norm
+  from (select r, s, unnest(range(1, len(s) + 1)) as i from runs)
 ), hit as (
   select r, string_agg('<' || id || '>', '' order by i) as ids, count(*) as n from sent join known using (norm) group by r
 ), seq as (
