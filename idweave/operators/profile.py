@@ -53,7 +53,11 @@ def identities_from(observed: DataFrame, cfg: IdentityConfig) -> DataFrame:
         F.max(F.when(is_profile, F.col("last"))).alias("last"),
         *values,
     )
-    return profile.select(
+    return _profile_columns(profile, cfg)
+
+
+def _profile_columns(seen: DataFrame, cfg: IdentityConfig) -> DataFrame:
+    return seen.select(
         "identity_id",
         "first.created_at",
         F.col("first.event_id").alias("first_seen_event_id"),
@@ -76,8 +80,24 @@ def new_identifiers_this_run(base: DataFrame, cfg: IdentityConfig) -> DataFrame:
 
 
 def new_identities_this_run(base: DataFrame, cfg: IdentityConfig) -> DataFrame:
-    """Profile of every identity seen in the batch."""
-    return identities_from(extract.observations(base, cfg), cfg)
+    """Profile of every identity seen in the batch, in one aggregate over the events.
+
+    The rows are those that :func:`identities_from` makes of :func:`extract.observations`,
+    without a row per identifier in between, for runs that need no identifier rows.
+    """
+    sighting = F.struct("derived_tstamp", "event_id", "app_id", "created_at")
+    values = [
+        F.min(
+            F.when(
+                F.col(i.alias).isNotNull(),
+                F.struct("derived_tstamp", "event_id", F.col(i.alias).alias("id_value")),
+            )
+        )["id_value"].alias(i.alias)
+        for i in cfg.identifiers
+    ]
+    events = extract.has_identity(base)
+    seen = events.groupBy("identity_id").agg(F.min(sighting).alias("first"), F.max(sighting).alias("last"), *values)
+    return _profile_columns(seen, cfg)
 
 
 def merge_identities(prev: DataFrame, new: DataFrame, cfg: IdentityConfig) -> DataFrame:

@@ -36,6 +36,9 @@ NEEDS = {
     "id_mapping_scd": ("identities", "id_mapping"),
 }
 
+# tables that need every event of an identity, and not only its merges
+FROM_SIGHTINGS = {"identities", "identifier_mapping"}
+
 
 def closure(outputs: Iterable[str]) -> set[str]:
     """The tables that have to be kept up to date for ``outputs``."""
@@ -46,24 +49,28 @@ def closure(outputs: Iterable[str]) -> set[str]:
 
 
 def stage_batch(
-    store: IdentityTables, base: DataFrame, cfg: IdentityConfig, arrived: Observation
+    store: IdentityTables,
+    base: DataFrame,
+    cfg: IdentityConfig,
+    arrived: Observation,
+    outputs: Iterable[str] = TABLES,
 ) -> DataFrame:
     """Write the deduplicated narrow batch once; every branch reads it from there.
 
     Merge events get a folder of their own, so the merge branch does not scan the rest.
     ``arrived`` gets the first and last arrival time and the number of events in that pass.
+    Where ``outputs`` come from merge events alone, the others are counted but not written.
     """
     is_merge = F.col("event_name") == F.lit(cfg.merge_event_name)
-    tagged = base.withColumn("is_merge", F.coalesce(is_merge, F.lit(False)))
-    return store.stage(
-        "base_events",
-        tagged,
-        "is_merge",
+    tagged = base.withColumn("is_merge", F.coalesce(is_merge, F.lit(False))).observe(
         arrived,
         F.min("load_tstamp").alias("first_load"),
         F.max("load_tstamp").alias("last_load"),
         F.count("*").alias("events"),
     )
+    if not closure(outputs) & FROM_SIGHTINGS:
+        tagged = tagged.where("is_merge")
+    return store.stage("base_events", tagged, "is_merge")
 
 
 def apply_batch(
@@ -99,15 +106,25 @@ def apply_batch(
         return store.stage_updates(table, schemas.KEYS[table], rows)
 
     def observe() -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Sightings of the batch, its profiles, and their updates."""
-        observed = store.stage("observations", extract.observations(base, cfg))
+        """Identifiers of the batch, its profiles, and their updates.
+
+        Both come out of one pass over the events when both are wanted; one alone takes
+        a smaller aggregate.
+        """
         if "identities" not in wanted:
-            return observed, None, None
-        seen = store.stage("identities_this_run", profile.identities_from(observed, cfg))
+            return profile.new_identifiers_this_run(base, cfg), None, None
+        identifiers = None
+        if "identifier_mapping" in updated:
+            observed = store.stage("observations", extract.observations(base, cfg))
+            identifiers = profile.identifiers_from(observed)
+            rows = profile.identities_from(observed, cfg)
+        else:
+            rows = profile.new_identities_this_run(base, cfg)
+        seen = store.stage("identities_this_run", rows)
         if not store.exists("identities"):
-            return observed, seen, seen
+            return identifiers, seen, seen
         merged = profile.merge_identities(stored("identities"), seen, cfg)
-        return observed, seen, updates_of("identities", merged)
+        return identifiers, seen, updates_of("identities", merged)
 
     def merge() -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
         """Edges, child to root, stored rows with an absorbed parent, updates of the mapping."""
@@ -168,8 +185,7 @@ def apply_batch(
             rows = upsert_ops.changed_rows(known, rows, "scd_key")
         upsert("id_mapping_scd", updates_of("id_mapping_scd", rows), replaced)
 
-    def update_lookup(observed: DataFrame, this_run: DataFrame, parents: DataFrame) -> None:
-        identifiers = profile.identifiers_from(observed)
+    def update_lookup(identifiers: DataFrame, this_run: DataFrame, parents: DataFrame) -> None:
         now = after("id_mapping", parents)
         new = store.stage(
             "identifier_mapping_this_run", lookup.identifier_mapping_this_run(identifiers, now, cfg)
@@ -196,14 +212,14 @@ def apply_batch(
         last: list[Future] = []
         if "merge_events" in updated:
             last.append(submit(upsert, "merge_events", merge_events))
-        ids = submit(observe) if wanted & {"identities", "identifier_mapping"} else None
+        ids = submit(observe) if wanted & FROM_SIGHTINGS else None
         merges = submit(merge) if "id_mapping" in wanted else None
         if merges:
             edges, this_run, affected, parents = merges.result()
         if ids:
-            observed, seen, profiles = ids.result()
+            identifiers, seen, profiles = ids.result()
         if "identifier_mapping" in updated:
-            last.append(submit(update_lookup, observed, this_run, parents))
+            last.append(submit(update_lookup, identifiers, this_run, parents))
         if wanted & {"id_changes", "id_mapping_scd"}:
             changed = record_changes(edges, this_run, affected, seen, profiles)
             if "id_changes" in updated:

@@ -106,7 +106,8 @@ def process(
     last: a run that breaks off before is run again and ends at the same rows.
     """
     arrived = Observation("arrived")
-    staged = stage_batch(store, base, cfg, arrived)
+    outputs = tuple(outputs)
+    staged = stage_batch(store, base, cfg, arrived, outputs)
     span = arrived.get
     if not span["events"]:
         return None

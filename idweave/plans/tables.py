@@ -40,11 +40,11 @@ def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(1).select(*nulls).where(F.lit(False))
 
 
-def buckets_for(rows: int, rows_per_bucket: int = 20_000_000) -> int:
+def buckets_for(rows: int, rows_per_bucket: int = 2_000_000) -> int:
     """A bucket count for tables made from so many events.
 
-    The tables are a small part of the events they come from, so a bucket stands for
-    several gigabytes of events.
+    A bucket is written by one task. Where identifiers rarely repeat, the lookup has nearly
+    a row per event, so a bucket stands for no more events than a task should sort.
     """
     return max(4, -(-rows // rows_per_bucket))
 

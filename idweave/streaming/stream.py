@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from idweave.config import IdentityConfig
 from idweave.plans import runs
+from idweave.plans.batch import TABLES
 from idweave.operators import history
 from idweave.plans.tables import IdentityTables
 from idweave.sources.events import base_events_this_run
@@ -23,6 +25,7 @@ def process_micro_batch(
     events: DataFrame,
     batch_id: int,
     run_tstamp: datetime,
+    outputs: Iterable[str] = TABLES,
 ) -> set[str] | None:
     """One micro-batch through the tables; a batch that is in them already is skipped.
 
@@ -32,7 +35,7 @@ def process_micro_batch(
     if store.stream_batch(stream) >= batch_id:
         return None
     base = base_events_this_run(events, cfg)
-    return runs.process(store, cfg, base, run_tstamp, stream_batch=(stream, batch_id))
+    return runs.process(store, cfg, base, run_tstamp, outputs, stream_batch=(stream, batch_id))
 
 
 def stream_identities(
@@ -45,20 +48,23 @@ def stream_identities(
     run_tstamp: datetime | None = None,
     stream: str = "default",
     max_files_per_trigger: int | None = None,
+    outputs: Iterable[str] = TABLES,
 ) -> StreamingQuery:
     """Consume the files that have arrived under ``source`` and stop.
 
     The stream's checkpoint takes the place of the manifest as the record of what
     was read. There is no watermark: late events are never dropped, they update
-    the tables through the same earliest/latest rules as in a batch run.
+    the tables through the same earliest/latest rules as in a batch run. Only ``outputs``
+    and the tables they are computed from are kept; a stream keeps to the same ones.
     """
+    outputs = tuple(outputs)
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
     def handle(events: DataFrame, batch_id: int) -> None:
         now = run_tstamp or datetime.now(timezone.utc).replace(tzinfo=None)
-        process_micro_batch(store, cfg, stream, events, batch_id, now)
+        process_micro_batch(store, cfg, stream, events, batch_id, now, outputs)
 
     return (
         reader.load(source)

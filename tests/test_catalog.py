@@ -2,7 +2,11 @@
 
 import pytest
 
-from idweave.catalog.queries import QUERIES
+from idweave.catalog import feed
+from idweave.catalog.queries import QUERIES, Steps, stream_store
+from idweave.operators import extract, profile
+from idweave.plans.batch import TABLES
+from idweave.plans.tables import buckets_for
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -32,3 +36,27 @@ def test_plain_log_is_made_batch_by_batch(spark, held):
     rows = QUERIES["id_changes_plain"](spark, SMOKE_DIR)
     assert "Exchange" not in plan(rows) and "Join" not in plan(rows)
     assert {r["batch"] for r in rows.select("batch").distinct().collect()} <= {2, 3}
+
+
+def test_stream_keeps_only_what_is_asked_for(spark):
+    store = stream_store(spark, SMOKE_DIR, "merge_events")
+    assert [t for t in TABLES if store.exists(t)] == ["merge_events"]
+    # page events count for the manifest but are not staged
+    staged = spark.read.parquet(f"{store._staging}/base_events")
+    assert staged.where("cast(is_merge as string) = 'false'").count() == 0
+    loads = feed.raw_events(spark, SMOKE_DIR).selectExpr("min(load_tstamp) lo", "max(load_tstamp) hi").first()
+    known = store.manifest().first()
+    assert (known["first_success"], known["last_success"]) == (loads["lo"], loads["hi"])
+
+
+def test_profiles_alone_take_no_row_per_identifier(spark):
+    pages = Steps(spark, SMOKE_DIR).pages(0)
+    direct = profile.new_identities_this_run(pages, feed.CONFIG)
+    shared = profile.identities_from(extract.observations(pages, feed.CONFIG), feed.CONFIG)
+    assert "Expand" not in plan(direct)
+    assert sorted(map(str, direct.collect())) == sorted(map(str, shared.collect()))
+
+
+def test_buckets_grow_with_the_events():
+    assert buckets_for(1_000) == 4
+    assert buckets_for(36_000_000) >= 12
