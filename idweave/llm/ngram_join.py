@@ -23,7 +23,8 @@ Steps:
    has a row (hash, cell) for each hash in the union of a cell's sets. A set's overlap
    with the hashes that other cells hold too bounds its overlap with any of them: only
    sets of which four fifths are there stay active, and only their unions stay in the
-   matrix; a hash within one component says nothing. Two cells are opened to each other only if they have enough prefix hashes in
+   matrix; a hash within one component says nothing. A bit array of what more than one
+   union holds keeps the hashes of a single cell from becoming rows. Two cells are opened to each other only if they have enough prefix hashes in
    common; there a query's overlap with the union of the other cell bounds its overlap
    with any member, and the exact overlaps of those that pass decide.
 
@@ -330,8 +331,11 @@ def _active_in_cell(percent: int, prefixes: bool) -> Callable[[pa.Table, pa.Tabl
     return run
 
 
-def _flat(carry: str, bits: int, packed: Broadcast) -> Callable:
-    """Map (carry, hashes) to rows (carry, h) of the hashes that the bit array may hold."""
+def _flat(carry: str, bits: int, packed: Broadcast, *along: str) -> Callable:
+    """Map (carry, hashes) to rows (carry, h) of the hashes that the bit array may hold.
+
+    ``along``: more lists, with an item for each hash.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.frombuffer(packed.value, np.uint8)
@@ -341,13 +345,26 @@ def _flat(carry: str, bits: int, packed: Broadcast) -> Callable:
             flat = column.flatten().to_numpy()
             keep = bit_filter.may_hold(held, bits, flat.view(np.uint64))
             owner = np.repeat(np.arange(len(length)), length)[keep]
+            more = [pa.array(batch.column(c).flatten().to_numpy()[keep]) for c in along]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(carry).take(pa.array(owner)), pa.array(flat[keep])], names=[carry, "h"]
+                [batch.column(carry).take(pa.array(owner)), pa.array(flat[keep]), *more], names=[carry, "h", *along]
             )
 
     return run
 
 
+def held_by_several(unions: DataFrame) -> DataFrame:
+    """Rows (cell, h, lo, hi) of the hashes that several cells hold, from a row of lists per cell.
+
+    A few that only one cell holds are among them; the others never become rows.
+    """
+    count = unions.agg(F.sum(F.size("hashes"))).first()[0] or 0
+    packed, bits = bit_filter.build_repeated(unions, count)
+    return unions.select("cell", "hashes", "lo", "hi").mapInArrow(
+        _flat("cell", bits, packed, "lo", "hi"), "cell long, h long, lo long, hi long"
+    )
+
+
 def _open_pair(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Two cells: bound every query by the union of the other cell, then compare what passes."""
 
@@ -505,11 +522,9 @@ def similar_documents(
     for step in (1, 2):
         unions = active.where("kind = 1")
         spread = (
-            unions.select("cell", F.explode(F.arrays_zip("hashes", "lo", "hi")).alias("r"))
-            .groupBy(F.col("r.hashes").alias("h"))
-            .agg(
-                F.min("r.lo").alias("lo"), F.max("r.hi").alias("hi"), F.min("cell").alias("near"), F.max("cell").alias("far")
-            )
+            held_by_several(unions)
+            .groupBy("h")
+            .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("cell").alias("near"), F.max("cell").alias("far"))
             .where("lo <> hi and near <> far")
         )
         among = sets.join(_small(active.where("kind = 0").select("sid")), "sid", "left_semi")

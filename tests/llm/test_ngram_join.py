@@ -2,6 +2,9 @@
 
 import random
 
+import numpy as np
+
+from idweave.llm import bit_filter
 from idweave.llm import ngram_join as nj
 from idweave.llm.components import components
 
@@ -121,3 +124,45 @@ def test_components(spark, tmp_path):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     df = components(spark.createDataFrame(edges, "a long, b long"), str(tmp_path / "c"))
     assert {r["sid"]: r["root"] for r in df.collect()} == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}}
+
+
+def test_hashes_of_one_cell_do_not_become_rows(spark, monkeypatch):
+    """Texts around one passage fill many cells; of their unions only the passage is dealt out."""
+    monkeypatch.setattr(nj, "CHUNK_SETS", 8)
+    dealt = []
+
+    def counted(unions):
+        rows = plain(unions)
+        dealt.append((rows.count(), unions.selectExpr("sum(size(hashes))").first()[0] or 0))
+        return rows
+
+    plain = nj.held_by_several
+    monkeypatch.setattr(nj, "held_by_several", counted)
+    rng = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = [(i, f"{passage} " + " ".join(f"z{rng.randrange(10**7)}" for _ in range(60))) for i in range(80)]
+    assert found(spark, docs) == brute(docs)
+    rows, hashes = dealt[0]
+    cells = -(-80 // 8) * 3  # placed by hash, some cells more than the least
+    assert hashes > 80 * 50
+    assert rows <= 60 * cells + hashes // 20
+
+
+def test_repeated_hashes_are_all_held(spark):
+    """A hash of two lists is found wherever they lie; hardly any of the others are."""
+    rng = random.Random(4)
+    each = [[rng.randrange(-(2**63), 2**63) for _ in range(300)] for _ in range(60)]
+    twice = {each[2 * k][j] for k in range(30) for j in range(5)}
+    for k in range(30):
+        each[2 * k + 1][:5] = each[2 * k][:5]
+    everywhere = rng.randrange(2**63)
+    df = spark.createDataFrame([([*x, everywhere],) for x in each], "hashes array<long>")
+    for parts in (1, 7):
+        packed, bits = bit_filter.build_repeated(df.repartition(parts), 60 * 301)
+        every = np.array(sorted({h for x in each for h in x} | {everywhere}), np.int64)
+        held = bit_filter.may_hold(np.frombuffer(packed.value, np.uint8), bits, every.view(np.uint64))
+        kept = set(every[held].tolist())
+        assert twice | {everywhere} <= kept
+        assert len(kept) < len(twice) + 1 + len(every) // 20
+    empty, bits = bit_filter.build_repeated(df.where("false"), 0)
+    assert not any(empty.value)
