@@ -116,14 +116,10 @@ def merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("merged_at"),
         F.col("merge_id").alias("triggering_event_id"),
     )
-    # a block's children in order, four at most, by the steps that first listed them
-    lost = (
-        steps.where(f"rk <= {10 * MOST_CHILDREN}")
-        .groupBy("base")
-        .agg(F.array_sort(F.collect_list(F.struct("k", child.alias("child")))).alias("lost"))
-    )
-    steps = steps.join(lost, "base")
-    listed = F.transform(F.slice("lost", 1, F.col("k")), lambda x: x["child"])
+    # a block's children so far, four at most: a running list in the order of the ranks
+    first_steps = F.when(F.col("rk") <= 10 * MOST_CHILDREN, child)
+    steps = steps.withColumn("listed", F.collect_list(first_steps).over(in_block))
+    listed = F.col("listed")
     merged = F.when(F.expr("base % 30 = 20"), F.slice(listed, -1, 1)).otherwise(listed)
     rows = steps.withColumn("merged", merged)
     null = F.lit(None).cast("string")

@@ -39,6 +39,12 @@ NEEDS = {
 # tables that need every event of an identity, and not only its merges
 FROM_SIGHTINGS = {"identities", "identifier_mapping"}
 
+# columns of the staged batch that are read from merge events only, once arrival times are counted
+OF_MERGES = ("event_name", "collector_tstamp", "load_tstamp")
+
+# columns of the staged batch in which values hardly repeat
+RARELY_REPEATED = ("event_id", "collector_tstamp", "derived_tstamp", "load_tstamp", "created_at")
+
 
 def closure(outputs: Iterable[str]) -> set[str]:
     """The tables that have to be kept up to date for ``outputs``."""
@@ -60,6 +66,7 @@ def stage_batch(
     Merge events get a folder of their own, so the merge branch does not scan the rest.
     ``arrived`` gets the first and last arrival time and the number of events in that pass.
     Where ``outputs`` come from merge events alone, the others are counted but not written.
+    The columns of :data:`OF_MERGES` are null in the others, for which no step reads them.
     """
     is_merge = F.col("event_name") == F.lit(cfg.merge_event_name)
     tagged = base.withColumn("is_merge", F.coalesce(is_merge, F.lit(False))).observe(
@@ -70,7 +77,8 @@ def stage_batch(
     )
     if not closure(outputs) & FROM_SIGHTINGS:
         tagged = tagged.where("is_merge")
-    return store.stage("base_events", tagged, "is_merge")
+    tagged = tagged.withColumns({c: F.when(F.col("is_merge"), F.col(c)) for c in OF_MERGES})
+    return store.stage("base_events", tagged, "is_merge", plain=RARELY_REPEATED)
 
 
 def apply_batch(

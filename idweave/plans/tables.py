@@ -14,6 +14,8 @@ table format's work and not done here.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,14 +102,23 @@ class IdentityTables:
         return stored
 
     def stage(
-        self, name: str, df: DataFrame, partition_by: str | None = None, metrics: Observation | None = None, *sums: Column
+        self,
+        name: str,
+        df: DataFrame,
+        partition_by: str | None = None,
+        metrics: Observation | None = None,
+        *sums: Column,
+        plain: Iterable[str] = (),
     ) -> DataFrame:
         """Write an intermediate result that several steps of a run read, and read it back.
 
         It replaces that of the run before. ``metrics`` takes ``sums`` in the same pass.
+        ``plain``: columns whose values hardly repeat, written without a dictionary.
         """
         path = f"{self._staging}/{name}"
         writer = (df.observe(metrics, *sums) if metrics else df).write.mode("overwrite")
+        for column in plain:
+            writer = writer.option(f"parquet.enable.dictionary#{column}", "false")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(path)

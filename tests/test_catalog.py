@@ -3,7 +3,7 @@
 import pytest
 
 from idweave.catalog import feed
-from idweave.catalog.queries import QUERIES, Steps, stream_store
+from idweave.catalog.queries import QUERIES, Steps, fold, stream_store
 from idweave.operators import extract, profile
 from idweave.plans.batch import TABLES
 from idweave.plans.tables import buckets_for
@@ -60,3 +60,25 @@ def test_profiles_alone_take_no_row_per_identifier(spark):
 def test_buckets_grow_with_the_events():
     assert buckets_for(1_000) == 4
     assert buckets_for(36_000_000) >= 12
+
+
+def test_merge_feed_reads_the_events_once(spark):
+    """Payloads come from a running list in the blocks' own order, with one scan and one shuffle."""
+    text = plan(feed.merge_events(spark, SMOKE_DIR))
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1
+    assert "Join" not in text
+
+
+def test_staged_page_events_hold_what_is_read(spark):
+    """Columns of merge events alone are not written for page events; arrival times are counted before."""
+    store = fold(spark, SMOKE_DIR, "id_changes")
+    staged = spark.read.parquet(f"{store._staging}/base_events")
+    pages, merges = (staged.where(f"cast(is_merge as string) = '{k}'") for k in ("false", "true"))
+    assert pages.count() > 0 and merges.count() > 0
+    unread = "collector_tstamp is not null or load_tstamp is not null or event_name is not null"
+    assert pages.where(unread).count() == 0
+    assert merges.where("collector_tstamp is null or load_tstamp is null or event_name is null").count() == 0
+    assert pages.where("event_id is null or identity_id is null or created_at is null").count() == 0
+    loads = feed.raw_events(spark, SMOKE_DIR).selectExpr("min(load_tstamp) lo", "max(load_tstamp) hi").first()
+    known = store.manifest().where("model = 'id_changes'").first()
+    assert (known["first_success"], known["last_success"]) == (loads["lo"], loads["hi"])
